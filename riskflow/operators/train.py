@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.operators.prepare import Preparation, fit_preparation
-from riskflow.operators.split import fold_of, hash_split
+from riskflow.operators.split import fold_of, is_train
 from riskflow.schemas import Task
+from riskflow.session import materialize
 
 LR, RF = "logistic_regression", "random_forest"
 # Iterations, seed, folds and the two parameter grids.
@@ -50,13 +51,19 @@ class TrainingSet:
 def training_set(records: DataFrame, task: Task, key: Sequence[str]) -> TrainingSet:
     """Split by key hash, fit the preparation on the train split only and apply it.
 
-    The prepared vectors are read again by every fit, so they are kept in
-    memory and on disk; lost blocks are recomputed from the source.
+    The records are written once, parted by split, so that joins, filters and
+    hashes upstream run once and each later pass reads its own part. The prepared
+    vectors are read again by every fit, so they are kept in memory and on disk;
+    lost blocks are recomputed from the written table.
     """
-    train, test = hash_split(records, key)
+    marked = records.select(
+        *task.features, task.label, fold_of(key, FOLDS).alias("fold"), is_train(key).alias("train")
+    )
+    stored = materialize(marked, f"{task.name}_records", ["train"])
+    train, test = stored.filter("train").drop("train"), stored.filter("NOT train").drop("train")
     preparation = fit_preparation(train, task.features, task.zero_columns)
     prepared = PipelineModel(preparation.stages()).transform(train).select(
-        "features", task.label, fold_of(key, FOLDS).alias("fold")
+        "features", task.label, "fold"
     )
     return TrainingSet(
         train=prepared.persist(StorageLevel.MEMORY_AND_DISK),

@@ -347,16 +347,16 @@ ORACLE: dict[str, str] = {
         SELECT {_KEY}, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _F8)} FROM fa""",
     "scaler_stats": f"WITH {_FA} "
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, ROUND(AVG({c}), 6) AS mean,"
-        f" ROUND(STDDEV_SAMP({c}), 6) AS std FROM fa"
+        f"SELECT '{c}' AS feature, ROUND(AVG({c}), 8) AS mean,"
+        f" ROUND(STDDEV_SAMP({c}), 8) AS std FROM fa"
         for c in _F8
     ),
     "standardize": f"""WITH {_FA}, {_z_stats(_F8, 'fa')}
         SELECT {_KEY}, {_scaled(_F8)} FROM fa, z_stats""",
     "preparation_stats": f"WITH {_FILLED} "
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, ROUND(AVG({c}), 6) AS mean,"
-        f" ROUND(STDDEV_SAMP({c}), 6) AS std FROM filled"
+        f"SELECT '{c}' AS feature, ROUND(AVG({c}), 8) AS mean,"
+        f" ROUND(STDDEV_SAMP({c}), 8) AS std FROM filled"
         for c in _F8
     ),
     "split_hash": f"WITH {_FA} SELECT {_KEY}, {_digest(_KEY, 1)} % 100 < 80 AS train FROM fa",

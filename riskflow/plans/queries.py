@@ -131,7 +131,11 @@ def prepared_heart_roundtrip(spark, sf_dir):
 def cleaned_export_diabetes(spark, sf_dir):
     path = scratch_path(spark, "diabetes_cleaned")
     jobs.export_cleaned(diabetes_records(spark, sf_dir), DIABETES, path)
-    stored = tables.read_csv(spark, path)
+    kinds = {name: "int" for name in ("pregnancies", "age", "outcome")}
+    kinds |= {name: "bigint" for name in DIABETES_KEY} | {"l_linenumber": "int"}
+    header = spark.read.option("header", True).csv(path).columns
+    schema = ", ".join(f"{name} {kinds.get(name, 'double')}" for name in header)
+    stored = tables.read_csv(spark, path, schema)
     exact = [name for name in stored.columns if name not in DIABETES.zero_columns]
     return stored.select(*exact, *_rounded(DIABETES.zero_columns))
 
@@ -290,7 +294,7 @@ def struct_to_vector(spark, sf_dir):
 @query
 def scaler_stats(spark, sf_dir):
     stats = prepare.scaler_stats(diabetes_records(spark, sf_dir), DIABETES.features)
-    return stats.select("feature", *_rounded(["mean", "std"]))
+    return stats.select("feature", *_rounded(["mean", "std"], 8))
 
 
 @query
@@ -307,7 +311,7 @@ def preparation_stats(spark, sf_dir):
     fitted = prepare.fit_preparation(records, DIABETES.features, DIABETES.zero_columns)
     rows = [(name, fitted.mean[name], fitted.std[name]) for name in fitted.features]
     stats = spark.createDataFrame(rows, "feature string, mean double, std double")
-    return stats.select("feature", *_rounded(["mean", "std"]))
+    return stats.select("feature", *_rounded(["mean", "std"], 8))
 
 
 @query

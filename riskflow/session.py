@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,7 +47,9 @@ def scratch_root(spark: SparkSession) -> str:
         return f"{configured.rstrip('/')}/riskflow/{app_id}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder before writing scratch tables")
-    return _local_roots.setdefault(app_id, tempfile.mkdtemp(prefix="riskflow-"))
+    if app_id not in _local_roots:
+        _local_roots[app_id] = tempfile.mkdtemp(prefix="riskflow-")
+    return _local_roots[app_id]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -54,11 +57,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Cuts the lineage with a table that outlives any executor.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
