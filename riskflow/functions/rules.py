@@ -1,24 +1,27 @@
-"""Additive rule books as data, turned into column expressions."""
+"""Additive rule books as data, turned into SQL expressions.
+
+A book becomes one SQL text that Spark parses once; building the same tree call
+by call costs the driver hundreds of round trips.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from functools import reduce
-from operator import add, and_, eq, ge, gt, le, lt, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.functions.scalar import as_number, at_threshold, clamp
+# input name -> SQL expression of its value
+Fields = Mapping[str, str]
 
-Fields = Mapping[str, Column]
 
-_COMPARE = {"<=": le, "<": lt, ">": gt, ">=": ge, "==": eq}
+def _number(value: float) -> str:
+    return f"{float(value)!r}D"
 
 
-def _holds(fields: Fields, column: str, op: str, bound: float) -> Column:
-    return _COMPARE[op](fields[column], F.lit(float(bound)))
+def _holds(fields: Fields, column: str, op: str, bound: float) -> str:
+    return f"{fields[column]} {op} {_number(bound)}"
 
 
 @dataclass(frozen=True)
@@ -32,14 +35,16 @@ class Ladder:
     # (column, op, bound) that must hold as well
     also: tuple[str, str, float] | None = None
 
+    def step_sql(self, fields: Fields) -> str:
+        extra = f" AND {_holds(fields, *self.also)}" if self.also else ""
+        tiers = " ".join(
+            f"WHEN {_holds(fields, self.column, self.op, bound)}{extra} THEN {_number(step)}"
+            for bound, step in self.tiers
+        )
+        return f"CASE {tiers} ELSE {_number(self.otherwise)} END"
+
     def step(self, fields: Fields) -> Column:
-        branches = F
-        for bound, step in self.tiers:
-            matches = _holds(fields, self.column, self.op, bound)
-            if self.also:
-                matches = matches & _holds(fields, *self.also)
-            branches = branches.when(matches, F.lit(float(step)))
-        return branches.otherwise(F.lit(float(self.otherwise)))
+        return F.expr(self.step_sql(fields))
 
 
 @dataclass(frozen=True)
@@ -55,6 +60,7 @@ class RuleBook:
     conservative: float = 0.20
     low: float = 0.05
     high: float = 0.95
+    threshold: float = 0.5
 
 
 # The published tier tables. The order of the ladders is the order
@@ -93,15 +99,15 @@ HEART_RULES = RuleBook(
     base=0.15,
     ladders=(
         Ladder("age", "<", ((40, -0.05), (50, 0.05), (60, 0.15), (70, 0.25)), otherwise=0.30),
-        Ladder("gender", "==", ((1, 0.10),)),
-        Ladder("diabetes", "==", ((1, 0.15),)),
-        Ladder("hypertension", "==", ((1, 0.15),)),
-        Ladder("obesity", "==", ((1, 0.10),)),
-        Ladder("smoking", "==", ((1, 0.20),)),
+        Ladder("gender", "=", ((1, 0.10),)),
+        Ladder("diabetes", "=", ((1, 0.15),)),
+        Ladder("hypertension", "=", ((1, 0.15),)),
+        Ladder("obesity", "=", ((1, 0.10),)),
+        Ladder("smoking", "=", ((1, 0.20),)),
         Ladder("cholesterol", ">", ((240, 0.15), (200, 0.10))),
-        Ladder("physical_activity", "==", ((1, -0.10),)),
+        Ladder("physical_activity", "=", ((1, -0.10),)),
         Ladder("stress", ">=", ((8, 0.15), (5, 0.05))),
-        Ladder("family_history", "==", ((1, 0.15),)),
+        Ladder("family_history", "=", ((1, 0.15),)),
     ),
     default_profile={
         "age": 40, "gender": 0, "diabetes": 0, "hypertension": 0, "obesity": 0,
@@ -127,53 +133,58 @@ HEART_POSITIONS = {
 RULE_BOOKS = {book.name: book for book in (DIABETES_RULES, HEART_RULES)}
 
 
-def named_fields(book: RuleBook, available: Iterable[str]) -> dict[str, Column]:
-    """Inputs as doubles out of named columns; missing fields take the book's defaults."""
+def _field(book: RuleBook, name: str, value: str) -> str:
+    """The value as double, NaN as null, null as the book's default if it has one."""
+    value = f"nanvl(CAST({value} AS DOUBLE), CAST(NULL AS DOUBLE))"
+    if name in book.defaults:
+        value = f"coalesce({value}, {_number(book.defaults[name])})"
+    return value
+
+
+def named_fields(book: RuleBook, available: Iterable[str]) -> dict[str, str]:
+    """Inputs out of named columns; fields without a column count as null."""
     available = set(available)
     return {
-        name: _or_default(
-            book, name, as_number(F.col(name)) if name in available else F.lit(None).cast("double")
-        )
+        name: _field(book, name, f"`{name}`" if name in available else "NULL")
         for name in book.inputs
     }
 
 
-def positional_fields(book: RuleBook, positions: Mapping[str, int], record: Column) -> dict[str, Column]:
-    """The same inputs out of an array whose trailing fields may be missing."""
+def positional_fields(book: RuleBook, positions: Mapping[str, int], record: str) -> dict[str, str]:
+    """The same inputs out of an array column whose trailing fields may be missing."""
     return {
-        name: _or_default(
-            book, name, as_number(F.try_element_at(record, F.lit(positions[name] + 1)))
-        )
+        name: _field(book, name, f"try_element_at(`{record}`, {positions[name] + 1})")
         for name in book.inputs
     }
 
 
-def _or_default(book: RuleBook, name: str, value: Column) -> Column:
-    if name not in book.defaults:
-        return value
-    return F.coalesce(value, F.lit(float(book.defaults[name])))
+def _default_profile_sql(book: RuleBook, fields: Fields) -> str:
+    same = " AND ".join(_holds(fields, name, "=", v) for name, v in book.default_profile.items())
+    return f"coalesce({same}, false)"
 
 
 def is_default_profile(book: RuleBook, fields: Fields) -> Column:
-    same = reduce(and_, (_holds(fields, name, "==", v) for name, v in book.default_profile.items()))
-    return F.coalesce(same, F.lit(False))
+    return F.expr(_default_profile_sql(book, fields))
 
 
-def is_unreadable(book: RuleBook, fields: Fields) -> Column:
-    """True where a field without a default is null."""
-    required = (fields[name].isNull() for name in book.inputs if name not in book.defaults)
-    return reduce(or_, required, F.lit(False))
+def _conservative_sql(book: RuleBook, fields: Fields) -> str:
+    """A field without a default is null, or the form was left untouched."""
+    unreadable = (f"{fields[name]} IS NULL" for name in book.inputs if name not in book.defaults)
+    return " OR ".join([*unreadable, _default_profile_sql(book, fields)])
 
 
-def raw_score(book: RuleBook, fields: Fields) -> Column:
+def _score_sql(book: RuleBook, fields: Fields) -> str:
     """Left-to-right sum in doubles; Spark keeps the order of floating additions."""
-    return reduce(add, (ladder.step(fields) for ladder in book.ladders), F.lit(float(book.base)))
+    return " + ".join([_number(book.base), *(ladder.step_sql(fields) for ladder in book.ladders)])
 
 
 def rule_probability(book: RuleBook, fields: Fields) -> Column:
-    conservative = is_unreadable(book, fields) | is_default_profile(book, fields)
-    return F.when(conservative, F.lit(book.conservative)).otherwise(
-        clamp(raw_score(book, fields), book.low, book.high)
+    clamped = (
+        f"greatest({_number(book.low)}, least({_number(book.high)}, {_score_sql(book, fields)}))"
+    )
+    return F.expr(
+        f"CASE WHEN {_conservative_sql(book, fields)} THEN {_number(book.conservative)}"
+        f" ELSE {clamped} END"
     )
 
 
@@ -186,10 +197,11 @@ def with_rule_score(
 ) -> DataFrame:
     """Add the rule score of every row; the row's own columns stay as they are."""
     fields = fields or named_fields(book, df.columns)
-    staged = df.withColumn("__fields", F.struct(*(c.alias(name) for name, c in fields.items())))
-    readable = {name: F.col(f"__fields.{name}") for name in fields}
+    readable = {name: f"__fields.`{name}`" for name in fields}
+    values = ", ".join(f"'{name}', {value}" for name, value in fields.items())
     return (
-        staged.withColumn(probability, rule_probability(book, readable))
-        .withColumn(prediction, at_threshold(F.col(probability)))
+        df.withColumn("__fields", F.expr(f"named_struct({values})"))
+        .withColumn(probability, rule_probability(book, readable))
+        .withColumn(prediction, F.expr(f"CAST(`{probability}` >= {_number(book.threshold)} AS INT)"))
         .drop("__fields")
     )

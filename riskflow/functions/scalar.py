@@ -12,10 +12,6 @@ def as_number(column: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def clamp(column: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), column))
-
-
 def at_threshold(column: Column, threshold: float = 0.5) -> Column:
     return (column >= F.lit(threshold)).cast("int")
 

@@ -14,25 +14,20 @@ from pyspark.sql import types as T
 
 def profile(df: DataFrame) -> DataFrame:
     """Rows, nulls and zeros of every column: one aggregate over one scan."""
-    measures, entries = [F.count(F.lit(1)).alias("n_rows")], []
+    measures, entries = ["count(1) AS n_rows"], []
     for i, field in enumerate(df.schema.fields):
-        column = F.col(field.name)
-        measures.append(F.count_if(column.isNull()).alias(f"null_{i}"))
-        zeros = F.lit(None).cast("bigint")
+        name, zeros = f"`{field.name}`", "CAST(NULL AS BIGINT)"
+        measures.append(f"count_if({name} IS NULL) AS null_{i}")
         if isinstance(field.dataType, T.NumericType):
-            measures.append(F.count_if(column == 0).alias(f"zero_{i}"))
-            zeros = F.col(f"zero_{i}")
-        entries.append(
-            F.struct(
-                F.lit(field.name).alias("column_name"),
-                F.lit(field.dataType.simpleString()).alias("data_type"),
-                F.col("n_rows"),
-                F.col(f"null_{i}").alias("n_null"),
-                zeros.alias("n_zero"),
-            )
-        )
+            measures.append(f"count_if({name} = 0) AS zero_{i}")
+            zeros = f"zero_{i}"
+        kind = field.dataType.simpleString()
+        entries.append(f"'{field.name}', '{kind}', n_rows, null_{i}, {zeros}")
     # The single result row fans out to one row per column, after the aggregate.
-    return df.agg(*measures).select(F.inline(F.array(*entries)))
+    return df.agg(*map(F.expr, measures)).selectExpr(
+        f"stack({len(entries)}, {', '.join(entries)})"
+        " AS (column_name, data_type, n_rows, n_null, n_zero)"
+    )
 
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -380,7 +380,7 @@ def score_rules_heart_positional(spark, sf_dir):
     records = jobs.encoded(heart_records(spark, sf_dir), HEART)
     values = F.array(*(F.col(name).cast("double") for name in _FORM_ORDER))
     bare = records.select(*HEART_KEY, values.alias("record"))
-    fields = rules.positional_fields(rules.HEART_RULES, rules.HEART_POSITIONS, F.col("record"))
+    fields = rules.positional_fields(rules.HEART_RULES, rules.HEART_POSITIONS, "record")
     return _rule_scores(bare, rules.HEART_RULES, HEART_KEY, fields)
 
 
@@ -397,7 +397,7 @@ def feature_defaults(spark, sf_dir):
     """Defaults for null fields and for two fields the table does not have."""
     records = jobs.encoded(heart_records(spark, sf_dir), HEART).drop("stress", "hdl")
     fields = rules.named_fields(rules.HEART_RULES, records.columns)
-    return records.select(*HEART_KEY, *(column.alias(name) for name, column in fields.items()))
+    return records.select(*HEART_KEY, *(F.expr(sql).alias(name) for name, sql in fields.items()))
 
 
 def _contributions(df: DataFrame, book: rules.RuleBook, key: Sequence[str]) -> DataFrame:
