@@ -32,8 +32,9 @@ def score_counts(df: DataFrame, group: Sequence[str], score: str, label: str, pr
     Combined on the map side, so a score shared by many rows costs one row per task.
     Rows without a score or a label cannot be ranked and are left out.
     """
+    ranked = F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull()
     return (
-        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+        df.filter(ranked)
         .groupBy(*group, F.col(score).alias("score"), F.col(prediction).alias("prediction"))
         .agg(
             F.count_if(F.col(label) == 1).alias("n_pos"),
@@ -43,9 +44,10 @@ def score_counts(df: DataFrame, group: Sequence[str], score: str, label: str, pr
 
 
 def _score_edges(counts: DataFrame, buckets: int) -> list[float]:
+    """Cuts at approximate quantiles of the distinct scores; a table without rows has none."""
     cuts = [i / buckets for i in range(1, buckets)]
     edges = sorted(set(counts.approxQuantile("score", cuts, 0.25 / buckets)))
-    return [float("-inf"), *edges, float("inf")]
+    return [float("-inf"), *(edges or [0.0]), float("inf")]
 
 
 def _default_buckets(counts: DataFrame) -> int:
@@ -55,7 +57,7 @@ def _default_buckets(counts: DataFrame) -> int:
 
 def _ranked_by_bucket(counts: DataFrame, group: Sequence[str], buckets: int | None) -> DataFrame:
     """Positives, negatives and ordered pairs inside each bucket of scores."""
-    buckets = buckets or _default_buckets(counts)
+    buckets = max(2, buckets or _default_buckets(counts))
     bucketed = Bucketizer(
         splits=_score_edges(counts, buckets), inputCol="score", outputCol="bucket"
     ).transform(counts)
