@@ -103,6 +103,10 @@ def scaler_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*measures).select(F.inline(F.array(*entries)))
 
 
+# Marks the scaled copy of a feature column.
+SCALED_PREFIX = "z_"
+
+
 @dataclass(frozen=True)
 class Preparation:
     """Fitted numbers of the preparation step, and the stages that apply them."""
@@ -111,6 +115,7 @@ class Preparation:
     fill: dict[str, float]
     mean: dict[str, float]
     std: dict[str, float]
+    n_rows: int
 
     def stages(self, output: str = "features") -> list[Transformer]:
         """Impute and scale as SQL expressions, then assemble; all stages can be saved.
@@ -118,7 +123,7 @@ class Preparation:
         Rows with a missing feature keep NaN in the vector: the scorer decides
         what becomes of them, so that no row is lost or fails the job.
         """
-        scaled = [f"z_{name}" for name in self.features]
+        scaled = [SCALED_PREFIX + name for name in self.features]
         items = ", ".join(f"{self._expression(n)} AS {z}" for n, z in zip(self.features, scaled))
         return [
             SQLTransformer(statement=f"SELECT *, {items} FROM __THIS__"),
@@ -148,7 +153,7 @@ def fit_preparation(
     adds nothing to the squared deviations, so the statistics after imputation
     follow from those of the non-zero values and the two counts.
     """
-    measures = []
+    measures = [F.count(F.lit(1)).alias("n_rows")]
     for name in features:
         value = _non_zero(name) if name in zero_columns else F.col(name).cast("double")
         measures += [
@@ -169,4 +174,5 @@ def fit_preparation(
         fill=fill,
         mean={name: means[name] if means[name] is not None else 0.0 for name in features},
         std=std,
+        n_rows=row["n_rows"],
     )

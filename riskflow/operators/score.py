@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskflow.functions.rules import RULE_BOOKS, with_rule_score
 from riskflow.functions.scalar import as_number
 from riskflow.functions.vectors import positive_probability
+from riskflow.operators.prepare import SCALED_PREFIX
 
 FAMILIES = ("logistic_regression", "random_forest")
 RULE_BASED = "rule_based"
@@ -23,16 +24,24 @@ _MODEL_COLUMNS = ("features", "rawPrediction", "probability", "prediction")
 
 @dataclass(frozen=True)
 class ChosenModel:
-    """A loaded model and the record columns it reads."""
+    """A fitted pipeline: preparation stages, assembler, classifier."""
 
     family: str
     pipeline: PipelineModel
-    features: tuple[str, ...]
 
     def __post_init__(self):
-        expected = self.pipeline.stages[-1].numFeatures
-        if expected != len(self.features):
-            raise ValueError(f"model takes {expected} features, the task has {len(self.features)}")
+        expected, given = self.pipeline.stages[-1].numFeatures, len(self.features)
+        if expected != given:
+            raise ValueError(f"the classifier takes {expected} features, its pipeline gives {given}")
+
+    @property
+    def features(self) -> tuple[str, ...]:
+        """The record columns the model reads."""
+        scaled = self.pipeline.stages[-2].getInputCols()
+        return tuple(name.removeprefix(SCALED_PREFIX) for name in scaled)
+
+    def missing(self, columns: Iterable[str]) -> list[str]:
+        return sorted(set(self.features) - set(columns))
 
 
 def with_model_score(df: DataFrame, model: ChosenModel, prefix: str = "model") -> DataFrame:
@@ -40,6 +49,9 @@ def with_model_score(df: DataFrame, model: ChosenModel, prefix: str = "model") -
     clash = sorted(set(_MODEL_COLUMNS) & set(df.columns))
     if clash:
         raise ValueError(f"rename or drop before scoring: {', '.join(clash)}")
+    missing = model.missing(df.columns)
+    if missing:
+        raise ValueError(f"the model needs: {', '.join(missing)}")
     complete = reduce(and_, (as_number(F.col(name)).isNotNull() for name in model.features))
     return model.pipeline.transform(df).select(
         *df.columns,

@@ -29,6 +29,10 @@ GRIDS = {
 }
 
 
+# Below this many rows a partition is not worth a task of its own.
+SPREAD_ROWS = 20_000
+
+
 def estimator(family: str, label: str, **params):
     """An untrained classifier of the family; ``params`` are MLlib's own."""
     if family == LR:
@@ -44,6 +48,12 @@ class TrainingSet:
     test: DataFrame
     preparation: Preparation
     label: str
+    partitions: int
+
+    @property
+    def idle_share(self) -> int:
+        """How many fits it takes to keep all cores busy."""
+        return max(1, self.train.sparkSession.sparkContext.defaultParallelism // self.partitions)
 
     def release(self) -> None:
         self.train.unpersist()
@@ -66,15 +76,18 @@ def training_set(records: DataFrame, task: Task, key: Sequence[str]) -> Training
     prepared = PipelineModel(preparation.stages()).transform(train).select(
         "features", task.label, "fold"
     )
+    # Many rows in fewer files than cores are spread before the many fits.
     cores = records.sparkSession.sparkContext.defaultParallelism
-    if stored.rdd.getNumPartitions() < cores:
-        # Fewer files than cores: a table this small is spread before the many fits.
-        prepared = prepared.repartition(cores)
+    wanted = min(cores, max(1, preparation.n_rows // SPREAD_ROWS))
+    partitions = train.rdd.getNumPartitions()
+    if partitions < wanted:
+        prepared, partitions = prepared.repartition(wanted), wanted
     return TrainingSet(
         train=prepared.persist(StorageLevel.MEMORY_AND_DISK),
         test=test,
         preparation=preparation,
         label=task.label,
+        partitions=partitions,
     )
 
 
@@ -137,6 +150,8 @@ def cross_validate(data: TrainingSet, base, points, folds: int, parallelism: int
     A plain filter on the fold column keeps the rows in the JVM and reads the
     persisted vectors; MLlib's own fold column check passes every row through
     Python. All fits of all folds share one pool, so a slow one holds up nobody.
+    ``parallelism`` is raised only where one fit cannot keep the cores busy: each
+    running fit holds its own copy of the vectors.
     """
     evaluator = BinaryClassificationEvaluator(labelCol=data.label)
 
@@ -147,7 +162,7 @@ def cross_validate(data: TrainingSet, base, points, folds: int, parallelism: int
 
     jobs = [(fold, point) for point in points for fold in range(folds)]
     work = inheritable_thread_target(data.train.sparkSession)(validation_auc)
-    with ThreadPool(min(parallelism, len(jobs))) as pool:
+    with ThreadPool(min(max(parallelism, data.idle_share), len(jobs))) as pool:
         aucs = pool.map(work, jobs, chunksize=1)
     return [sum(aucs[i : i + folds]) / folds for i in range(0, len(aucs), folds)]
 

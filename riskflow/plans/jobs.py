@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -74,17 +75,27 @@ def export_cleaned(df: DataFrame, task: Task, path: str) -> None:
     write_csv(clean, path)
 
 
+def with_features(task: Task, records: DataFrame, key: Sequence[str]) -> Task:
+    """The task with the features that this table offers."""
+    if not task.open_features:
+        return task
+    others = {*key, *task.drop_columns, task.label}
+    return replace(task, features=tuple(name for name in records.columns if name not in others))
+
+
 def training_records(records: DataFrame, task: Task, key: Sequence[str]) -> DataFrame:
     """Complete, encoded rows with key, features and label."""
     columns = [*key, *task.features, task.label]
-    return encoded(drop_nulls(records.select(*columns), columns), task)
+    ready = encoded(drop_nulls(records.select(*columns), columns), task)
+    numeric_features(ready, {*key, task.label})
+    return ready
 
 
 def test_scores(data: TrainingSet, models: Sequence[Fitted]) -> DataFrame:
     """(candidate, score, prediction, label) of every model on the test split."""
     scored = data.test
     for fitted in models:
-        chosen = ChosenModel(fitted.family, fitted.pipeline, fitted.features)
+        chosen = ChosenModel(fitted.family, fitted.pipeline)
         scored = with_model_score(scored, chosen, prefix=fitted.family)
     per_model = (
         F.struct(
@@ -114,6 +125,7 @@ def train_task(
 ) -> tuple[DataFrame, list[Fitted]]:
     """Tune, save and evaluate each family; returns registry rows and the models."""
     spark = records.sparkSession
+    task = with_features(task, records, key)
     data = training_set(training_records(records, task, key), task, key)
     try:
         models = [tune(data, family, parallelism=parallelism) for family in families]
@@ -127,7 +139,7 @@ def train_task(
             (
                 run_id, m.family, paths[m.family], json.dumps(m.params), float(m.seconds),
                 datetime.now(timezone.utc),
-                try_load(paths[m.family], m.family, task.name) is not None,
+                try_load(paths[m.family], m.family) is not None,
             )
             for m in models
         ],
@@ -158,7 +170,7 @@ def train(
 
 def score_table(df: DataFrame, task: str, keep: Sequence[str], folder: str | None = None) -> DataFrame:
     """Whole-table scoring with texts, through the registry's fallback chain."""
-    spark = df.sparkSession
-    model = registry.resolve(spark, f"{folder}/registry", task) if folder else None
-    ready = encoded(df, TASKS[task])
+    ready, model = encoded(df, TASKS[task]), None
+    if folder:
+        model = registry.resolve(df.sparkSession, f"{folder}/registry", task, ready.columns)
     return with_report(flat_result(score(ready, task, model), *keep), task)

@@ -14,7 +14,7 @@ from riskflow.functions.vectors import ensure_vector, unpacked, vector_of
 from riskflow.operators import evaluate as ev
 from riskflow.operators import prepare, quality, split
 from riskflow.operators.report import with_report
-from riskflow.operators.score import flat_result, score, with_model_score
+from riskflow.operators.score import ChosenModel, flat_result, score, with_model_score
 from riskflow.operators.train import LR, RF, feature_importance, fit, grid_table, training_set
 from riskflow.plans import jobs
 from riskflow.schemas import DIABETES, DIABETES_SCHEMA, HEART, TASKS
@@ -715,7 +715,7 @@ def _model(spark: SparkSession, sf_dir: str, task: str, family: str):
     folder, _ = trained(spark, sf_dir)
     rows = registry.latest_run(registry.read(spark, f"{folder}/registry"))
     path = rows.filter((F.col("task") == task) & (F.col("family") == family)).first()["path"]
-    return load_model(path, family, task)
+    return load_model(path, family)
 
 
 def _model_scores(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
@@ -748,9 +748,9 @@ def model_roundtrip(spark, sf_dir):
         path = scratch_path(spark, "model")
         save_model(fitted.pipeline, path)
         before, after = f"{fitted.family}_before", f"{fitted.family}_after"
-        in_memory = jobs.ChosenModel(fitted.family, fitted.pipeline, fitted.features)
+        in_memory = ChosenModel(fitted.family, fitted.pipeline)
         scored = with_model_score(scored, in_memory, before)
-        scored = with_model_score(scored, load_model(path, fitted.family, "diabetes"), after)
+        scored = with_model_score(scored, load_model(path, fitted.family), after)
         differs = differs | ~F.col(f"{before}_probability").eqNullSafe(F.col(f"{after}_probability"))
     return scored.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(differs).alias("n_different")

@@ -26,6 +26,8 @@ class Task:
     drop_columns: tuple[str, ...] = ()
     gender_column: str | None = None
     yes_no_columns: tuple[str, ...] = ()
+    # train on every column that is not key, label or dropped, not only on ``features``
+    open_features: bool = False
 
 
 # The published column lists of the two data sets, in order.
@@ -54,6 +56,7 @@ HEART = Task(
         "diabetes", "hypertension", "obesity", "smoking", "alcohol",
         "physical_activity", "family_history",
     ),
+    open_features=True,
 )
 TASKS = {task.name: task for task in (DIABETES, HEART)}
 

@@ -9,7 +9,6 @@ from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 
 from riskflow.operators.score import ChosenModel
-from riskflow.schemas import TASKS
 
 _log = logging.getLogger(__name__)
 
@@ -19,17 +18,17 @@ def save_model(pipeline: PipelineModel, path: str) -> None:
     pipeline.write().overwrite().save(path)
 
 
-def load_model(path: str, family: str, task: str) -> ChosenModel:
-    return ChosenModel(family, PipelineModel.load(path), TASKS[task].features)
+def load_model(path: str, family: str) -> ChosenModel:
+    return ChosenModel(family, PipelineModel.load(path))
 
 
-def try_load(path: str, family: str, task: str) -> ChosenModel | None:
-    """The model, or None where it is missing, incomplete or of another width.
+def try_load(path: str, family: str) -> ChosenModel | None:
+    """The model, or None where it is missing, incomplete or not one of ours.
 
     Called while planning: a broken model must not fail the job at the sink.
     """
     try:
-        return load_model(path, family, task)
-    except (Py4JJavaError, PySparkException, ValueError) as error:
+        return load_model(path, family)
+    except (Py4JJavaError, PySparkException, ValueError, AttributeError) as error:
         _log.warning("model %s not usable: %s", path, str(error).splitlines()[0])
         return None

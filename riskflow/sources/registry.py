@@ -48,10 +48,14 @@ def deployable(registry: DataFrame, minimum: str = "acceptable") -> DataFrame:
     return with_gate(registry.drop("gate")).filter(F.col("gate").isin(passed))
 
 
-def resolve(spark: SparkSession, path: str, task: str) -> ChosenModel | None:
+def resolve(
+    spark: SparkSession, path: str, task: str, columns: Iterable[str] | None = None
+) -> ChosenModel | None:
     """Best model of the last run, else its others by family order, else None.
 
-    Reads a handful of rows while planning; the scoring job itself reads none.
+    A model that cannot be loaded, or that needs other than the given ``columns``,
+    is passed over. Reads a handful of rows while planning; the scoring job
+    itself reads none.
     """
     if not exists(spark, path):
         return None
@@ -59,8 +63,8 @@ def resolve(spark: SparkSession, path: str, task: str) -> ChosenModel | None:
     top = best(rows).collect()
     others = sorted(rows.collect(), key=lambda row: FAMILIES.index(row["family"]))
     for row in [*top, *others]:
-        model = try_load(row["path"], row["family"], task)
-        if model:
+        model = try_load(row["path"], row["family"])
+        if model and (columns is None or not model.missing(columns)):
             return model
     return None
 

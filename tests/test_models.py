@@ -1,6 +1,7 @@
 """Training, registry and the fallback chain."""
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from riskflow.operators.score import ChosenModel, flat_result, score, with_model_score
@@ -37,7 +38,7 @@ def test_grids_are_complete_and_the_best_point_is_chosen(fitted):
 
 def test_probabilities_and_thresholds(spark, sf_dir, fitted):
     for model in fitted[1]["diabetes"]:
-        chosen = ChosenModel(model.family, model.pipeline, model.features)
+        chosen = ChosenModel(model.family, model.pipeline)
         scored = with_model_score(diabetes_records(spark, sf_dir), chosen)
         p, y = F.col("model_probability"), F.col("model_prediction")
         assert scored.filter(p.isNull() | (p < 0) | (p > 1)).count() == 0
@@ -115,16 +116,35 @@ def test_text_lines(spark, tmp_path):
     }
 
 
-def test_model_of_another_width_is_refused(spark, tmp_path, fitted):
+def test_model_needing_other_columns_is_passed_over(spark, tmp_path, fitted):
     path = str(tmp_path / "model")
     save_model(fitted[1]["diabetes"][0].pipeline, path)
-    assert try_load(path, LR, "diabetes") is not None
-    assert try_load(path, LR, "heart") is None
+    assert try_load(path, LR).features == DIABETES.features
+    _append(spark, [("r1", "heart", LR, path, 0.9)], tmp_path)
+    place = str(tmp_path / "registry")
+    assert registry.resolve(spark, place, "heart", DIABETES.features) is not None
+    assert registry.resolve(spark, place, "heart", HEART.features) is None
+
+
+def test_classifier_of_another_width_is_refused(spark, fitted):
+    wide, narrow = (fitted[1][task][0].pipeline for task in ("heart", "diabetes"))
+    with pytest.raises(ValueError, match="8 features"):
+        ChosenModel(LR, PipelineModel([*wide.stages[:-1], narrow.stages[-1]]))
+
+
+def test_every_other_column_is_a_feature(spark, sf_dir):
+    records = heart_records(spark, sf_dir).withColumn("income", F.col("ldl") * 2)
+    task = jobs.with_features(HEART, records, HEART_KEY)
+    assert task.features == (*HEART.features, "income")
+    assert jobs.with_features(DIABETES, records, ()) is DIABETES
+    noted = records.withColumn("note", F.lit("x"))
+    with pytest.raises(ValueError, match="note"):
+        jobs.training_records(noted, jobs.with_features(HEART, noted, HEART_KEY), HEART_KEY)
 
 
 def test_missing_feature_goes_to_the_rule_book(spark, sf_dir, fitted):
     model = fitted[1]["diabetes"][0]
-    chosen = ChosenModel(model.family, model.pipeline, model.features)
+    chosen = ChosenModel(model.family, model.pipeline)
     gaps = diabetes_records(spark, sf_dir).withColumn("glucose", F.expr("nullif(glucose, 0)"))
     result = flat_result(score(gaps, "diabetes", chosen), "glucose")
     assert result.filter("glucose IS NULL").count() > 0
@@ -135,7 +155,7 @@ def test_missing_feature_goes_to_the_rule_book(spark, sf_dir, fitted):
 
 def test_reserved_column_names_are_refused(spark, fitted):
     model = fitted[1]["diabetes"][0]
-    chosen = ChosenModel(model.family, model.pipeline, model.features)
+    chosen = ChosenModel(model.family, model.pipeline)
     df = spark.createDataFrame([(1,)], "prediction int")
     with pytest.raises(ValueError, match="prediction"):
         with_model_score(df, chosen)
