@@ -117,17 +117,17 @@ class Preparation:
     std: dict[str, float]
     n_rows: int
 
-    def stages(self, output: str = "features") -> list[Transformer]:
+    def stages(self, output: str = "features", handle_invalid: str = "keep") -> list[Transformer]:
         """Impute and scale as SQL expressions, then assemble; all stages can be saved.
 
-        Rows with a missing feature keep NaN in the vector: the scorer decides
-        what becomes of them, so that no row is lost or fails the job.
+        By default rows with a missing feature keep NaN in the vector: the scorer
+        decides what becomes of them, so that no row is lost or fails the job.
         """
         scaled = [SCALED_PREFIX + name for name in self.features]
         items = ", ".join(f"{self._expression(n)} AS {z}" for n, z in zip(self.features, scaled))
         return [
             SQLTransformer(statement=f"SELECT *, {items} FROM __THIS__"),
-            _assembler(scaled, output, "keep"),
+            _assembler(scaled, output, handle_invalid),
         ]
 
     def _expression(self, name: str) -> str:

@@ -8,13 +8,14 @@ from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime, timezone
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from riskflow.functions.encode import GENDER_CODES, MALE, YES, encode_flags, equals_flag, mapped
 from riskflow.operators.evaluate import evaluate, with_gate
-from riskflow.operators.prepare import standardize, zero_impute
+from riskflow.operators.prepare import fit_preparation, zero_impute
 from riskflow.operators.quality import drop_columns, drop_nulls, numeric_features
 from riskflow.operators.report import with_report
 from riskflow.operators.score import ChosenModel, flat_result, score, with_model_score
@@ -44,16 +45,19 @@ def cleaned(df: DataFrame, task: Task) -> DataFrame:
 
 
 def prepared(df: DataFrame, task: Task, key: Sequence[str] = ()) -> DataFrame:
-    """Key columns, standardised vector and label of every clean row."""
-    if task.zero_columns:
-        ready = zero_impute(df, task.zero_columns)
-        features = list(task.features)
-    else:
-        kept = [name for name in df.columns if name not in task.drop_columns or name in key]
-        used = [name for name in kept if name not in key]
-        ready = encoded(drop_nulls(df.select(*kept), used), task)
-        features = numeric_features(ready, {task.label, *key})
-    return standardize(ready, features).select(*key, "features", task.label)
+    """Key columns, standardised vector and label of every clean row.
+
+    One pass for all statistics, one to apply them. A feature that is still
+    missing fails the job instead of turning into a number.
+    """
+    task = with_features(task, df, key)
+    ready = df.select(*key, *(name for name in (*task.features, task.label) if name not in key))
+    if task.drop_columns:
+        ready = drop_nulls(ready, [*task.features, task.label])
+    ready = encoded(ready, task)
+    numeric_features(ready, {*key, task.label})
+    stages = fit_preparation(ready, task.features, task.zero_columns).stages(handle_invalid="error")
+    return PipelineModel(stages).transform(ready).select(*key, "features", task.label)
 
 
 def save_prepared(df: DataFrame, task: Task, folder: str, key: Sequence[str] = ()) -> str:

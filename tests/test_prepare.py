@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from riskflow.functions.vectors import ensure_vector, unpacked
 from riskflow.operators import prepare, split
+from riskflow.plans import jobs
 from riskflow.schemas import DIABETES
 from riskflow.sources.views import DIABETES_KEY, diabetes_records
 
@@ -84,3 +85,21 @@ def test_split_and_folds_ignore_partitioning(spark, sf_dir):
     train, test = split.hash_split(records, DIABETES_KEY)
     assert train.count() + test.count() == records.count()
     assert 0.75 < train.count() / records.count() < 0.85
+
+
+def test_prepared_table_refuses_missing_values(spark):
+    columns = ", ".join(f"{name} double" for name in DIABETES.features)
+    rows = [(1.0, 90.0, 70.0, 20.0, 80.0, 25.0, 0.5, 30.0, 1), (2.0, 0.0, 71.0, 21.0, 81.0, 26.0, 0.6, None, 0)]
+    df = spark.createDataFrame(rows, f"{columns}, outcome int")
+    with pytest.raises(Exception, match="null"):
+        jobs.prepared(df, DIABETES).collect()
+    assert jobs.prepared(df.na.fill(40.0), DIABETES).count() == 2
+
+
+def test_key_that_is_a_feature_stays(spark):
+    columns = ", ".join(f"{name} double" for name in DIABETES.features)
+    rows = [(1.0, 90.0, 70.0, 20.0, 80.0, 25.0, 0.5, 30.0, 1), (2.0, 0.0, 71.0, 21.0, 81.0, 26.0, 0.6, 40.0, 0)]
+    df = spark.createDataFrame(rows, f"{columns}, outcome int")
+    result = jobs.prepared(df, DIABETES, ["age"])
+    assert result.columns == ["age", "features", "outcome"]
+    assert [len(r.features) for r in result.collect()] == [8, 8]
