@@ -30,16 +30,18 @@ def score_counts(df: DataFrame, group: Sequence[str], score: str, label: str, pr
     """Positives and negatives per distinct score.
 
     Combined on the map side, so a score shared by many rows costs one row per task.
-    Rows without a score or a label cannot be ranked and are left out.
+    Rows without a score or a label cannot be ranked: they count for nothing and
+    go after the aggregate. A filter before it would be pushed below the scoring
+    and compute every score twice.
     """
-    ranked = F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull()
+    scored = F.col(score).isNotNull() & ~F.isnan(score)
     return (
-        df.filter(ranked)
-        .groupBy(*group, F.col(score).alias("score"), F.col(prediction).alias("prediction"))
+        df.groupBy(*group, F.col(score).alias("score"), F.col(prediction).alias("prediction"))
         .agg(
-            F.count_if(F.col(label) == 1).alias("n_pos"),
-            F.count_if(F.col(label) != 1).alias("n_neg"),
+            F.count_if(scored & (F.col(label) == 1)).alias("n_pos"),
+            F.count_if(scored & (F.col(label) != 1)).alias("n_neg"),
         )
+        .filter(F.col("n_pos") + F.col("n_neg") > 0)
     )
 
 

@@ -32,3 +32,10 @@ def test_scans_read_needed_columns_only(spark, sf_dir):
 def test_aggregates_combine_before_the_shuffle(spark, sf_dir):
     for name in ("profile_heart", "violations_by_rule", "classification_report", "rule_quality"):
         assert "partial_" in _plan(spark, sf_dir, name)
+
+
+def test_scores_are_computed_once(spark, sf_dir):
+    """The tier bound of one ladder occurs once per evaluated task, in no filter."""
+    plan = _plan(spark, sf_dir, "rule_quality")
+    assert plan.count("glucose <= 90.0") == 1
+    assert not any("<= 90.0" in line for line in plan.splitlines() if "Filter" in line)
