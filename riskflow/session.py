@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -30,26 +29,17 @@ def build_session(app_name: str = "riskflow", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-_local_roots: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables that every executor can read.
+    """Folder for intermediate tables that the driver and every executor can read.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session,
-    whose executors share the driver's disk, may fall back to a temporary folder.
+    ``spark.checkpoint.dir`` names it. Where that is unset, the session's
+    warehouse folder serves, which Spark already needs to be shared.
     """
-    app_id = spark.sparkContext.applicationId
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    if configured:
-        return f"{configured.rstrip('/')}/riskflow/{app_id}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a shared folder before writing scratch tables")
-    if app_id not in _local_roots:
-        _local_roots[app_id] = tempfile.mkdtemp(prefix="riskflow-")
-    return _local_roots[app_id]
+    root = configured or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/riskflow-scratch/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,6 +4,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as contract
+from riskflow.plans.oracle import ORACLE
+from riskflow.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +19,14 @@ def _assert_stays_in_the_jvm(df):
         assert operator not in plan
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_sql(spark, sf_dir, database, name):
     df = contract.queries()[name](spark, sf_dir)
     _assert_stays_in_the_jvm(df)
     assert differences(df, database, contract.oracle_sql()[name]) == []
 
 
-ROWS_ONLY = sorted(set(contract.queries()) - set(contract.oracle_sql()))
+ROWS_ONLY = sorted(set(QUERIES) - set(ORACLE))
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
