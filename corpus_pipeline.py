@@ -1,17 +1,22 @@
-"""Corpus preparation: reject toxic documents, keep one document of each group of near copies,
-replace personal data, pack into sequences."""
+"""Corpus preparation in stages, each over all that its predecessor kept."""
 
 from __future__ import annotations
 
-from riskflow.llm.queries import pipeline_stages
+from riskflow.llm import stages
 
-STAGES = pipeline_stages()
+STAGES = [
+    ("toxicity", stages.reject_toxic),
+    # near duplicates
+    ("personal_data", stages.replace_personal_data),
+    ("packing", stages.pack_into_sequences),
+]
 
-# The stages learn from labels, hash and permute; SQL cannot express them.
+# The stages learn from labels, hash, permute and pack, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """The last stage's rows over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

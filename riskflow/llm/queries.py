@@ -15,6 +15,8 @@ from riskflow.llm import (
     pseudonyms,
     sharding,
     token_counts,
+    top_k,
+    toxicity,
     url_filter,
     word_ids,
 )
@@ -129,3 +131,34 @@ def op7_feistel_pseudonyms(spark, sf_dir):
     """All documents with personal data replaced by pseudonyms of the same format."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymize(docs, PSEUDONYM_KEY, count="n_replaced")
+
+
+@query
+def op2_norm_bucketed_top_k(spark, sf_dir):
+    """The ten highest inner products for every hundredth vector."""
+    rows = _table(spark, sf_dir, "embeddings")
+    vectors = rows.select("vec_id", top_k.scaled(F.col("embedding")).alias("v"))
+    return top_k.top_k(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
+# From this score on a document counts as toxic.
+TOXIC_SCORE = 0.7
+
+
+@query
+def op10_toxic_passages(spark, sf_dir):
+    """Toxicity of every whole text, learned from labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        toxicity.score(F.col("text"), model).alias("found"),
+    )
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "found.score",
+        (F.col("found.score") >= TOXIC_SCORE).cast("int").alias("predicted"),
+        F.size("found.passages").alias("n_passages"),
+    )
