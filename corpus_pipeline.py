@@ -6,7 +6,7 @@ from riskflow.llm import stages
 
 STAGES = [
     ("toxicity", stages.reject_toxic),
-    # near duplicates
+    ("near_duplicates", stages.keep_one_of_each_group),
     ("personal_data", stages.replace_personal_data),
     ("packing", stages.pack_into_sequences),
 ]

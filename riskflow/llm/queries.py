@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskflow.llm import (
     bpe,
     fingerprints,
+    near_dedup,
     packing,
     pseudonyms,
     sharding,
@@ -162,3 +163,12 @@ def op10_toxic_passages(spark, sf_dir):
         (F.col("found.score") >= TOXIC_SCORE).cast("int").alias("predicted"),
         F.size("found.passages").alias("n_passages"),
     )
+
+
+@query
+def op3_minhash_near_dedup(spark, sf_dir):
+    """Components of documents linked by four-word shingles, four fifths in common."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_dedup.near_duplicates(docs, shingle=4)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))

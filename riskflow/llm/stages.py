@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from riskflow.llm import packing, pseudonyms, toxicity, word_ids
+from riskflow.llm import near_dedup, packing, pseudonyms, toxicity, word_ids
 from riskflow.llm.queries import PSEUDONYM_KEY, TOXIC_SCORE
 
 
@@ -19,6 +19,19 @@ def reject_toxic(spark, docs, sf_dir):
     return scored.filter(F.col("__found.score") < TOXIC_SCORE).drop("__found")
 
 
+def keep_one_of_each_group(spark, docs, sf_dir):
+    """One document of each group of near copies (five words, 0.8); rows that repeat both id
+    and text once."""
+    found = near_dedup.near_duplicates(docs.select("doc_id", "text"))
+    firsts = found.filter("first").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
+    ).distinct()
+    hashed = docs.withColumn("__text_hash", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
+    kept = hashed.join(firsts, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", "__text_hash"]).select(docs.columns)
+
+
 def replace_personal_data(spark, docs, sf_dir):
     """Every document, personal data replaced by pseudonyms of the same format."""
     replaced = pseudonyms.pseudonymize(docs, PSEUDONYM_KEY)
