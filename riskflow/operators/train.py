@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.operators.prepare import Preparation, fit_preparation
-from riskflow.operators.split import fold_of, is_train
+from riskflow.operators.split import digest_share, fold_of, is_train, key_digest
 from riskflow.schemas import Task
-from riskflow.session import materialize
+from riskflow.session import discard, materialize
 
 LR, RF = "logistic_regression", "random_forest"
 # Iterations, seed, folds and the two parameter grids.
@@ -29,10 +29,6 @@ GRIDS = {
 }
 
 
-# Below this many rows a partition is not worth a task of its own.
-SPREAD_ROWS = 20_000
-
-
 def estimator(family: str, label: str, **params):
     """An untrained classifier of the family; ``params`` are MLlib's own."""
     if family == LR:
@@ -48,46 +44,61 @@ class TrainingSet:
     test: DataFrame
     preparation: Preparation
     label: str
-    partitions: int
-
-    @property
-    def idle_share(self) -> int:
-        """How many fits it takes to keep all cores busy."""
-        return max(1, self.train.sparkSession.sparkContext.defaultParallelism // self.partitions)
+    stored: DataFrame
 
     def release(self) -> None:
+        """Drop the vectors from memory; the test split can still be read."""
         self.train.unpersist()
 
+    def discard(self) -> None:
+        """Release the vectors and delete the written records; nothing can be read after."""
+        self.release()
+        discard(self.stored)
 
-def training_set(records: DataFrame, task: Task, key: Sequence[str]) -> TrainingSet:
+
+def training_set(
+    records: DataFrame,
+    task: Task,
+    key: Sequence[str],
+    partitions: int | None = None,
+    max_training_rows: int | None = None,
+) -> TrainingSet:
     """Split by key hash, fit the preparation on the train split only and apply it.
 
     The records are written once, parted by split, so that joins, filters and
-    hashes upstream run once and each later pass reads its own part. The prepared
-    vectors are read again by every fit, so they are kept in memory and on disk;
-    lost blocks are recomputed from the written table.
+    hashes upstream run once and each later pass reads its own part. A forest
+    draws its bags per partition, so the train split is dealt by the key's digest
+    to ``partitions`` (the session's shuffle partitions) and sorted in each: the
+    input's files and the cluster's cores do not change the model. The vectors are
+    read again by every fit and kept in memory and on disk; lost blocks are
+    recomputed from the written table.
+
+    ``max_training_rows`` bounds the train split, about, to the rows with the
+    smallest digests. It is off by default.
     """
+    spark = records.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     marked = records.select(
-        *task.features, task.label, fold_of(key, FOLDS).alias("fold"), is_train(key).alias("train")
+        *task.features, task.label, key_digest(key).alias("digest"),
+        fold_of(key, FOLDS).alias("fold"), is_train(key).alias("train"),
     )
     stored = materialize(marked, f"{task.name}_records", ["train"])
     train, test = stored.filter("train").drop("train"), stored.filter("NOT train").drop("train")
+    if max_training_rows:
+        share = max_training_rows / max(1, train.count())
+        train = train.filter(digest_share(F.col("digest")) < share)
+    order = ["digest", *task.features, task.label]
+    train = train.repartition(partitions, "digest").sortWithinPartitions(*order)
     preparation = fit_preparation(train, task.features, task.zero_columns)
     prepared = PipelineModel(preparation.stages()).transform(train).select(
         "features", task.label, "fold"
     )
-    # Many rows in fewer files than cores are spread before the many fits.
-    cores = records.sparkSession.sparkContext.defaultParallelism
-    wanted = min(cores, max(1, preparation.n_rows // SPREAD_ROWS))
-    partitions = train.rdd.getNumPartitions()
-    if partitions < wanted:
-        prepared, partitions = prepared.repartition(wanted), wanted
     return TrainingSet(
         train=prepared.persist(StorageLevel.MEMORY_AND_DISK),
-        test=test,
+        test=test.drop("digest"),
         preparation=preparation,
         label=task.label,
-        partitions=partitions,
+        stored=stored,
     )
 
 
@@ -147,24 +158,28 @@ def tune(
 def cross_validate(data: TrainingSet, base, points, folds: int, parallelism: int) -> list[float]:
     """Mean validation AUC of each grid point.
 
-    A plain filter on the fold column keeps the rows in the JVM and reads the
-    persisted vectors; MLlib's own fold column check passes every row through
-    Python. All fits of all folds share one pool, so a slow one holds up nobody.
-    ``parallelism`` is raised only where one fit cannot keep the cores busy: each
-    running fit holds its own copy of the vectors.
+    A plain filter on the fold column keeps the rows in the JVM; MLlib's own fold
+    column check passes every row through Python. One fold at a time: its training
+    part is persisted, its grid points are fitted, at most ``parallelism`` at once,
+    and the part is released before the next fold.
     """
     evaluator = BinaryClassificationEvaluator(labelCol=data.label)
-
-    def validation_auc(job) -> float:
-        fold, point = job
-        model = base.fit(data.train.filter(F.col("fold") != fold), point)
-        return evaluator.evaluate(model.transform(data.train.filter(F.col("fold") == fold)))
-
-    jobs = [(fold, point) for point in points for fold in range(folds)]
-    work = inheritable_thread_target(data.train.sparkSession)(validation_auc)
-    with ThreadPool(min(max(parallelism, data.idle_share), len(jobs))) as pool:
-        aucs = pool.map(work, jobs, chunksize=1)
-    return [sum(aucs[i : i + folds]) / folds for i in range(0, len(aucs), folds)]
+    sums = [0.0] * len(points)
+    for fold in range(folds):
+        part = data.train.filter(F.col("fold") != fold).persist(StorageLevel.MEMORY_AND_DISK)
+        rest = data.train.filter(F.col("fold") == fold)
+
+        def validation_auc(point, part=part, rest=rest) -> float:
+            return evaluator.evaluate(base.fit(part, point).transform(rest))
+
+        work = inheritable_thread_target(data.train.sparkSession)(validation_auc)
+        try:
+            with ThreadPool(min(parallelism, len(points))) as pool:
+                aucs = pool.map(work, points, chunksize=1)
+        finally:
+            part.unpersist(blocking=True)
+        sums = [total + auc for total, auc in zip(sums, aucs)]
+    return [total / folds for total in sums]
 
 
 def _fitted(data, family, model, params, started, tried=()) -> Fitted:

@@ -55,3 +55,13 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     path = scratch_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    root = scratch_root(spark)
+    for file in df.inputFiles()[:1]:
+        name = file.split("riskflow-scratch/")[-1].split("/")[1]
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,11 +5,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from riskflow.operators.score import ChosenModel, flat_result, score, with_model_score
-from riskflow.operators.train import GRIDS, LR, RF, fit, training_set
+from riskflow.operators import train
+from riskflow.operators.train import GRIDS, LR, RF, fit, training_set, tune
 from riskflow.plans import jobs
 from riskflow.plans.queries import trained
 from riskflow.schemas import DIABETES, HEART
-from riskflow.sources import registry
+from riskflow.session import scratch_root
+from riskflow.sources import registry, tables
 from riskflow.sources.models import save_model, try_load
 from riskflow.sources.views import DIABETES_KEY, HEART_KEY, diabetes_records, heart_records
 
@@ -171,6 +173,81 @@ def test_single_fit_is_repeatable(spark, sf_dir):
     assert weights[0] == pytest.approx(weights[1], rel=1e-6)
 
 
+def test_forest_does_not_depend_on_the_input_partitions(spark, sf_dir):
+    records = jobs.training_records(heart_records(spark, sf_dir), HEART, HEART_KEY)
+    weights = []
+    for partitions in (1, 3, 7):
+        data = training_set(records.repartition(partitions), HEART, HEART_KEY)
+        assert data.train.rdd.getNumPartitions() == 8
+        model = fit(data, RF, numTrees=5).classifier
+        weights.append(model.featureImportances.toArray())
+        data.discard()
+    assert weights[0] == pytest.approx(weights[1], abs=1e-9)
+    assert weights[0] == pytest.approx(weights[2], abs=1e-9)
+
+
+def test_training_rows_can_be_bounded(spark, sf_dir):
+    records = jobs.training_records(heart_records(spark, sf_dir), HEART, HEART_KEY)
+    data = training_set(records, HEART, HEART_KEY, max_training_rows=300)
+    assert 200 < data.train.count() < 400
+    data.discard()
+
+
+def test_one_fold_is_persisted_at_a_time(spark, sf_dir, monkeypatch):
+    kind, now, most = type(spark.range(0)), [0], [0]
+    persist, unpersist = kind.persist, kind.unpersist
+
+    def counted(self, *args, **options):
+        now[0] += 1
+        most[0] = max(most[0], now[0])
+        return persist(self, *args, **options)
+
+    def released(self, *args, **options):
+        now[0] -= 1
+        return unpersist(self, *args, **options)
+
+    records = jobs.training_records(heart_records(spark, sf_dir), HEART, HEART_KEY)
+    data = training_set(records, HEART, HEART_KEY)
+    monkeypatch.setattr(kind, "persist", counted)
+    monkeypatch.setattr(kind, "unpersist", released)
+    tune(data, LR, {"regParam": [0.1, 0.3]}, maxIter=2)
+    assert (now[0], most[0]) == (0, 1)
+    monkeypatch.undo()
+    data.discard()
+
+
+def _tables(spark):
+    fs, root = tables._status(spark, scratch_root(spark))
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return {n for n in names if "_records-" in n or n.startswith("score_counts-")}
+
+
+def test_two_runs_leave_two_lines_and_no_scratch(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(train, "GRIDS", {LR: {"regParam": [0.1]}, RF: {"numTrees": [2]}})
+    before, folder = _tables(spark), str(tmp_path)
+    jobs.train({"diabetes": (diabetes_records(spark, sf_dir), DIABETES_KEY)}, folder)
+    renamed = heart_records(spark, sf_dir).withColumnRenamed("ldl", "air quality")
+    jobs.train({"heart": (renamed, HEART_KEY)}, folder)
+    lines = {r.task: r.family for r in registry.read_lines(spark, f"{folder}/best_models").collect()}
+    assert set(lines) == {"diabetes", "heart"} and set(lines.values()) <= {LR, RF}
+    rows = registry.read(spark, f"{folder}/registry").collect()
+    missing = heart_records(spark, sf_dir).filter("age IS NULL OR cholesterol IS NULL").count()
+    assert {r.dropped_rows for r in rows if r.task == "heart"} == {missing}
+    assert _tables(spark) <= before
+    model = registry.resolve(spark, f"{folder}/registry", "heart", jobs.encoded(renamed, HEART).columns)
+    scored = with_model_score(jobs.encoded(renamed, HEART), model)
+    assert scored.filter("model_probability IS NULL").count() == missing
+
+
+def test_gate_keeps_models_out(spark, tmp_path, fitted):
+    path = str(tmp_path / "model")
+    save_model(fitted[1]["diabetes"][0].pipeline, path)
+    _append(spark, [("r1", "diabetes", LR, path, 0.75)], tmp_path)
+    place = str(tmp_path / "registry")
+    assert registry.resolve(spark, place, "diabetes", minimum="acceptable") is not None
+    assert registry.resolve(spark, place, "diabetes", minimum="deployable") is None
+
+
 def test_training_reads_keys_of_both_tasks(spark, sf_dir):
     records = jobs.training_records(diabetes_records(spark, sf_dir), DIABETES, DIABETES_KEY)
     assert records.count() == diabetes_records(spark, sf_dir).count()
