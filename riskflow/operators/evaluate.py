@@ -8,7 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.session import materialize
+from riskflow.session import discard, materialize
 
 # Gates on the AUC: fixed values.
 ACCEPTABLE_AUC, DEPLOYABLE_AUC = 0.70, 0.80
@@ -27,19 +27,23 @@ def unpivot_scores(
 
 
 def score_counts(df: DataFrame, group: Sequence[str], score: str, label: str, prediction: str) -> DataFrame:
-    """Positives and negatives per distinct score.
+    """Positives and negatives per distinct score, and how many of each are predicted positive.
 
     Combined on the map side, so a score shared by many rows costs one row per task.
-    Rows without a score or a label cannot be ranked: they count for nothing and
-    go after the aggregate. A filter before it would be pushed below the scoring
-    and compute every score twice.
+    Rows of equal score are ties whatever their prediction. Rows without a score or a
+    label cannot be ranked: they count for nothing and go after the aggregate. A
+    filter before it would be pushed below the scoring and compute every score twice.
     """
     scored = F.col(score).isNotNull() & ~F.isnan(score)
+    positive, negative = scored & (F.col(label) == 1), scored & (F.col(label) != 1)
+    predicted = F.coalesce(F.col(prediction) == 1, F.lit(False))
     return (
-        df.groupBy(*group, F.col(score).alias("score"), F.col(prediction).alias("prediction"))
+        df.groupBy(*group, F.col(score).alias("score"))
         .agg(
-            F.count_if(scored & (F.col(label) == 1)).alias("n_pos"),
-            F.count_if(scored & (F.col(label) != 1)).alias("n_neg"),
+            F.count_if(positive).alias("n_pos"),
+            F.count_if(negative).alias("n_neg"),
+            F.count_if(positive & predicted).alias("tp"),
+            F.count_if(negative & predicted).alias("fp"),
         )
         .filter(F.col("n_pos") + F.col("n_neg") > 0)
     )
@@ -80,15 +84,7 @@ def _pairs(positives: Column, negatives_below: Column, negatives_equal: Column)
 
 
 def _sums() -> list[Column]:
-    predicted = F.col("prediction") == 1
-    zero = F.lit(0).cast("bigint")
-    parts = {
-        "n_pos": F.col("n_pos"),
-        "n_neg": F.col("n_neg"),
-        "tp": F.when(predicted, F.col("n_pos")).otherwise(zero),
-        "fp": F.when(predicted, F.col("n_neg")).otherwise(zero),
-    }
-    return [F.sum(column).alias(name) for name, column in parts.items()]
+    return [F.sum(name).alias(name) for name in ("n_pos", "n_neg", "tp", "fp")]
 
 
 def evaluate(
@@ -97,7 +93,6 @@ def evaluate(
     score: str = "score",
     label: str = "label",
     prediction: str | None = None,
-    few_scores: bool = False,
     buckets: int | None = None,
 ) -> DataFrame:
     """AUC, accuracy, precision, recall and F1 of every group.
@@ -106,25 +101,14 @@ def evaluate(
     into buckets at approximate quantiles and ranked inside each bucket; a window
     over the buckets adds the pairs between them. The cuts only balance the work,
     any cuts give the same result. No task sees more than one bucket.
-
-    ``few_scores`` skips the cut where the number of distinct scores is bounded by
-    construction, as for a rule book.
     """
     if prediction is None:
         prediction = "prediction"
         df = df.withColumn(prediction, (F.col(score) >= 0.5).cast("int"))
     counts = score_counts(df, group, score, label, prediction)
-    if few_scores:
-        ranked = counts.withColumn("bucket", F.lit(0.0))
-        window = Window.partitionBy(*group).orderBy("score")
-        below = F.sum("n_neg").over(window.rowsBetween(Window.unboundedPreceding, -1))
-        ranked = ranked.withColumn(
-            "pairs", _pairs(F.col("n_pos"), F.coalesce(below, F.lit(0)), F.col("n_neg"))
-        )
-    else:
-        # Two passes read the counts, so write them once.
-        counts = materialize(counts, "score_counts")
-        ranked = _ranked_by_bucket(counts, group, buckets)
+    # Two passes read the counts, so write them once.
+    counts = materialize(counts, "score_counts")
+    ranked = _ranked_by_bucket(counts, group, buckets)
     by_bucket = ranked.groupBy(*group, "bucket").agg(*_sums(), F.sum("pairs").alias("pairs"))
     between = (
         Window.partitionBy(*group)
@@ -137,6 +121,9 @@ def evaluate(
         .groupBy(*group)
         .agg(*(F.sum(name).alias(name) for name in ("n_pos", "n_neg", "tp", "fp", "pairs")))
     )
+    # A row per group; once it is written, the counts are of no more use.
+    totals = materialize(totals, "evaluated")
+    discard(counts)
     return _report(totals, group)
 
 

@@ -36,16 +36,26 @@ def test_auc_does_not_depend_on_the_cut(spark, buckets):
         assert result[name].n_rows == len(rows)
 
 
-def test_few_scores_equals_cut_and_mllib(spark):
+def test_equals_mllib(spark):
     df = spark.createDataFrame(
         [("a", s, float(y)) for s, y in _rows(3)], "candidate string, score double, label double"
     )
-    cut, whole = (ev.evaluate(df, few_scores=few).first() for few in (False, True))
-    assert cut.asDict() == pytest.approx(whole.asDict())
+    cut = ev.evaluate(df).first()
     exact = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(df)
     assert cut.auc == pytest.approx(exact, abs=1e-12)
 
 
+def test_ties_with_mixed_predictions(spark):
+    """Equal scores are ties whatever was predicted, in whatever way."""
+    rows = [("a", 0.5, i % 2, (i // 2) % 2) for i in range(130)] + [("b", 0.5, 1, None), ("b", 0.1, 0, 1)]
+    df = spark.createDataFrame(rows, "candidate string, score double, label int, prediction int")
+    got = {r.candidate: r for r in ev.evaluate(df, prediction="prediction").collect()}
+    assert got["a"].auc == 0.5 and got["a"].n_rows == 130
+    positive = [r for r in rows[:130] if r[3] == 1]
+    assert got["a"].precision == pytest.approx(sum(r[2] for r in positive) / len(positive))
+    assert got["b"].auc == 1.0 and got["b"].accuracy == 0.0
+
+
 def test_undefined_ratios_are_null(spark):
     one_class = spark.createDataFrame([("a", 0.1, 0), ("a", 0.2, 0)], "candidate string, score double, label int")
     row = ev.evaluate(one_class).first()
