@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,12 @@ from riskflow.operators.score import FAMILIES, ChosenModel
 from riskflow.sources.models import try_load
 from riskflow.sources.tables import exists
 
+_log = logging.getLogger(__name__)
+
 SCHEMA = (
     "run_id string, task string, family string, path string, auc double, accuracy double, "
     "precision double, recall double, f1 double, params string, train_seconds double, "
-    "trained_at timestamp, gate string, complete boolean"
+    "trained_at timestamp, gate string, complete boolean, dropped_rows long"
 )
 
 
@@ -34,7 +37,10 @@ def latest_run(registry: DataFrame) -> DataFrame:
 
 
 def best(registry: DataFrame, family_order: Iterable[str] = FAMILIES) -> DataFrame:
-    """One row per task: the highest AUC; a tie goes to the family named first."""
+    """One row per task: the highest AUC among the models that can be loaded; a tie goes to
+    the family named first."""
+    if "complete" in registry.columns:
+        registry = registry.filter(F.coalesce("complete", F.lit(True)))
     order = F.array(*(F.lit(name) for name in family_order))
     rank = F.struct(F.col("auc"), -F.array_position(order, F.col("family")))
     row = F.struct(*(F.col(name) for name in registry.columns if name != "task"))
@@ -49,30 +55,45 @@ def deployable(registry: DataFrame, minimum: str = "acceptable") -> DataFrame:
 
 
 def resolve(
-    spark: SparkSession, path: str, task: str, columns: Iterable[str] | None = None
+    spark: SparkSession,
+    path: str,
+    task: str,
+    columns: Iterable[str] | None = None,
+    minimum: str | None = None,
 ) -> ChosenModel | None:
     """Best model of the last run, else its others by family order, else None.
 
     A model that cannot be loaded, or that needs other than the given ``columns``,
-    is passed over. Reads a handful of rows while planning; the scoring job
-    itself reads none.
+    is passed over, which is logged. ``minimum`` (acceptable or deployable) leaves only models
+    that pass the quality gate. Reads a handful of rows while planning, in one job; the
+    scoring job itself reads none.
     """
     if not exists(spark, path):
         return None
     rows = latest_run(read(spark, path).filter(F.col("task") == task))
-    top = best(rows).collect()
-    others = sorted(rows.collect(), key=lambda row: FAMILIES.index(row["family"]))
-    for row in [*top, *others]:
+    if minimum:
+        rows = deployable(rows, minimum)
+    # The best first: highest AUC, ties by family; then the others by family.
+    found = sorted(rows.collect(), key=lambda row: (-(row["auc"] or 0.0), FAMILIES.index(row["family"])))
+    others = sorted(found[1:], key=lambda row: FAMILIES.index(row["family"]))
+    for row in [*found[:1], *others]:
         model = try_load(row["path"], row["family"])
-        if model and (columns is None or not model.missing(columns)):
+        if model is None:
+            _log.warning("passed over, cannot be loaded: %s", row["path"])
+        elif columns is not None and model.missing(columns):
+            _log.warning("passed over, %s needs %s", row["path"], ", ".join(model.missing(columns)))
+        else:
             return model
     return None
 
 
-# The text form of the choice, "Best <task> model: <path>", and
-# the path parts that name a family.
+# The text form of the choice, "Best <task> model: <path>", and the ends of a
+# model folder's name that tell its family.
 _LINE = r"^Best (\w+) model:(.*)$"
-_FAMILY_MARKS = {"lr": "logistic_regression", "rf": "random_forest"}
+_FAMILY_MARKS = {
+    "lr": "logistic_regression", "logistic_regression": "logistic_regression",
+    "rf": "random_forest", "random_forest": "random_forest",
+}
 
 
 def to_lines(best_rows: DataFrame) -> DataFrame:
@@ -89,7 +110,7 @@ def write_lines(best_rows: DataFrame, path: str) -> None:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(task, path, family) out of such lines; other lines are skipped.
 
-    Without a family column the path has to name it: ``lr`` is looked for first.
+    Without a family column the last part of the path has to name it, by its end.
     """
     line = F.col("value")
     parsed = (
@@ -100,7 +121,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             F.trim(F.regexp_extract(line, _LINE, 2)).alias("path"),
         )
     )
-    family = F
+    folder, family = F.lower(F.regexp_extract("path", r"([^/]*)/*$", 1)), F
     for mark, name in _FAMILY_MARKS.items():
-        family = family.when(F.lower("path").contains(mark), F.lit(name))
+        family = family.when(folder.rlike(f"(^|_){mark}$"), F.lit(name))
     return parsed.withColumn("family", family.otherwise(F.lit("unknown")))

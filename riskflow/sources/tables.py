@@ -4,15 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.functions.scalar import quoted
+
+
+def _cast(name: str, kind: T.DataType) -> Column:
+    """A text column as ``kind``, null where it does not read as one; 3.0 is a whole number."""
+    column = F.col(quoted(name))
+    if isinstance(kind, T.IntegralType):
+        number = column.try_cast("double")
+        column = F.when(number == F.floor(number), number.try_cast("long"))
+    return column.try_cast(kind).alias(name)
+
+
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns cast by name, in whatever order they come; others stay as they are.
+
+    A column of the schema that the table lacks is an error.
+    """
+    kinds = {field.name: field.dataType for field in schema.fields}
+    missing = sorted(set(kinds) - set(df.columns))
+    if missing:
+        raise ValueError(f"the table lacks: {', '.join(missing)}")
+    return df.select(
+        *(_cast(n, kinds[n]) if n in kinds else F.col(quoted(n)) for n in df.columns)
+    )
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header row. Without a schema Spark infers one, at the price of another scan."""
+    """CSV with a header row, columns by header name.
+
+    Without a schema Spark infers one, at the price of another scan.
+    """
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return typed(reader.csv(path), schema)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -45,6 +75,14 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(handle) and fs.getFileStatus(handle).isDirectory()
 
 
+def version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Last change and size of a table's files: another table under the same path differs."""
+    fs, handle = _status(spark, path)
+    files = [handle] if not is_directory(spark, path) else [s.getPath() for s in fs.listStatus(handle)]
+    found = [fs.getFileStatus(f) for f in files]
+    return max(s.getModificationTime() for s in found), sum(s.getLen() for s in found)
+
+
 def candidates(folder: str, name: str) -> list[tuple[str, str]]:
     """Where a prepared table may be: its Parquet copy, else the cleaned CSV."""
     return [("parquet", f"{folder}/{name}"), ("csv", f"{folder}/{name}_cleaned.csv")]

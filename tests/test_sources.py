@@ -1,10 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow.functions.encode import GENDER_CODES, equals_flag, mapped
 from riskflow.schemas import DIABETES_CSV_COLUMNS, DIABETES_CSV_SCHEMA
-from riskflow.session import DEFAULTS, materialize, scratch_path, scratch_root
-from riskflow.sources import tables
+from riskflow.session import DEFAULTS, discard, materialize, scratch_path, scratch_root
+from riskflow.sources import registry, tables
 
 
 def test_session_settings(spark):
@@ -27,12 +28,42 @@ def test_materialize_keeps_schema_and_rows(spark):
 def test_declared_schema_of_the_csv_header(spark, tmp_path):
     path = tmp_path / "records.csv"
     header = ",".join(DIABETES_CSV_COLUMNS)
-    path.write_text(f"{header}\n6,148,72,35,0,33.6,0.627,50,1\n1,85,66,29,0,26.6,0.351,31,0\n")
-    declared = tables.read_csv(spark, str(path), DIABETES_CSV_SCHEMA)
-    inferred = tables.read_csv(spark, str(path))
-    assert declared.dtypes == inferred.dtypes
-    renamed = declared.withColumnsRenamed(DIABETES_CSV_COLUMNS)
-    assert renamed.agg(F.sum("glucose")).first()[0] == 233
+    path.write_text(f"{header}\n4,150,72,33,0,32.5,0.6,47,1\n2,90,66,28,0,25.5,0.3,33,0\n")
+    raw = spark.read.option("header", True).csv(str(path)).withColumnsRenamed(DIABETES_CSV_COLUMNS)
+    declared = tables.typed(raw, DIABETES_CSV_SCHEMA)
+    assert declared.schema == DIABETES_CSV_SCHEMA
+    assert declared.agg(F.sum("glucose")).first()[0] == 240
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("b,extra,a\n1.5,x,3.0\n,y,2.5\nz,,9\n")
+    df = tables.read_csv(spark, str(path), T.StructType.fromDDL("a int, b double"))
+    assert [tuple(r) for r in df.collect()] == [(1.5, "x", 3), (None, "y", None), (None, None, 9)]
+
+
+def test_discard_deletes_the_table(spark):
+    stored = materialize(spark.range(5), "gone")
+    path = stored.inputFiles()[0].rsplit("/", 1)[0]
+    assert tables.exists(spark, path)
+    discard(stored)
+    assert not tables.exists(spark, path)
+    assert tables.exists(spark, scratch_root(spark))
+
+
+def test_family_marks(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    ends = {
+        "mlruns/a/diabetes_model_lr": "logistic_regression",
+        "mlruns/heart_random_forest/": "random_forest",
+        "x/heart_model_rf": "random_forest",
+        "lr/perform": "unknown",
+        "x/diabetes_logistic_regression": "logistic_regression",
+    }
+    lines = [(f"Best t{i} model: {end}",) for i, end in enumerate(ends)] + [("nothing",)]
+    spark.createDataFrame(lines, "value string").write.text(path)
+    got = {r.path: r.family for r in registry.read_lines(spark, path).collect()}
+    assert got == ends
 
 
 def test_first_available_order(spark, tmp_path):
