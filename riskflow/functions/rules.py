@@ -141,9 +141,15 @@ def _field(book: RuleBook, name: str, value: str) -> str:
     return value
 
 
-def named_fields(book: RuleBook, available: Iterable[str]) -> dict[str, str]:
-    """Inputs out of named columns; fields without a column count as null."""
+def named_fields(
+    book: RuleBook, available: Iterable[str], absent: Iterable[str] = ()
+) -> dict[str, str]:
+    """Inputs out of named columns. The fields in ``absent`` may lack a column and then count
+    as null; any other field without one is an error."""
     available = set(available)
+    missing = sorted(set(book.inputs) - available - set(absent))
+    if missing:
+        raise ValueError(f"the {book.name} rules need: {', '.join(missing)}")
     return {
         name: _field(book, name, f"`{name}`" if name in available else "NULL")
         for name in book.inputs
@@ -194,9 +200,12 @@ def with_rule_score(
     fields: Fields | None = None,
     probability: str = "rule_probability",
     prediction: str = "rule_prediction",
+    absent: Iterable[str] = (),
 ) -> DataFrame:
-    """Add the rule score of every row; the row's own columns stay as they are."""
-    fields = fields or named_fields(book, df.columns)
+    """Add the rule score of every row; the row's own columns stay as they are.
+
+    ``absent`` names inputs that the table may lack."""
+    fields = fields or named_fields(book, df.columns, absent)
     readable = {name: f"__fields.`{name}`" for name in fields}
     values = ", ".join(f"'{name}', {value}" for name, value in fields.items())
     return (

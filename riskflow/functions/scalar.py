@@ -12,6 +12,12 @@ def as_number(column: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def quoted(name: str) -> str:
+    """A column name for SQL text and column lookups, whatever characters it has."""
+    escaped = name.replace("`", "``")
+    return f"`{escaped}`"
+
+
 def at_threshold(column: Column, threshold: float = 0.5) -> Column:
     return (column >= F.lit(threshold)).cast("int")
 

@@ -10,10 +10,13 @@ from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.functions.scalar import as_number, quoted
+
 
 def _non_zero(name: str) -> Column:
-    """The value as double, null where it is zero or null."""
-    return F.when(F.col(name) != 0, F.col(name).cast("double"))
+    """The value as double, null where it is zero, NaN or null."""
+    value = as_number(F.col(quoted(name)))
+    return F.when(value != 0, value)
 
 
 def nonzero_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -21,14 +24,14 @@ def nonzero_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     measures, entries = [], []
     for name in columns:
         measures += [
-            F.count_if(F.col(name) == 0).alias(f"{name}_zeros"),
+            F.count_if(F.col(quoted(name)) == 0).alias(f"{name}_zeros"),
             F.avg(_non_zero(name)).alias(f"{name}_mean"),
         ]
         entries.append(
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.col(f"{name}_zeros").alias("n_zero"),
-                F.col(f"{name}_mean").alias("mean_nonzero"),
+                F.col(quoted(f"{name}_zeros")).alias("n_zero"),
+                F.col(quoted(f"{name}_mean")).alias("mean_nonzero"),
             )
         )
     return df.agg(*measures).select(F.inline(F.array(*entries)))
@@ -56,12 +59,13 @@ def zero_impute(
     means: Mapping[str, float] | None = None,
     on_all_zero: str = "raise",
 ) -> DataFrame:
-    """Replace zeros by the column's non-zero mean; nulls stay null."""
+    """Replace zeros by the column's non-zero mean; nulls stay null, NaN becomes null."""
     means = means or nonzero_means(df, columns, on_all_zero)
+    values = {name: as_number(F.col(quoted(name))) for name in columns}
     return df.withColumns(
         {
-            name: F.when(F.col(name) == 0, F.lit(means[name])).otherwise(F.col(name).cast("double"))
-            for name in columns
+            name: F.when(value == 0, F.lit(means[name])).otherwise(value)
+            for name, value in values.items()
         }
     )
 
@@ -89,14 +93,14 @@ def scaler_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     measures = []
     for name in columns:
         measures += [
-            F.avg(name).alias(f"{name}_mean"),
-            F.stddev_samp(name).alias(f"{name}_std"),
+            F.avg(quoted(name)).alias(f"{name}_mean"),
+            F.stddev_samp(quoted(name)).alias(f"{name}_std"),
         ]
     entries = (
         F.struct(
             F.lit(name).alias("feature"),
-            F.col(f"{name}_mean").alias("mean"),
-            F.col(f"{name}_std").alias("std"),
+            F.col(quoted(f"{name}_mean")).alias("mean"),
+            F.col(quoted(f"{name}_std")).alias("std"),
         )
         for name in columns
     )
@@ -124,19 +128,21 @@ class Preparation:
         decides what becomes of them, so that no row is lost or fails the job.
         """
         scaled = [SCALED_PREFIX + name for name in self.features]
-        items = ", ".join(f"{self._expression(n)} AS {z}" for n, z in zip(self.features, scaled))
+        items = ", ".join(
+            f"{self._expression(n)} AS {quoted(z)}" for n, z in zip(self.features, scaled)
+        )
         return [
             SQLTransformer(statement=f"SELECT *, {items} FROM __THIS__"),
             _assembler(scaled, output, handle_invalid),
         ]
 
     def _expression(self, name: str) -> str:
-        value = f"CAST({name} AS DOUBLE)"
-        if name in self.fill:
-            value = f"CASE WHEN {name} = 0 THEN {self.fill[name]!r}D ELSE {value} END"
+        value = f"nanvl(CAST({quoted(name)} AS DOUBLE), CAST(NULL AS DOUBLE))"
         if not self.std[name]:
             # a constant column carries no information
-            return f"CASE WHEN {name} IS NOT NULL THEN 0D END"
+            return f"CASE WHEN {value} IS NOT NULL THEN 0D END"
+        if name in self.fill:
+            value = f"CASE WHEN {value} = 0 THEN {self.fill[name]!r}D ELSE {value} END"
         return f"({value} - {_double(self.mean[name])}) / {_double(self.std[name])}"
 
 
@@ -155,9 +161,10 @@ def fit_preparation(
     """
     measures = [F.count(F.lit(1)).alias("n_rows")]
     for name in features:
-        value = _non_zero(name) if name in zero_columns else F.col(name).cast("double")
+        number = as_number(F.col(quoted(name)))
+        value = _non_zero(name) if name in zero_columns else number
         measures += [
-            F.count(name).alias(f"{name}_rows"),
+            F.count(number).alias(f"{name}_rows"),
             F.count(value).alias(f"{name}_n"),
             F.avg(value).alias(f"{name}_mean"),
             F.var_samp(value).alias(f"{name}_var"),

@@ -11,18 +11,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.functions.scalar import quoted
 
 def profile(df: DataFrame) -> DataFrame:
     """Rows, nulls and zeros of every column: one aggregate over one scan."""
     measures, entries = ["count(1) AS n_rows"], []
     for i, field in enumerate(df.schema.fields):
-        name, zeros = f"`{field.name}`", "CAST(NULL AS BIGINT)"
+        name, zeros = quoted(field.name), "CAST(NULL AS BIGINT)"
         measures.append(f"count_if({name} IS NULL) AS null_{i}")
         if isinstance(field.dataType, T.NumericType):
             measures.append(f"count_if({name} = 0) AS zero_{i}")
             zeros = f"zero_{i}"
         kind = field.dataType.simpleString()
-        entries.append(f"'{field.name}', '{kind}', n_rows, null_{i}, {zeros}")
+        text = field.name.replace("\\", "\\\\").replace("'", "\\'")
+        entries.append(f"'{text}', '{kind}', n_rows, null_{i}, {zeros}")
     # The single result row fans out to one row per column, after the aggregate.
     return df.agg(*map(F.expr, measures)).selectExpr(
         f"stack({len(entries)}, {', '.join(entries)})"
@@ -44,9 +46,10 @@ def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     kinds = {field.name: field.dataType for field in df.schema.fields}
     conditions = []
     for name in columns or df.columns:
-        conditions.append(F.col(name).isNotNull())
+        column = F.col(quoted(name))
+        conditions.append(column.isNotNull())
         if isinstance(kinds[name], (T.DoubleType, T.FloatType)):
-            conditions.append(~F.isnan(name))
+            conditions.append(~F.isnan(column))
     return df.filter(reduce(and_, conditions))
 
 
@@ -71,6 +74,8 @@ class Rule:
     low: float | None = None
     high: float | None = None
     values: tuple[str | int, ...] = ()
+    # an answer: 0 or 1 in a numeric column, Yes or No in a text column
+    answer: bool = False
     # check only where this column has this value
     when: tuple[str, str] | None = None
     allow_null: bool = False
@@ -80,8 +85,11 @@ class Rule:
         return {self.column} | ({self.when[0]} if self.when else set())
 
     def passes(self) -> Column:
-        column = F.col(self.column)
+        column = F.col(quoted(self.column))
         checks = []
+        if self.answer:
+            # Compared as text, so that neither kind of column fails the job by a cast.
+            checks.append(column.cast("string").isin("0", "1", "Yes", "No"))
         if self.low is not None:
             checks.append(column >= F.lit(self.low))
         if self.high is not None:
@@ -95,12 +103,8 @@ class Rule:
         return passed
 
 
-def _flags(*names: str) -> tuple[Rule, ...]:
-    return tuple(Rule(name, name, values=(0, 1)) for name in names)
-
-
 def _answers(*names: str) -> tuple[Rule, ...]:
-    return tuple(Rule(name, name, values=("Yes", "No")) for name in names)
+    return tuple(Rule(name, name, answer=True) for name in names)
 
 
 # The documented ranges and choices of the input forms.
@@ -117,15 +121,13 @@ DIABETES_INPUT_RULES = (
 HEART_INPUT_RULES = (
     Rule("age", "age", 20, 100),
     Rule("gender", "gender", values=("Female", "Male")),
-    *_flags("diabetes", "hypertension", "obesity"),
-    *_answers("smoking", "alcohol"),
-    *_flags("physical_activity"),
+    *_answers("diabetes", "hypertension", "obesity", "smoking", "alcohol", "physical_activity"),
     Rule("diet_score", "diet_score", 1, 10),
     Rule("stress", "stress", 1, 10),
     Rule("cholesterol", "cholesterol", 100, 400),
     Rule("systolic_bp", "systolic_bp", 80, 200),
     Rule("diastolic_bp", "diastolic_bp", 50, 150),
-    *_flags("family_history"),
+    *_answers("family_history"),
 )
 # Documented for male patients; needs a table that has both columns.
 PREGNANCY_RULE = Rule("male_pregnancies", "pregnancies", 0, 0, when=("gender", "Male"))

@@ -20,6 +20,7 @@ TEXTS = {
     },
 }
 BANDS = {1: "high-risk", 0: "low-risk"}
+MESSAGE = ("The prediction indicates a ", " probability of {subject}.")
 
 
 def _choose(prediction: Column, high: str, low: str) -> Column:
@@ -37,9 +38,9 @@ def with_report(
             "risk_band": _choose(p, BANDS[1], BANDS[0]),
             "headline": _choose(p, texts[1][0], texts[0][0]),
             "message": F.concat(
-                F.lit("The prediction indicates a "),
+                F.lit(MESSAGE[0]),
                 percent_text(F.col(probability)),
-                F.lit(f" probability of {TASKS[task].subject}."),
+                F.lit(MESSAGE[1].format(subject=TASKS[task].subject)),
             ),
             "recommendation": _choose(p, texts[1][1], texts[0][1]),
         }

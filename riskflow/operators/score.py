@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.rules import RULE_BOOKS, with_rule_score
-from riskflow.functions.scalar import as_number
+from riskflow.functions.scalar import as_number, quoted
 from riskflow.functions.vectors import positive_probability
 from riskflow.operators.prepare import SCALED_PREFIX
 
@@ -52,7 +52,7 @@ def with_model_score(df: DataFrame, model: ChosenModel, prefix: str = "model") -
     missing = model.missing(df.columns)
     if missing:
         raise ValueError(f"the model needs: {', '.join(missing)}")
-    complete = reduce(and_, (as_number(F.col(name)).isNotNull() for name in model.features))
+    complete = reduce(and_, (as_number(F.col(quoted(name))).isNotNull() for name in model.features))
     return model.pipeline.transform(df).select(
         *df.columns,
         F.when(complete, positive_probability()).alias(f"{prefix}_probability"),
@@ -83,12 +83,16 @@ def result_struct(
     )
 
 
-def score(df: DataFrame, task: str, model: ChosenModel | None = None) -> DataFrame:
+def score(
+    df: DataFrame, task: str, model: ChosenModel | None = None, absent: Iterable[str] = ()
+) -> DataFrame:
     """Add ``result``: the model's answer where it has one, else the rule book's.
 
+    ``absent`` names rule inputs that the table may lack; any other missing one is an error.
+
     Row by row only: neither a shuffle nor an action, batch and streaming alike.
     """
-    scored = with_rule_score(df, RULE_BOOKS[task])
+    scored = with_rule_score(df, RULE_BOOKS[task], absent=absent)
     rule_prediction, rule_probability = F.col("rule_prediction"), F.col("rule_probability")
     details = {RULE_BASED: (rule_prediction, rule_probability)}
     if model is None:

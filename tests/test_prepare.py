@@ -16,6 +16,15 @@ def test_zero_impute_keeps_nulls_and_values(spark):
     assert [r.a for r in rows] == [6.0, 4.0, None, 8.0]
 
 
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, 0.0), (4, nan)], "id int, a double")
+    rows = prepare.zero_impute(df, ["a"]).orderBy("id").collect()
+    assert [r.a for r in rows] == [1.0, 3.0, 2.0, None]
+    fitted = prepare.fit_preparation(df, ["a"], ["a"])
+    assert fitted.mean["a"] == 2.0 and fitted.fill["a"] == 2.0
+
+
 def test_all_zero_column(spark):
     df = spark.createDataFrame([(0, 1), (0, 2)], "a int, b int")
     with pytest.raises(ValueError, match="a"):

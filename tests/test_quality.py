@@ -57,3 +57,22 @@ def test_profile_of_empty_table(spark):
         ("a", 0, 0, 0),
         ("b", 0, 0, None),
     ]
+
+
+def test_answers_in_either_form(spark):
+    checks = [r for r in quality.HEART_INPUT_RULES if r.answer]
+    assert len(checks) == 7
+    names = [r.name for r in checks]
+    for kind, good, bad in (("int", 1, 2), ("string", "Yes", "Maybe")):
+        df = spark.createDataFrame(
+            [(good,) * 7, (bad,) * 7, (None,) * 7], ", ".join(f"{n} {kind}" for n in names)
+        )
+        flags = [len(r.violations) for r in quality.with_violations(df.coalesce(1), checks).collect()]
+        assert flags == [0, 7, 7]
+
+
+def test_any_column_name_can_be_profiled(spark):
+    df = spark.createDataFrame([(1, None), (0, 2.0)], "`air quality` int, `it's` double")
+    rows = {r.column_name: r for r in quality.profile(df).collect()}
+    assert rows["air quality"].n_zero == 1 and rows["it's"].n_null == 1
+    assert quality.drop_nulls(df).count() == 1

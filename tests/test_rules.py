@@ -8,6 +8,7 @@ from riskflow.functions import rules
 from riskflow.functions.rules import DIABETES_RULES, HEART_RULES
 
 DIABETES_SCHEMA = ", ".join(f"{name} double" for name in DIABETES_RULES.inputs)
+# The published sample record first; results added up by hand.
 DIABETES_ROWS = [
     ((1, 140, 80, 30, 45, 27.5, 0.5, 45), 1, 0.75),
     ((0, 120, 70, 20, 80, 25.0, 0.5, 30), 0, 0.20),
@@ -39,6 +40,7 @@ def test_diabetes_rows(spark):
         assert probability == pytest.approx(value, abs=1e-9), row
 
 
+# Fixed values, as above.
 HEART_ROWS = [
     (dict(age=50, gender=1, hypertension=1, smoking=1, physical_activity=1, diet_score=6,
           cholesterol=220), 1, 0.80),
@@ -66,7 +68,8 @@ def test_heart_rows_with_defaults(spark):
 
 def test_heart_without_columns(spark):
     df = spark.createDataFrame([(65, 1)], "age int, gender int")
-    [(prediction, probability)] = _scores(df, HEART_RULES)
+    absent = set(HEART_RULES.inputs) - {"age", "gender"}
+    [(prediction, probability)] = _scores(df, HEART_RULES, absent=absent)
     assert (prediction, probability) == (1, pytest.approx(0.55))
 
 
@@ -118,8 +121,15 @@ def test_every_tier_combination_against_plain_sums(spark):
         assert (row.rule_prediction, row.rule_probability) == expected(inputs), inputs
 
 
+def test_misspelt_column_is_an_error(spark):
+    df = spark.createDataFrame([(65, 1)], "age int, sex int")
+    with pytest.raises(ValueError, match="gender"):
+        rules.with_rule_score(df, HEART_RULES)
+
+
 def test_caller_columns_survive(spark):
     df = spark.createDataFrame([(65, 1, "x")], "age int, gender int, stress_note string")
-    scored = rules.with_rule_score(df, HEART_RULES)
+    absent = set(HEART_RULES.inputs) - {"age", "gender"}
+    scored = rules.with_rule_score(df, HEART_RULES, absent=absent)
     assert scored.columns == [*df.columns, "rule_probability", "rule_prediction"]
     assert scored.select(F.col("age")).first()["age"] == 65
