@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 from collections.abc import Sequence
 from dataclasses import replace
@@ -25,6 +26,8 @@ from riskflow.sources import registry
 from riskflow.sources.models import save_model, try_load
 from riskflow.sources.tables import write_csv, write_parquet
 
+_log = logging.getLogger(__name__)
+
 
 def encoded(df: DataFrame, task: Task) -> DataFrame:
     """Text answers as 0/1; what is not ``Male`` or ``Yes`` becomes 0, numbers stay."""
@@ -88,13 +91,21 @@ def with_features(task: Task, records: DataFrame, key: Sequence[str]) -> Task:
 
 
 def training_records(records: DataFrame, task: Task, key: Sequence[str]) -> DataFrame:
-    """Complete, encoded rows with key, features and label."""
-    columns = [*key, *task.features, task.label]
-    ready = encoded(drop_nulls(records.select(*columns), columns), task)
+    """Encoded rows with key, features and label, those without a null in a feature or the
+    label; ``dropped_rows`` counts the others."""
+    columns = [*key, *(name for name in (*task.features, task.label) if name not in key)]
+    complete = drop_nulls(records.select(*columns), [*task.features, task.label])
+    ready = encoded(complete, task)
     numeric_features(ready, {*key, task.label})
     return ready
 
 
+def dropped_rows(records: DataFrame, task: Task) -> int:
+    """How many records training leaves out because of a null or NaN."""
+    columns = records.select(*task.features, task.label)
+    return columns.count() - drop_nulls(columns).count()
+
+
 def test_scores(data: TrainingSet, models: Sequence[Fitted]) -> DataFrame:
     """(candidate, score, prediction, label) of every model on the test split."""
     scored = data.test
@@ -126,11 +137,17 @@ def train_task(
     run_id: str,
     families: Sequence[str] = (LR, RF),
     parallelism: int = 4,
+    max_training_rows: int | None = None,
 ) -> tuple[DataFrame, list[Fitted]]:
-    """Tune, save and evaluate each family; returns registry rows and the models."""
+    """Tune, save and evaluate each family; returns registry rows, written, and the models."""
     spark = records.sparkSession
     task = with_features(task, records, key)
-    data = training_set(training_records(records, task, key), task, key)
+    dropped = dropped_rows(records, task)
+    if dropped:
+        _log.warning("%s: %d records with a missing value are not trained on", task.name, dropped)
+    data = training_set(
+        training_records(records, task, key), task, key, max_training_rows=max_training_rows
+    )
     try:
         models = [tune(data, family, parallelism=parallelism) for family in families]
     finally:
@@ -144,37 +161,56 @@ def train_task(
                 run_id, m.family, paths[m.family], json.dumps(m.params), float(m.seconds),
                 datetime.now(timezone.utc),
                 try_load(paths[m.family], m.family) is not None,
+                dropped,
             )
             for m in models
         ],
         "run_id string, candidate string, path string, params string, train_seconds double, "
-        "trained_at timestamp, complete boolean",
+        "trained_at timestamp, complete boolean, dropped_rows long",
     )
-    # One row per family on both sides.
+    # One row per family on both sides. Written before the records they come from go.
     rows = leaderboard(data, models, task.name).join(facts, "candidate")
     columns = [item.split()[0] for item in registry.SCHEMA.split(", ")]
-    return rows.withColumnRenamed("candidate", "family").select(*columns), models
+    rows = rows.withColumnRenamed("candidate", "family").select(*columns)
+    rows = spark.createDataFrame(rows.collect(), registry.SCHEMA)
+    data.discard()
+    return rows, models
 
 
 def train(
-    tables: dict[str, tuple[DataFrame, Sequence[str]]], folder: str, parallelism: int = 4
+    tables: dict[str, tuple[DataFrame, Sequence[str]]],
+    folder: str,
+    parallelism: int = 4,
+    max_training_rows: int | None = None,
 ) -> dict[str, list[Fitted]]:
-    """Train every (task: table, key); the outcome is appended to ``folder``/registry."""
+    """Train every (task: table, key); the outcome is appended to ``folder``/registry.
+
+    ``folder``/best_models names the best model of each task's last run, those of tasks
+    trained before included.
+    """
     run_id, fitted = uuid.uuid4().hex, {}
     for name, (records, key) in tables.items():
         rows, fitted[name] = train_task(
-            records, TASKS[name], key, f"{folder}/models", run_id, parallelism=parallelism
+            records, TASKS[name], key, f"{folder}/models", run_id,
+            parallelism=parallelism, max_training_rows=max_training_rows,
         )
         registry.append(rows, f"{folder}/registry")
         spark = records.sparkSession
-    run = registry.read(spark, f"{folder}/registry").filter(F.col("run_id") == run_id)
-    registry.write_lines(registry.best(run), f"{folder}/best_models")
+    rows = registry.read(spark, f"{folder}/registry")
+    registry.write_lines(registry.best(registry.latest_run(rows)), f"{folder}/best_models")
     return fitted
 
 
-def score_table(df: DataFrame, task: str, keep: Sequence[str], folder: str | None = None) -> DataFrame:
-    """Whole-table scoring with texts, through the registry's fallback chain."""
+def score_table(
+    df: DataFrame,
+    task: str,
+    keep: Sequence[str],
+    folder: str | None = None,
+    minimum: str | None = None,
+) -> DataFrame:
+    """Whole-table scoring with texts, through the registry's fallback chain; ``minimum`` is
+    the quality gate that a model has to pass."""
     ready, model = encoded(df, TASKS[task]), None
     if folder:
-        model = registry.resolve(df.sparkSession, f"{folder}/registry", task, ready.columns)
+        model = registry.resolve(df.sparkSession, f"{folder}/registry", task, ready.columns, minimum)
     return with_report(flat_result(score(ready, task, model), *keep), task)

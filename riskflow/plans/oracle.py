@@ -61,6 +61,8 @@ def _scaled(columns):
 
 # --- the two rule books ------------------------------------------------------
 
+# The published tiers and steps, from here to the steps of the heart book.
+
 _GLUCOSE = """CASE WHEN glucose <= 90 THEN 0.05e0 WHEN glucose <= 110 THEN 0.15e0
   WHEN glucose <= 125 THEN 0.3e0 WHEN glucose <= 140 THEN 0.45e0
   WHEN glucose <= 160 THEN 0.55e0 WHEN glucose <= 180 THEN 0.65e0 ELSE 0.75e0 END"""
@@ -172,6 +174,7 @@ def _confusion(label):
 
 # --- validation ------------------------------------------------------------------
 
+# The documented ranges and choices of the input forms.
 _HEART_FAILS = {
     "age": "age BETWEEN 20 AND 100",
     "gender": "gender IN ('Female', 'Male')",
@@ -246,6 +249,7 @@ _FB_TYPES = {
 
 # --- texts -----------------------------------------------------------------------
 
+# The shown texts.
 _HEALTHY = "Maintain a healthy lifestyle and regular check-ups."
 _BAND = "CASE WHEN prediction = 1 THEN 'high-risk' ELSE 'low-risk' END AS risk_band"
 
@@ -314,7 +318,8 @@ ORACLE: dict[str, str] = {
         SELECT patient_id, CASE WHEN gender = 'Male' THEN 1 ELSE 0 END AS gender FROM fb""",
     "encode_mapped": f"""WITH {_FB} SELECT patient_id,
         CASE gender WHEN 'Male' THEN 1 WHEN 'Female' THEN 0 END AS gender FROM fb""",
-    "encode_yes_no": f"WITH {_FBN} SELECT patient_id, smoking, alcohol FROM fbn",
+    "encode_yes_no": f"""WITH {_FBN} SELECT patient_id, gender, diabetes, hypertension, obesity,
+        smoking, alcohol, physical_activity, family_history FROM fbn""",
     "drop_nulls": f"WITH {_FB} SELECT * FROM fb WHERE age IS NOT NULL AND cholesterol IS NOT NULL",
     "validate_ranges": f"""WITH {_FA}, checked AS (
         SELECT {_KEY}, {_violations(_DIABETES_FAILS)} AS violations FROM fa)
@@ -410,12 +415,12 @@ ORACLE: dict[str, str] = {
         CASE WHEN auc >= 0.8 THEN 'deployable' WHEN auc >= 0.7 THEN 'acceptable'
           ELSE 'rejected' END AS gate FROM aucs""",
     "registry_best": f"""WITH {_BEST} SELECT task, candidate AS family,
-        'models/' || task || '_model_' || candidate AS path, ROUND(auc, 6) AS auc
+        CASE task WHEN 'heart' THEN 'mlruns/heart_model_rf'
+          ELSE 'mlruns/diabetes_logistic_regression' END AS path, ROUND(auc, 6) AS auc
         FROM best WHERE place = 1""",
-    "registry_text_roundtrip": f"""WITH {_BEST}, lines AS (SELECT task,
-        'models/' || task || '_model_' || candidate AS path FROM best WHERE place = 1)
-        SELECT task, path, CASE WHEN path LIKE '%lr%' THEN 'logistic_regression'
-          WHEN path LIKE '%rf%' THEN 'random_forest' ELSE 'unknown' END AS family FROM lines""",
+    "registry_text_roundtrip": """SELECT * FROM (VALUES
+        ('diabetes', 'mlruns/diabetes_logistic_regression', 'logistic_regression'),
+        ('heart', 'mlruns/heart_model_rf', 'random_forest')) AS t(task, path, family)""",
     "score_chain_rules_only": f"""WITH {_SCORED_B}
         SELECT patient_id, {_RULES_ONLY}, {_TEXTS_B} FROM scored""",
     "score_result": f"WITH {_SCORED_A} SELECT {_KEY}, prediction, {_RULES_ONLY} FROM scored",
@@ -440,4 +445,76 @@ ORACLE: dict[str, str] = {
         ROUND(SUM(CASE WHEN by_rules THEN probability END), 4) AS sum_rule_answers,
         ROUND(SUM(probability), 4) AS sum_rule_scores FROM marked GROUP BY by_rules""",
 }
+_FAMILIES = "(VALUES ('logistic_regression'), ('random_forest')) AS f(family)"
+_TASK_NAMES = "(VALUES ('diabetes'), ('heart')) AS t(task)"
+_TEST_ROWS = f"""test_rows AS (
+  SELECT 'diabetes' AS task, COUNT(*) AS n_rows FROM fa WHERE {_digest(_KEY, 1)} % 100 >= 80
+  UNION ALL SELECT 'heart', COUNT(*) FROM fb
+  WHERE {_digest('patient_id', 1)} % 100 >= 80 AND {_COMPLETE})"""
+_HOLDS = "TRUE AS better_than_chance, TRUE AS in_range, TRUE AS gate_holds"
+
+
+def _single_fit(family):
+    return f"""WITH {_FA}, {_FB}, {_TEST_ROWS}
+        SELECT task, '{family}' AS family, n_rows, {_HOLDS}, TRUE AS timed FROM test_rows"""
+
+
+def _grid(family, **points):
+    """Every point of the grid, its figures valid, one of them chosen."""
+    lists = ", ".join(
+        f"(VALUES {', '.join(f'({v}e0)' for v in values)}) AS g{i}({name})"
+        for i, (name, values) in enumerate(points.items())
+    )
+    return f"""SELECT task, '{family}' AS family, {', '.join(points)}, TRUE AS auc_valid,
+        TRUE AS chosen_is_best, CAST(1 AS BIGINT) AS n_chosen FROM {_TASK_NAMES}, {lists}"""
+
+
+def _features(columns, task):
+    names = ", ".join(f"('{c}')" for c in columns)
+    return f"""SELECT '{task}' AS task, family, feature, TRUE AS valid,
+        CASE family WHEN 'random_forest' THEN 1e0 END AS sum_weights
+        FROM {_FAMILIES}, (VALUES {names}) AS c(feature)"""
+
+
+# Facts that hold for any good fit: the fitted numbers themselves are not SQL's to tell.
+ORACLE |= {
+    "csv_with_key": _SUMMARY_A,
+    "validate_ranges_form": ORACLE["validate_ranges_heart"],
+    "auc_other_prediction": f"""WITH r AS (SELECT l_quantity AS score,
+        CASE WHEN l_extendedprice >= 30000 THEN 1 ELSE 0 END AS label,
+        l_linenumber % 2 AS prediction FROM lineitem),
+        counts AS (SELECT score, CAST(SUM(label) AS DOUBLE) AS p,
+          CAST(SUM(1 - label) AS DOUBLE) AS n FROM r GROUP BY score),
+        ranked AS (SELECT *, COALESCE(SUM(n) OVER (ORDER BY score
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0) AS below FROM counts),
+        aucs AS (SELECT CAST(SUM(p + n) AS BIGINT) AS n_rows,
+          ROUND(SUM(p * (below + n / 2e0)) / (SUM(p) * SUM(n)), 6) AS auc FROM ranked),
+        c AS (SELECT {_confusion('label')} FROM r),
+        ratios AS (SELECT *, {_ratios()} FROM c)
+        SELECT 'quantity' AS candidate, n_rows, auc, accuracy, precision, recall, f1
+        FROM aucs, ratios""",
+    "train_lr": _single_fit("logistic_regression"),
+    "train_rf": _single_fit("random_forest"),
+    "fit_repeatable": f"""WITH {_FA}, {_FB}, {_TEST_ROWS}
+        SELECT n_rows, CAST(0 AS BIGINT) AS n_different FROM test_rows WHERE task = 'heart'""",
+    "tune_lr": _grid(
+        "logistic_regression", regParam=(0.01, 0.1, 0.3), elasticNetParam=(0.0, 0.5, 1.0)
+    ),
+    "tune_rf": _grid("random_forest", numTrees=(10, 20), maxDepth=(5, 10)),
+    "feature_weights": f"{_features(_F8, 'diabetes')} UNION ALL {_features(_F17, 'heart')}",
+    "registry_rows": f"""WITH {_FB}, dropped AS (
+        SELECT 'heart' AS task, COUNT(*) AS n FROM fb WHERE NOT ({_COMPLETE}))
+        SELECT task, family, TRUE AS complete, COALESCE(n, 0) AS dropped_rows,
+        TRUE AS path_names_it
+        FROM {_TASK_NAMES} LEFT JOIN dropped USING (task), {_FAMILIES}""",
+    "model_leaderboard": f"""SELECT task, family, {_HOLDS}, TRUE AS chosen_is_best,
+        CAST(1 AS BIGINT) AS n_chosen FROM {_TASK_NAMES}, {_FAMILIES}""",
+    "score_lr": f"""WITH {_FA} SELECT {_KEY}, TRUE AS in_range, TRUE AS agrees,
+        TRUE AS as_by_hand FROM fa""",
+    "score_rf": f"WITH {_FA} SELECT {_KEY}, TRUE AS in_range, TRUE AS agrees FROM fa",
+    "score_chain": f"""WITH {_FBN} SELECT patient_id, TRUE AS in_range, TRUE AS agrees,
+        {_COMPLETE} AS by_model FROM fbn""",
+    "stream_score_model": """SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_different
+        FROM lineitem""",
+}
 ORACLE["vector_assembler"] = ORACLE["struct_to_vector"] = ORACLE["vector_from_columns"]

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskflow.__main__ import read_records
+
 from riskflow.functions import rules
-from riskflow.functions.encode import GENDER_CODES, MALE, YES, encode_flags, equals_flag, mapped
+from riskflow.functions.encode import GENDER_CODES, MALE, YES, equals_flag, mapped
 from riskflow.functions.scalar import at_threshold
 from riskflow.functions.vectors import ensure_vector, unpacked, vector_of
 from riskflow.operators import evaluate as ev
@@ -17,7 +22,7 @@ from riskflow.operators.report import with_report
 from riskflow.operators.score import ChosenModel, flat_result, score, with_model_score
 from riskflow.operators.train import LR, RF, feature_importance, fit, grid_table, training_set
 from riskflow.plans import jobs
-from riskflow.schemas import DIABETES, DIABETES_SCHEMA, HEART, TASKS
+from riskflow.schemas import DIABETES, DIABETES_CSV_COLUMNS, DIABETES_SCHEMA, HEART, TASKS
 from riskflow.session import scratch_path
 from riskflow.sources import registry, tables
 from riskflow.sources.models import load_model, save_model
@@ -88,6 +93,17 @@ def csv_roundtrip(spark, sf_dir):
     return _diabetes_summary(tables.read_csv(spark, path, DIABETES_SCHEMA))
 
 
+@query
+def csv_with_key(spark, sf_dir):
+    """The public header behind a key column, columns in another order."""
+    path = scratch_path(spark, "diabetes_keyed")
+    public = {column: header for header, column in DIABETES_CSV_COLUMNS.items()}
+    records = diabetes_records(spark, sf_dir)
+    names = [*DIABETES_KEY, *reversed([n for n in records.columns if n not in DIABETES_KEY])]
+    tables.write_csv(records.select(*names).withColumnsRenamed(public), path)
+    return _diabetes_summary(read_records(spark, "diabetes", path, "csv"))
+
+
 @query
 def csv_inferred(spark, sf_dir):
     path = scratch_path(spark, "heart_csv")
@@ -179,8 +195,16 @@ def encode_mapped(spark, sf_dir):
 
 @query
 def encode_yes_no(spark, sf_dir):
-    answers = ("smoking", "alcohol")
-    return encode_flags(heart_records(spark, sf_dir), answers, YES).select(*HEART_KEY, *answers)
+    """All answers of the form, the gender among them, as 0 and 1."""
+    answers = HEART.yes_no_columns
+    coded = jobs.encoded(_form_answers(heart_records(spark, sf_dir)), HEART)
+    return coded.select(*HEART_KEY, HEART.gender_column, *answers)
+
+
+def _form_answers(records: DataFrame) -> DataFrame:
+    """Heart records as the form gives them: every flag as Yes or No."""
+    numbers = [n for n in HEART.yes_no_columns if records.schema[n].dataType.simpleString() == "int"]
+    return records.withColumns({n: F.when(F.col(n) == 1, YES).otherwise("No") for n in numbers})
 
 
 @query
@@ -206,6 +230,13 @@ def validate_ranges_heart(spark, sf_dir):
     return _checked(heart_records(spark, sf_dir), HEART_KEY, quality.HEART_INPUT_RULES)
 
 
+@query
+def validate_ranges_form(spark, sf_dir):
+    """The same checks on form answers, Yes and No throughout."""
+    answers = _form_answers(heart_records(spark, sf_dir))
+    return _checked(answers, HEART_KEY, quality.HEART_INPUT_RULES)
+
+
 @query
 def rejected_rows(spark, sf_dir):
     _, rejected = quality.split_valid(heart_records(spark, sf_dir), quality.HEART_INPUT_RULES)
@@ -322,14 +353,10 @@ def split_hash(spark, sf_dir):
 
 @query
 def split_sizes(spark, sf_dir):
-    train, test = split.hash_split(heart_records(spark, sf_dir), HEART_KEY)
-    sizes = [
-        part.groupBy(F.lit(name).alias("part"), F.col(HEART.label).alias("label")).agg(
-            F.count(F.lit(1)).alias("n_rows")
-        )
-        for name, part in (("train", train), ("test", test))
-    ]
-    return sizes[0].unionByName(sizes[1])
+    part = F.when(split.is_train(HEART_KEY), "train").otherwise("test")
+    return heart_records(spark, sf_dir).groupBy(
+        part.alias("part"), F.col(HEART.label).alias("label")
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query
@@ -396,7 +423,7 @@ def default_profile(spark, sf_dir):
 def feature_defaults(spark, sf_dir):
     """Defaults for null fields and for two fields the table does not have."""
     records = jobs.encoded(heart_records(spark, sf_dir), HEART).drop("stress", "hdl")
-    fields = rules.named_fields(rules.HEART_RULES, records.columns)
+    fields = rules.named_fields(rules.HEART_RULES, records.columns, ("stress", "hdl"))
     return records.select(*HEART_KEY, *(F.expr(sql).alias(name) for name, sql in fields.items()))
 
 
@@ -460,6 +487,19 @@ def auc_many_scores(spark, sf_dir):
     return ev.evaluate(scores).select("candidate", "n_rows", *_rounded(["auc"]))
 
 
+@query
+def auc_other_prediction(spark, sf_dir):
+    """Predictions that no threshold on the score gives: ties are ties all the same."""
+    scores = table(spark, sf_dir, "lineitem").select(
+        F.lit("quantity").alias("candidate"),
+        F.col("l_quantity").alias("score"),
+        (F.col("l_extendedprice") >= 30_000).cast("int").alias("label"),
+        (F.col("l_linenumber") % 2).cast("int").alias("prediction"),
+    )
+    report = ev.evaluate(scores, prediction="prediction")
+    return report.select("candidate", "n_rows", *_rounded(["auc", *_RATIOS]))
+
+
 @query
 def accuracy(spark, sf_dir):
     scored = rules.with_rule_score(diabetes_records(spark, sf_dir), rules.DIABETES_RULES)
@@ -482,7 +522,7 @@ def classification_report(spark, sf_dir):
 
 @query
 def rule_quality(spark, sf_dir):
-    """The rule books as candidates; their distinct scores are few by construction."""
+    """The rule books as candidates."""
     diabetes = rules.with_rule_score(diabetes_records(spark, sf_dir), rules.DIABETES_RULES)
     records = jobs.encoded(heart_records(spark, sf_dir), HEART)
     heart = rules.with_rule_score(records, rules.HEART_RULES)
@@ -495,9 +535,7 @@ def rule_quality(spark, sf_dir):
         )
         for scored, task in ((diabetes, DIABETES), (heart, HEART))
     ]
-    report = ev.evaluate(
-        sides[0].unionByName(sides[1]), ("task",), prediction="prediction", few_scores=True
-    )
+    report = ev.evaluate(sides[0].unionByName(sides[1]), ("task",), prediction="prediction")
     return report.select("task", "n_rows", *_rounded(["auc", *_RATIOS]))
 
 
@@ -512,7 +550,11 @@ def _best_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "task",
         F.col("candidate").alias("family"),
         "auc",
-        F.concat(F.lit("models/"), "task", F.lit("_model_"), "candidate").alias("path"),
+        # Both ways of naming a family, in a folder whose own name has a mark in it.
+        F.concat(
+            F.lit("mlruns/"), "task",
+            F.when(F.col("task") == "heart", "_model_rf").otherwise("_logistic_regression"),
+        ).alias("path"),
     )
     order = ("rule_score", "glucose", "bmi", "dpf", "age", "cholesterol")
     return registry.best(ranked, order)
@@ -571,8 +613,9 @@ _EXAMPLE_INTERCEPT = -0.85
 @query
 def lr_formula(spark, sf_dir):
     """Logistic regression written out over the standardised vector."""
-    filled = prepare.zero_impute(diabetes_records(spark, sf_dir), DIABETES.zero_columns)
-    scaled = prepare.standardize(filled, DIABETES.features)
+    records = diabetes_records(spark, sf_dir)
+    fitted = prepare.fit_preparation(records, DIABETES.features, DIABETES.zero_columns)
+    scaled = PipelineModel(fitted.stages()).transform(records)
     wide = scaled.select(*DIABETES_KEY, *unpacked("features", DIABETES.features))
     margin = F.lit(_EXAMPLE_INTERCEPT)
     for name, weight in zip(DIABETES.features, _EXAMPLE_COEFFICIENTS):
@@ -619,14 +662,17 @@ def stream_score_heart(spark, sf_dir):
 # --- fitted models ---------------------------------------------------------
 
 _TABLES = {"diabetes": (diabetes_records, DIABETES_KEY), "heart": (heart_records, HEART_KEY)}
-# Training results per (application, input), so that queries over the same
-# models do not train them again.
+# Training results per application, input and its version, so that queries over
+# the same models do not train them again.
 _trained: dict[tuple, tuple] = {}
 
 
 def trained(spark: SparkSession, sf_dir: str):
     """(folder with models and registry, tuned models per task) for the tables."""
-    place = (spark.sparkContext.applicationId, sf_dir)
+    versions = (
+        tables.version(spark, f"{sf_dir}/{name}.parquet") for name in ("lineitem", "orders", "customer")
+    )
+    place = (spark.sparkContext.applicationId, sf_dir, *versions)
     if place not in _trained:
         folder = scratch_path(spark, "trained")
         inputs = {name: (read(spark, sf_dir), key) for name, (read, key) in _TABLES.items()}
@@ -635,19 +681,38 @@ def trained(spark: SparkSession, sf_dir: str):
 
 
 def _fit_once(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
-    """One fit without tuning per task, with its test metrics."""
+    """One fit without tuning per task: its test rows, and whether its figures hold together."""
     boards = []
     for name, (read, key) in _TABLES.items():
-        task = TASKS[name]
-        data = training_set(jobs.training_records(read(spark, sf_dir), task, key), task, key)
+        records = read(spark, sf_dir)
+        task = jobs.with_features(TASKS[name], records, key)
+        data = training_set(jobs.training_records(records, task, key), task, key)
         fitted = fit(data, family)
         data.release()
+        board = jobs.leaderboard(data, [fitted], name)
         boards.append(
-            jobs.leaderboard(data, [fitted], name).withColumn("train_seconds", F.lit(fitted.seconds))
+            board.select(
+                "task", F.col("candidate").alias("family"), "n_rows", *_figure_checks(),
+                (F.lit(fitted.seconds) > 0).alias("timed"),
+            )
         )
     return boards[0].unionByName(boards[1])
 
 
+def _figure_checks() -> list[Column]:
+    """Better than chance, all shares between 0 and 1, and the gate that the AUC asks for."""
+    shares = [F.col(name).between(0.0, 1.0) for name in ("auc", *_RATIOS)]
+    gate = (
+        F.when(F.col("auc") >= 0.8, "deployable").when(F.col("auc") >= 0.7, "acceptable")
+        .otherwise("rejected")
+    )
+    return [
+        (F.col("auc") > 0.5).alias("better_than_chance"),
+        reduce(and_, shares).alias("in_range"),
+        (F.col("gate") == gate).alias("gate_holds"),
+    ]
+
+
 @query
 def train_lr(spark, sf_dir):
     return _fit_once(spark, sf_dir, LR)
@@ -658,7 +723,28 @@ def train_rf(spark, sf_dir):
     return _fit_once(spark, sf_dir, RF)
 
 
+@query
+def fit_repeatable(spark, sf_dir):
+    """Test records on which two forests differ, their inputs dealt to 1 and to 7 partitions."""
+    records = heart_records(spark, sf_dir)
+    task = jobs.with_features(HEART, records, HEART_KEY)
+    scored = None
+    for n in (1, 7):
+        ready = jobs.training_records(records.repartition(n), task, HEART_KEY)
+        data = training_set(ready, task, HEART_KEY)
+        fitted = fit(data, RF, numTrees=10)
+        data.release()
+        scored = data.test if scored is None else scored
+        scored = with_model_score(scored, ChosenModel(RF, fitted.pipeline), f"fit_{n}")
+    differs = F.abs(F.col("fit_1_probability") - F.col("fit_7_probability")) > 1e-9
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(differs).alias("n_different")
+    )
+
+
 def _grids(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
+    """The points tried per task, whether their AUC can be one, and whether the best of each
+    task, and only that, was chosen."""
     _, models = trained(spark, sf_dir)
     grids = [
         grid_table(spark, fitted).select(F.lit(task).alias("task"), "*")
@@ -666,7 +752,14 @@ def _grids(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
         for fitted in fits
         if fitted.family == family
     ]
-    return grids[0].unionByName(grids[1])
+    of_task = Window.partitionBy("task")  # the points of one grid
+    best = F.col("mean_auc") == F.max("mean_auc").over(of_task)
+    return grids[0].unionByName(grids[1]).select(
+        *(name for name in grids[0].columns if name not in ("mean_auc", "chosen")),
+        ((F.col("mean_auc") > 0.5) & (F.col("mean_auc") <= 1)).alias("auc_valid"),
+        (~F.col("chosen") | best).alias("chosen_is_best"),
+        F.sum(F.col("chosen").cast("bigint")).over(of_task).alias("n_chosen"),
+    )
 
 
 @query
@@ -681,6 +774,7 @@ def tune_rf(spark, sf_dir):
 
 @query
 def feature_weights(spark, sf_dir):
+    """The features of every model; a forest's weights are shares of one."""
     _, models = trained(spark, sf_dir)
     parts = [
         feature_importance(spark, fitted).select(
@@ -689,25 +783,36 @@ def feature_weights(spark, sf_dir):
         for task, fits in models.items()
         for fitted in fits
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    weights = reduce(DataFrame.unionByName, parts)
+    total = F.sum("weight").over(Window.partitionBy("task", "family"))  # a row per feature
+    share = F.when(F.col("family") == RF, F.col("weight") >= 0).otherwise(~F.isnan("weight"))
+    return weights.select(
+        "task", "family", "feature", share.alias("valid"),
+        F.when(F.col("family") == RF, F.round(total, 6)).alias("sum_weights"),
+    )
 
 
 @query
 def registry_rows(spark, sf_dir):
     folder, _ = trained(spark, sf_dir)
-    return registry.read(spark, f"{folder}/registry")
+    rows = registry.read(spark, f"{folder}/registry")
+    named = F.col("path").endswith(F.concat_ws("_", "task", "family"))
+    return rows.select("task", "family", "complete", "dropped_rows", named.alias("path_names_it"))
 
 
 @query
 def model_leaderboard(spark, sf_dir):
+    """The models of the last run: figures that hold together, one winner per task."""
     folder, _ = trained(spark, sf_dir)
     rows = registry.latest_run(registry.read(spark, f"{folder}/registry"))
     winners = registry.best(rows).select("task", "family", F.lit(True).alias("chosen"))
-    return rows.join(winners, ["task", "family"], "left").select(
-        "task", "family", "auc", *_RATIOS, "gate", F.coalesce("chosen", F.lit(False)).alias("chosen")
+    board = rows.join(winners, ["task", "family"], "left")
+    of_task = Window.partitionBy("task")  # a row per family
+    best = F.col("auc") == F.max("auc").over(of_task)
+    return board.select(
+        "task", "family", *_figure_checks(),
+        (F.col("chosen").isNull() | best).alias("chosen_is_best"),
+        F.count("chosen").over(of_task).alias("n_chosen"),
     )
 
 
@@ -718,24 +823,39 @@ def _model(spark: SparkSession, sf_dir: str, task: str, family: str):
     return load_model(path, family)
 
 
-def _model_scores(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
-    model = _model(spark, sf_dir, "diabetes", family)
-    scored = with_model_score(diabetes_records(spark, sf_dir), model)
-    return scored.select(
-        *DIABETES_KEY,
-        F.col("model_probability").alias("probability"),
-        F.col("model_prediction").alias("prediction"),
-    )
+def _answer_checks(prediction: str, probability: str) -> list[Column]:
+    """A share for every record, and the prediction on its side of one half."""
+    p, y = F.col(probability), F.col(prediction)
+    agrees = F.when(p > 0.5, y == 1).when(p < 0.5, y == 0).otherwise(y.isin(0, 1))
+    return [
+        F.coalesce(p.between(0.0, 1.0), F.lit(False)).alias("in_range"),
+        F.coalesce(agrees, F.lit(False)).alias("agrees"),
+    ]
 
 
 @query
 def score_lr(spark, sf_dir):
-    return _model_scores(spark, sf_dir, LR)
+    """The loaded regression against its own coefficients, written out."""
+    model = _model(spark, sf_dir, "diabetes", LR)
+    scored = with_model_score(diabetes_records(spark, sf_dir), model)
+    classifier = model.pipeline.stages[-1]
+    wide = PipelineModel(model.pipeline.stages[:-2]).transform(scored)
+    margin = F.lit(float(classifier.intercept))
+    for name, weight in zip(model.features, classifier.coefficients.toArray()):
+        margin = margin + F.lit(float(weight)) * F.col(f"{prepare.SCALED_PREFIX}{name}")
+    by_hand = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+    return wide.select(
+        *DIABETES_KEY,
+        *_answer_checks("model_prediction", "model_probability"),
+        (F.abs(by_hand - F.col("model_probability")) <= 1e-9).alias("as_by_hand"),
+    )
 
 
 @query
 def score_rf(spark, sf_dir):
-    return _model_scores(spark, sf_dir, RF)
+    model = _model(spark, sf_dir, "diabetes", RF)
+    scored = with_model_score(diabetes_records(spark, sf_dir), model)
+    return scored.select(*DIABETES_KEY, *_answer_checks("model_prediction", "model_probability"))
 
 
 @query
@@ -761,7 +881,12 @@ def model_roundtrip(spark, sf_dir):
 def score_chain(spark, sf_dir):
     """Best registered model where a record is complete, else the rule book."""
     folder, _ = trained(spark, sf_dir)
-    return jobs.score_table(heart_records(spark, sf_dir), "heart", HEART_KEY, folder)
+    scored = jobs.score_table(heart_records(spark, sf_dir), "heart", HEART_KEY, folder)
+    return scored.select(
+        *HEART_KEY,
+        *_answer_checks("prediction", "probability"),
+        (F.col("model_used") != "rule_based").alias("by_model"),
+    )
 
 
 @query
@@ -779,9 +904,11 @@ def score_chain_coverage(spark, sf_dir):
 
 @query
 def stream_score_model(spark, sf_dir):
-    """The streaming scorer with the registered model."""
+    """Records that the streaming scorer answers otherwise than the batch, with the
+    registered model."""
     folder, _ = trained(spark, sf_dir)
-    return score_available(
+    columns = [*DIABETES_KEY, "prediction", "probability", "model_used", "risk_band"]
+    streamed = score_available(
         spark,
         f"{sf_dir}/lineitem.parquet",
         table(spark, sf_dir, "lineitem").schema,
@@ -791,4 +918,15 @@ def stream_score_model(spark, sf_dir):
         scratch_path(spark, "stream_sink"),
         scratch_path(spark, "stream_checkpoint"),
         registry.resolve(spark, f"{folder}/registry", "diabetes"),
-    ).select(*DIABETES_KEY, "prediction", "probability", "model_used", "risk_band")
+    ).select(columns)
+    batch = jobs.score_table(diabetes_records(spark, sf_dir), "diabetes", DIABETES_KEY, folder)
+    both = streamed.withColumn("side", F.lit(1)).unionByName(
+        batch.select(columns).withColumn("side", F.lit(-1))
+    )
+    # Equal rows of both sides cancel out, repeated ones too.
+    sums = both.groupBy(columns).agg(
+        F.count_if(F.col("side") > 0).alias("streamed"), F.sum("side").alias("surplus")
+    )
+    return sums.agg(
+        F.sum("streamed").alias("n_rows"), F.count_if(F.col("surplus") != 0).alias("n_different")
+    )
