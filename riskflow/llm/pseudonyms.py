@@ -2,7 +2,7 @@
 
 Found and validated: payment card numbers (check digit), IBANs (remainder 97), social security
 numbers (valid areas, groups, serials), phone numbers, IPv4 and e-mail addresses, calendar
-dates. Each value goes through a keyed Feistel permutation of its own format and takes its
+dates, where no letter or digit adjoins. Each value goes through a keyed Feistel permutation of its own format and takes its
 place in the text: separators, length, letter case, country and issuer-independent check digits stay
 right, so the result validates again. Equal values of a kind get equal pseudonyms in all
 documents, whatever their separators. What does not validate stays as it is.
@@ -29,12 +29,21 @@ _FORMS = {
         r"(?<![0-9/.\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
         r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9]|[/.\-][0-9])"
     ),
-    "ip": rf"(?<![0-9])(?<![0-9]\.)(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
-    "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "card": r"(?<![0-9])(?<![0-9][ \-])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9]|[ \-][0-9])",
+    "ip": rf"(?<![0-9A-Za-z])(?<![0-9]\.)(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
+    "ssn": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
+    "card": (
+        r"(?<![0-9A-Za-z])(?:[0-9]{13,19}"
+        + "".join(
+            rf"|[0-9]{{4}}{x}[0-9]{{4}}{x}[0-9]{{4}}{x}[0-9]{{1,7}}|[0-9]{{4}}{x}[0-9]{{6}}{x}[0-9]{{5}}"
+            for x in (" ", "-")
+        )
+        + r")(?![0-9A-Za-z])"
+    ),
+    # At most 15 digits each, so that a number right behind is not taken for a part.
     "phone": (
-        r"\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{2,12}(?:[ .\-]?[0-9]{2,4}){0,4}(?![0-9])"
-        r"|(?<![0-9])(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .\-])[2-9][0-9]{2}[ .\-][0-9]{4}(?![0-9])"
+        r"\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}(?![0-9A-Za-z])"
+        r"|\+[2-9][0-9]{0,2}(?:[ .\-]?\(?[0-9]{2,4}\)?){2,3}(?![0-9A-Za-z])"
+        r"|(?<![0-9A-Za-z])(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .\-])[2-9][0-9]{2}[ .\-][0-9]{4}(?![0-9A-Za-z])"
     ),
 }
 KINDS = tuple(_FORMS)
