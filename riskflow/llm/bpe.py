@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -72,14 +72,21 @@ def decode_ids(ids: bytes | None, encoding: tiktoken.Encoding) -> bytes:
     return encoding.decode_bytes(np.frombuffer(ids, dtype="<u4").tolist()) if ids else b""
 
 
+def _encoded(texts: pa.Array, encoding: tiktoken.Encoding) -> pa.Array:
+    return pa.array((encode_text(x.as_py(), encoding) for x in texts), pa.binary())
+
+
+def _decoded(ids: pa.Array, encoding: tiktoken.Encoding) -> pa.Array:
+    return pa.array((decode_ids(x.as_py(), encoding) for x in ids), pa.binary())
+
+
 def encode(text: Column, ranks_path: str, pattern: str = PATTERN) -> Column:
     """Ids of each whole text as binary."""
 
-    @F.pandas_udf("binary")
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoding = load(ranks_path, pattern)
-        for batch in texts:
-            yield pd.Series([encode_text(x, encoding) for x in batch], dtype=object)
+    @F.arrow_udf("binary")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield _encoded(batch, load(ranks_path, pattern))
 
     return ids(text)
 
@@ -87,14 +94,26 @@ def encode(text: Column, ranks_path: str, pattern: str = PATTERN) -> Column:
 def decode(ids: Column, ranks_path: str, pattern: str = PATTERN) -> Column:
     """The bytes that the ids stand for, which need not be valid UTF-8."""
 
-    @F.pandas_udf("binary")
-    def raw(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoding = load(ranks_path, pattern)
+    @F.arrow_udf("binary")
+    def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pd.Series([decode_ids(x, encoding) for x in batch], dtype=object)
+            yield _decoded(batch, load(ranks_path, pattern))
 
     return raw(ids)
 
 
+def encode_and_decode(text: Column, ranks_path: str, pattern: str = PATTERN) -> Column:
+    """Struct of ``ids`` and the bytes ``decoded`` from them, in one pass of one worker."""
+
+    @F.arrow_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            ids = _encoded(batch, load(ranks_path, pattern))
+            decoded = _decoded(ids, load(ranks_path, pattern))
+            yield pa.StructArray.from_arrays([ids, decoded], ["ids", "decoded"])
+
+    return both(text)
+
+
 def id_count(ids: Column) -> Column:
     return F.coalesce(F.octet_length(ids) / 4, F.lit(0)).cast("long")

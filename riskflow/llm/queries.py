@@ -51,13 +51,12 @@ def op4_byte_bpe(spark, sf_dir):
     """Encode every whole text, then decode the ids."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = docs.select("doc_id", bpe.encode(F.col("text"), ranks).alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe.decode(F.col("ids"), ranks))
-    return decoded.select(
+    coded = docs.select("doc_id", bpe.encode_and_decode(F.col("text"), ranks).alias("coded"))
+    return coded.select(
         "doc_id",
-        bpe.id_count(F.col("ids")).alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        bpe.id_count(F.col("coded.ids")).alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 
