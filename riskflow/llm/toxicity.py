@@ -35,10 +35,14 @@ MAX_TRAINING = 20_000
 # Weight of the prior as a share of all counts.
 PRIOR = 0.1
 # Standard errors by which a feature's log-odds must differ from none.
-MIN_Z = 3.3
+MIN_Z = 3.8
 # Features kept, by certainty; bounds what every task holds.
 MAX_FEATURES = 50_000
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6)
+# Score of a word that tells nothing, as a share of a typical gain.
+LOSS = 0.1
+# Times that one document counts a feature, at most.
+MOST_PER_TEXT = 5
 # Expected segments in a clean text of that length, below which one is significant.
 MAX_EXPECTED = 0.05
 
@@ -163,14 +167,20 @@ def _with_copy_keys(rows: DataFrame) -> DataFrame:
     )
 
 
+def text_counts(text: str) -> dict[str, int]:
+    """How often each feature occurs in a text, up to a bound."""
+    found: Counter = Counter()
+    for word, n in Counter(_WORD.findall(text.lower())).items():
+        for feature in features_of(word):
+            found[feature] += n
+    return {feature: min(n, MOST_PER_TEXT) for feature, n in found.items()}
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     by_class: dict[int, Counter] = {0: Counter(), 1: Counter()}
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            own: set[str] = set()
-            for word in set(_WORD.findall(text.lower())):
-                own.update(features_of(word))
-            by_class[1 if toxic else 0].update(own)
+            by_class[1 if toxic else 0].update(text_counts(text))
     names = list(by_class[0].keys() | by_class[1].keys())
     yield pa.RecordBatch.from_pydict(
         {
@@ -221,29 +231,27 @@ def _clean_histogram(model: Model):
     return count
 
 
-def _extreme_values(model: Model, clean: DataFrame) -> None:
-    """Loss, rate and factor from the scores of clean texts."""
+def _typical_gain(model: Model) -> float:
     gains = [odds for odds, _ in model.odds.values() if odds > 0]
-    model.loss = -0.1 * float(np.median(gains)) if gains else -1.0
-    rows = (
-        clean.mapInArrow(_clean_histogram(model), "kind string, score double, n long")
-        .groupBy("kind", "score").agg(F.sum("n").alias("n")).collect()
-    )  # scores are rounded, so few
-    words = {r["score"]: r["n"] for r in rows if r["kind"] == "word"}
-    tops = {r["score"]: r["n"] for r in rows if r["kind"] == "segment"}
-    n_words = sum(words.values()) + 1
+    return float(np.median(gains)) if gains else 1.0
+
+
+def fit_extreme_values(model: Model, words: dict[float, int], tops: dict[float, int]) -> None:
+    """Loss, rate and factor from the scores of words and segments in clean texts, each with
+    how often it occurs."""
+    n_words, typical = sum(words.values()) + 1, _typical_gain(model)
     # One more word, of a typical gain, stands for what clean texts might have but did not.
-    typical = float(np.median(gains)) if gains else 1.0
     values = np.array([*words.keys(), typical])
     shares = np.array([*words.values(), 1.0]) / n_words
-    if (values * shares).sum() >= 0:
-        model.loss -= float((values * shares).sum()) + 0.1
-        values = np.where(values < 0, model.loss, values)
-    low, high = 0.0, 1.0
+    mean = float((values * shares).sum())
+    if mean >= -0.01:
+        model.loss -= mean + 0.1
+        values = np.where(values == max(values[values < 0], default=-1.0), model.loss, values)
 
     def moment(rate: float) -> float:
         return float((shares * np.exp(np.minimum(rate * values, 700))).sum())
 
+    low, high = 0.0, 1.0
     while moment(high) < 1 and high < 1e3:
         high *= 2
     for _ in range(80):
@@ -254,20 +262,13 @@ def _extreme_values(model: Model, clean: DataFrame) -> None:
     model.factor = chance * math.exp(model.rate * typical) / n_words
 
 
-def _calibrate(model: Model, rows: DataFrame) -> None:
+def fit_calibration(model: Model, told: np.ndarray, toxic: np.ndarray) -> None:
     """Logistic regression of the label on the log of the evidence, lightly ridged."""
-
-    @F.pandas_udf("double")
-    def told(texts: pd.Series) -> pd.Series:
-        return pd.Series([math.log1p(evidence(x, model)[0]) for x in texts])
-
-    found = rows.select(told("text").alias("x"), "toxic").toPandas()  # MAX_TRAINING rows
-    x = np.column_stack([found["x"], np.ones(len(found))])
-    y = found["toxic"].to_numpy(dtype=float)
+    x = np.column_stack([np.log1p(told), np.ones(len(told))])
     weights, ridge = np.zeros(2), np.diag([1e-2, 1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        slope = x.T @ (y - p) - ridge @ weights
+        slope = x.T @ (toxic - p) - ridge @ weights
         curve = (x * (p * (1 - p))[:, None]).T @ x + ridge
         step = np.linalg.solve(curve, slope)
         weights += np.clip(step, -2, 2)
@@ -276,6 +277,27 @@ def _calibrate(model: Model, rows: DataFrame) -> None:
     model.slope, model.shift = max(float(weights[0]), 0.0), float(weights[1])
 
 
+def _calibrate(model: Model, rows: DataFrame) -> None:
+    """Over the training rows, of which there are at most ``MAX_TRAINING``."""
+
+    @F.arrow_udf("double")
+    def told(texts: pa.Array) -> pa.Array:
+        return pa.array([evidence(x.as_py(), model)[0] for x in texts], pa.float64())
+
+    model.loss = -LOSS * _typical_gain(model)
+    clean = rows.filter("toxic = 0").select("text")
+    counted = (
+        clean.mapInArrow(_clean_histogram(model), "kind string, score double, n long")
+        .groupBy("kind", "score").agg(F.sum("n").alias("n")).collect()
+    )  # scores are rounded, so few
+    by_kind = {k: {r["score"]: r["n"] for r in counted if r["kind"] == k} for k in ("word", "segment")}
+    fit_extreme_values(model, by_kind["word"], by_kind["segment"])
+    found = rows.select(told("text").alias("told"), "toxic").collect()
+    fit_calibration(
+        model, np.array([r["told"] for r in found]), np.array([float(r["toxic"]) for r in found])
+    )
+
+
 def learn(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> Model:
     """A model from labelled documents; without both classes, one that finds nothing."""
     rows = materialize(training_rows(docs, labels, limit), "labelled")
@@ -287,7 +309,6 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> Mode
     counted = materialize(counted.filter(F.col("clean") + F.col("toxic") > 1), "features")
     model = Model(_odds(counted))
     if model.odds:
-        _extreme_values(model, rows.filter("toxic = 0").select("text"))
         _calibrate(model, rows)
     return model
 
