@@ -26,9 +26,10 @@ from riskflow.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-# Pieces that one partition packs at a time.
+# Pieces that one partition packs in the first round.
 ITEMS_PER_PARTITION = 20_000
-# Partitions whose released pieces meet in one partition of the next round.
+# Partitions whose released pieces meet in one partition of the next round; as many times the
+# pieces of the first round is the most that a partition packs in any.
 FAN_IN = 8
 MAX_ROUNDS = 6
 
@@ -116,20 +117,20 @@ def _pack_partition(capacity: int):
         lengths = table.column("length").to_numpy()
         items = table.column("__item").to_numpy()
         bins, offsets, gaps = best_fit_decreasing(lengths, capacity)
-        sizes, counts = np.unique(lengths, return_counts=True)
-        bound = lower_bound(sizes, counts, capacity)
-        released = np.zeros(len(gaps), dtype=bool)
-        if len(gaps) > bound:
-            released = gaps > 0
+        released = gaps > 0
+        if released.any():
             fullest = np.argsort(-np.bincount(bins, minlength=len(gaps)), kind="stable")
             released[fullest[: max(8, int(released.sum()))]] = True
         first = np.full(len(gaps), np.iinfo(np.int64).max)
         np.minimum.at(first, bins, items)
+        bound = lower_bound(*np.unique(lengths, return_counts=True), capacity)
+        certified = np.full(len(items), len(gaps) == bound)
         for name, values in (
             ("sequence_id", first[bins]),  # unique, as every item is in one bin
             ("offset", offsets),
             ("__released", released[bins]),
             ("__heads", items == first[bins]),
+            ("__certified", certified),
         ):
             table = table.append_column(name, pa.array(values))
         return table
@@ -140,11 +141,13 @@ def _pack_partition(capacity: int):
 @dataclass
 class Packing:
     """``rows``: the pieces with ``sequence_id`` and ``offset``; ``sequences``: how many
-    there are; ``bound``: how many any packing has at least."""
+    there are; ``bound``: how many any packing has at least; ``certified``: those in
+    partitions that reach their own bound."""
 
     rows: DataFrame
     sequences: int
     bound: int
+    certified: int
 
 
 def pack(
@@ -166,6 +169,7 @@ def pack(
     counts = np.array([row["count"] for row in sizes], dtype=np.int64)
     bound = lower_bound(lengths, counts, capacity)
     full = int(counts[lengths == capacity].sum())
+    certified = full  # a piece that fills a sequence
     done = [
         pieces.filter(F.col("length") == capacity)
         .withColumn("sequence_id", F.col("__item"))
@@ -176,30 +180,37 @@ def pack(
     for turn in range(max_rounds):
         if not n_waiting:
             break
-        least = -(-n_waiting // items_per_partition)
+        room = items_per_partition * (FAN_IN if turn else 1)
+        least = -(-n_waiting // room)
         partitions = max(least, partitions // FAN_IN, 1)
         packed = _round(waiting, turn, partitions, capacity)
         kept, released = (packed.filter(F.col("__released") == flag) for flag in (False, True))
         figures = packed.groupBy("__released").agg(
-            F.count(F.lit(1)).alias("items"), F.sum(F.col("__heads").cast("long")).alias("bins")
+            F.count(F.lit(1)).alias("items"),
+            F.sum(F.col("__heads").cast("long")).alias("bins"),
+            F.count_if(F.col("__heads") & F.col("__certified")).alias("certified"),
         ).collect()
         by_flag = {row["__released"]: row for row in figures}
         bins = sum(row["bins"] for row in figures)
         if before is not None and bins >= before[1]:
             break  # the exchange saved nothing: the packing before it stands
         total += bins - (before[1] if before else 0)
+        certified += sum(row["certified"] for row in figures) - (before[3] if before else 0)
         if before is not None:
             done.append(before[2])
-        open_bins = by_flag[True]["bins"] if True in by_flag else 0
-        before = (released, open_bins, kept)
-        waiting, n_waiting = released.select(pieces.columns), open_bins and by_flag[True]["items"]
+        n_waiting, open_bins, open_certified = (
+            (by_flag[True][name] for name in ("items", "bins", "certified")) if True in by_flag else (0, 0, 0)
+        )
+        before = (released, open_bins, kept, open_certified)
+        waiting = released.select(pieces.columns)
         if total == bound or partitions == 1:
             break
     if before is not None:
         done += [before[2], before[0]]
     columns = [c for c in pieces.columns if c != "__item"] + ["sequence_id", "offset"]
     return Packing(
-        reduce(DataFrame.unionByName, [part.select(columns) for part in done]), total, bound
+        reduce(DataFrame.unionByName, [part.select(columns) for part in done]),
+        total, bound, certified,
     )
 
 
@@ -207,7 +218,8 @@ def _round(items: DataFrame, turn: int, partitions: int, capacity: int) -> DataF
     dealt = items.withColumn("__part", F.pmod(F.xxhash64("__item", F.lit(turn)), F.lit(partitions)))
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields]
-        + ["sequence_id bigint", "offset bigint", "__released boolean", "__heads boolean"]
+        + ["sequence_id bigint", "offset bigint"]
+        + [f"__{flag} boolean" for flag in ("released", "heads", "certified")]
     )
     packed = dealt.groupBy("__part").applyInArrow(_pack_partition(capacity), schema)
     return materialize(packed.drop("__part"), f"packed-{turn}")
