@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import sys
 import unicodedata
 
@@ -38,4 +39,31 @@ _BYTES = _byte_table()
 
 def byte_level(text: str) -> str:
     """A pre-token as byte-level models spell it."""
+    if text.isascii() and text.isalpha():
+        return text
     return text.encode("utf-8").decode("latin-1").translate(_BYTES)
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as unsigned 32-bit integers, little-endian."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Cache(dict):
+    """Computed values by text: at most ``entries`` of texts up to ``chars`` long, all
+    forgotten when full."""
+
+    def __init__(self, entries: int, chars: int):
+        super().__init__()
+        self.entries, self.chars = entries, chars
+
+    def compute(self, text: str):
+        raise NotImplementedError
+
+    def __missing__(self, text: str):
+        value = self.compute(text)
+        if len(text) <= self.chars:
+            if len(self) >= self.entries:
+                self.clear()
+            self[text] = value
+        return value

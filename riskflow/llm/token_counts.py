@@ -16,15 +16,15 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskflow.llm.latin import LETTERS, SIGNS, byte_level
+from riskflow.llm.latin import LETTERS, SIGNS, Cache, byte_level
 
-# Distinct pieces that a Python worker remembers, and the longest it does.
-MEMORY_ENTRIES = 300_000
+# Distinct pieces and pre-tokens that a Python worker remembers, and the longest it does.
+MEMORY_PIECES, MEMORY_PRE_TOKENS = 300_000, 600_000
 MEMORY_CHARS = 48
 
 _BLANKS = " \t\n\r"
@@ -66,34 +66,34 @@ def whole_tokens(tokenizer_path: str) -> frozenset[str]:
     )
 
 
-class PieceCounts(dict):
+class _PreTokenCounts(Cache):
+    """Token counts by pre-token: one for the proven strings, the library's merges for others."""
+
+    def __init__(self, tokenizer: Tokenizer, whole: frozenset[str]):
+        super().__init__(MEMORY_PRE_TOKENS, MEMORY_CHARS)
+        self.tokenize = tokenizer.model.tokenize
+        self.whole = whole
+
+    def compute(self, pre_token: str) -> int:
+        return 1 if pre_token in self.whole else len(self.tokenize(byte_level(pre_token)))
+
+
+class PieceCounts(Cache):
     """Token counts by piece: one for the proven strings, the library's for others."""
 
     def __init__(self, tokenizer: Tokenizer, whole: frozenset[str]):
-        super().__init__()
+        super().__init__(MEMORY_PIECES, MEMORY_CHARS)
         self.tokenizer = tokenizer
         self.whole = whole
+        self.pre_tokens = _PreTokenCounts(tokenizer, whole)
 
-    def __missing__(self, piece: str) -> int:
+    def compute(self, piece: str) -> int:
         if piece in self.whole:
-            count = 1
-        elif plain := _PLAIN.fullmatch(piece):
-            word, signs = plain.groups()
-            count = self.merged(word) + (self.merged(signs) if signs else 0)
-        else:
-            count = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(piece) <= MEMORY_CHARS:
-            if len(self) >= MEMORY_ENTRIES:
-                self.clear()
-            self[piece] = count
-        return count
-
-
-    def merged(self, pre_token: str) -> int:
-        """Tokens of a single pre-token; the merges are the library's."""
-        if pre_token in self.whole:
             return 1
-        return len(self.tokenizer.model.tokenize(byte_level(pre_token)))
+        if plain := _PLAIN.fullmatch(piece):
+            word, signs = plain.groups()
+            return self.pre_tokens[word] + (self.pre_tokens[signs] if signs else 0)
+        return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
 
 @lru_cache(maxsize=4)
@@ -132,11 +132,11 @@ def count_text(text: str | None, tokenizer: Tokenizer, counts: PieceCounts | Non
 def token_count(text: Column, tokenizer_path: str) -> Column:
     """Number of tokens of each whole text, as the library for the file gives it."""
 
-    @F.pandas_udf("long")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = load(tokenizer_path)
         counts = piece_counts(tokenizer_path) if splits_by_blanks(tokenizer) else None
         for batch in batches:
-            yield pd.Series([count_text(x, tokenizer, counts) for x in batch], dtype="int64")
+            yield pa.array((count_text(x.as_py(), tokenizer, counts) for x in batch), pa.int64())
 
     return count(text)

@@ -12,17 +12,17 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskflow.llm.latin import LETTERS, SIGNS, byte_level
+from riskflow.llm.latin import LETTERS, SIGNS, Cache, byte_level, packed
 from riskflow.llm.token_counts import load
 
-# Distinct words that a Python worker remembers, and the longest it does.
-MEMORY_ENTRIES = 300_000
+# Distinct words, and runs of letters or signs in them, that a Python worker remembers, and
+# the longest that it does.
+MEMORY_WORDS, MEMORY_PARTS = 500_000, 500_000
 MEMORY_CHARS = 48
 
 # Signs before a word, the word, signs after it; none can open a contraction or, without
@@ -64,32 +64,34 @@ def _lowers(tokenizer: Tokenizer) -> bool:
     return '"Lowercase"' in tokenizer.to_str().split('"model"')[0]
 
 
-class WordIds(dict):
+class _PartIds(Cache):
+    """Ids by run of letters or signs, which is one pre-token."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__(MEMORY_PARTS, MEMORY_CHARS)
+        self.tokenize = tokenizer.model.tokenize
+
+    def compute(self, part: str) -> bytes:
+        return packed([token.id for token in self.tokenize(byte_level(part))])
+
+
+class WordIds(Cache):
     """Ids by word, as little-endian bytes."""
 
     def __init__(self, tokenizer: Tokenizer):
-        super().__init__({"": b""})
+        super().__init__(MEMORY_WORDS, MEMORY_CHARS)
         self.tokenizer = tokenizer
         self.lowers = _lowers(tokenizer)
+        self.parts = _PartIds(tokenizer)
 
-    def __missing__(self, word: str) -> bytes:
-        if plain := _PLAIN.fullmatch(word):
-            ids = [
-                token.id
-                for part in plain.groups()
-                if part
-                for token in self.tokenizer.model.tokenize(
-                    byte_level(part.lower() if self.lowers else part)
-                )
-            ]
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        packed = np.asarray(ids, dtype="<u4").tobytes()
-        if len(word) <= MEMORY_CHARS:
-            if len(self) >= MEMORY_ENTRIES:
-                self.clear()
-            self[word] = packed
-        return packed
+    def compute(self, word: str) -> bytes:
+        if plain := _PLAIN.fullmatch(word.lower() if self.lowers else word):
+            before, letters, after = plain.groups()
+            ids = self.parts[letters]
+            if before:
+                ids = self.parts[before] + ids
+            return ids + self.parts[after] if after else ids
+        return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
 
 @lru_cache(maxsize=4)
@@ -106,18 +108,18 @@ def encode_text(text: str | None, tokenizer: Tokenizer, words: WordIds | None) -
         return b""
     if words is None:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+        return packed(ids)
     return b"".join(map(words.__getitem__, _by_blanks(text)))
 
 
 def encode(text: Column, tokenizer_path: str) -> Column:
     """Ids of each whole text, without added special tokens."""
 
-    @F.pandas_udf("binary")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = load(tokenizer_path)
         words = word_ids(tokenizer_path) if drops_blanks(tokenizer) else None
         for batch in batches:
-            yield pd.Series([encode_text(x, tokenizer, words) for x in batch], dtype=object)
+            yield pa.array((encode_text(x.as_py(), tokenizer, words) for x in batch), pa.binary())
 
     return ids(text)
