@@ -20,11 +20,13 @@ def _cast(name: str, kind: T.DataType) -> Column:
     return column.try_cast(kind).alias(name)
 
 
-def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+def typed(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Text columns cast by name, in whatever order they come; others stay as they are.
 
     A column of the schema that the table lacks is an error.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     kinds = {field.name: field.dataType for field in schema.fields}
     missing = sorted(set(kinds) - set(df.columns))
     if missing:
@@ -34,7 +36,7 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header row, columns by header name.
 
     Without a schema Spark infers one, at the price of another scan.
