@@ -1,6 +1,6 @@
 """Connected components of a graph given as a table of edges, by DataFrame operations only.
 
-Alternates two steps until nothing changes: every node hands its smallest neighbour to its
+Alternates two steps until only stars are left: every node hands its smallest neighbour to its
 larger neighbours, then to its smaller ones. Edges end as stars around the smallest node of
 each component, in a number of rounds that grows with the logarithm of its size. A hub's
 minimum is pre-aggregated before the shuffle, and its edges are joined with that one row, a
@@ -33,12 +33,14 @@ def _round(edges: DataFrame) -> DataFrame:
     return smaller.filter("a > b").distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("sum"),
-    ).first()
-    return row["n"], row["sum"]
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is no smaller end."""
+    one, none = F.lit(1), F.lit(0)
+    ends = edges.select(F.col("a").alias("node"), one.alias("large"), none.alias("small")).union(
+        edges.select("b", none, one)
+    )
+    nodes = ends.groupBy("node").agg(F.sum("large").alias("large"), F.max("small").alias("small"))
+    return nodes.filter("large > 1 OR large = 1 AND small = 1").agg(F.count("node")).first()[0] == 0
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -51,10 +53,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     edges = materialize(edges.distinct(), "edges")
-    before, now = None, _fingerprint(edges)
-    while now != before and now[0]:
+    while not _are_stars(edges):
         edges = materialize(_round(edges), "edges")
-        before, now = now, _fingerprint(edges)
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         roots.select("node", F.col("node").alias("component"))

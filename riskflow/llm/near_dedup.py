@@ -2,16 +2,18 @@
 
 A document is the set of its distinct shingles of ``shingle`` words. Equal sets are one class from
 the start, so copies cost one row. Classes whose signatures agree in a band meet in a
-bucket. Buckets do not emit their pairs: in a round, a few leaders of each bucket are paired with
-the members that are not yet connected with them; then a leader has met all and leaves. Buckets whose
-members are all connected are done; the others get four times as many leaders in the next
-round, until no unconnected members are left that have not met. So every candidate pair is either
-compared or known to be connected, and a large group of near copies costs about a pair per member.
-
-A pair's signatures are compared in batches of ``BATCH`` hashes. After each batch, a pair whose
-similarity is at or above the threshold with a probability below ``miss`` (uniform prior) is pruned; the
-survivors are verified on their full sets. A link as similar as the threshold shares no band with
-probability (1 - 0.8 ** 4) ** 32, below 1e-7.
+bucket; of buckets with the same members one is kept. Buckets do not emit their pairs: a task
+compares the signatures of at most two blocks of a bucket in batches of ``BATCH`` hashes. After each
+batch, pairs whose similarity is at or above the threshold with a probability below ``miss``
+(uniform prior) are pruned. First, every row hands on a few of its most similar partners, which
+are verified on their full sets and connect most of what belongs together. Then the buckets that still
+have several components come with their full sets, and each row outside a bucket's largest
+component is verified, in the task, against all partners that are not pruned and not yet
+connected with it; only links leave the task. So every pair that was not pruned is verified or
+connected, and a group of near copies costs rows in proportion to its members.
+
+A link as similar as the threshold shares no band with probability (1 - 0.8 ** 4) ** 32, below
+1e-7, and is pruned with probability ``miss``.
 
 Words are runs of characters other than ASCII white space, with A-Z in lower case; shingles
 are compared by 64-bit hashes, sets of equal classes by 128-bit digests. With fewer words than a
@@ -39,14 +41,18 @@ from riskflow.session import materialize
 SHINGLE = 5
 THRESHOLD = (80, 100)
 BANDS, BAND_ROWS = 32, 4
-HASHES = BANDS * BAND_ROWS
-BATCH = 32
-MISS = 1e-6
-# Leaders of a bucket: one in the first round, this many times as many in each further one.
-LEADER_GROWTH = 4
+# Hashes of a signature: those of the bands, and as many again for comparisons.
+HASHES = 256
+BATCH = 64
+MISS = 1e-5
+# Partners that a row hands on per bucket at first.
+FIRST_PARTNERS = 2
+# Rows of a block; larger buckets are split, and their blocks meet in pairs. Blocks that
+# come with full sets are smaller.
+BLOCK, SET_BLOCK = 1024, 512
 
 _WORD_MEMORY = 400_000
-_BLOCK = 2048
+_CHUNK = 2048
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, as multipliers below must be
 _SEED = 20_240_501
 
@@ -92,18 +98,27 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(combined)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def minima(shingles: np.ndarray) -> np.ndarray:
     """The least value of each of ``HASHES`` permutations."""
     factors, shifts = _permutations()
     small = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)[None, :]
     least = np.full(HASHES, np.iinfo(np.uint32).max, dtype=np.uint32)
-    for start in range(0, small.shape[1], _BLOCK):
-        permuted = small[:, start : start + _BLOCK] * factors
+    for start in range(0, small.shape[1], _CHUNK):
+        permuted = small[:, start : start + _CHUNK] * factors
         permuted += shifts
         np.minimum(least, permuted.min(axis=1), out=least)
     return least
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """A 64-bit value per band, then the low byte of each minimum."""
+    least = minima(shingles)
+    bands = np.zeros(BANDS, dtype=np.uint64)
+    for row in range(BAND_ROWS):
+        bands = _mixed(bands + least[row : BANDS * BAND_ROWS : BAND_ROWS].astype(np.uint64))
+    return bands.tobytes() + least.astype(np.uint8).tobytes()
+
+
 def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -116,7 +131,7 @@ def _signed(shingle: int):
                 own = shingle_set(text.as_py(), shingle)
                 sizes.append(len(own))
                 keys.append(_digest(own) if len(own) else None)
-                signatures.append(signature(own).tobytes() if len(own) else None)
+                signatures.append(signature(own) if len(own) else None)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -145,152 +160,259 @@ def _shingled(shingle: int):
 
 
 @lru_cache(maxsize=8)
-def least_matches(threshold: float, miss: float, hashes: int = HASHES, batch: int = BATCH) -> tuple[tuple[int, int], ...]:
+def least_matches(threshold: float, miss: float) -> tuple[tuple[int, int], ...]:
     """After how many hashes, how many must match for a pair to stay.
 
-    With a uniform prior and m of n matches, the similarity is Beta(m + 1, n - m + 1); it is at
-    least t with the probability that n + 1 trials of chance t succeed at most m times.
+    Bytes also match by chance, once in 256 times. With a uniform prior and m of n matches,
+    the share of matches is Beta(m + 1, n - m + 1); it is at least t with the probability that
+    n + 1 trials of chance t succeed at most m times.
     """
-    found = []
-    for n in range(batch, hashes + 1, batch):
+    t, found = threshold + (1 - threshold) / 256, []
+    for n in range(BATCH, HASHES + 1, BATCH):
         below = 0.0
         for m in range(n + 1):
-            below += math.comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
+            below += math.comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
             if below >= miss:
                 found.append((n, m))
                 break
     return tuple(found)
 
 
-def _pruned(steps: tuple[tuple[int, int], ...]):
-    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES)
-                for c in ("signature_a", "signature_b")
+def _partners(row: int, others: np.ndarray, sketches: np.ndarray, bands: np.ndarray, band: int, steps) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``others``, those not pruned against ``row`` whose first common band this is, and
+    their matches."""
+    matches, start = np.zeros(len(others), dtype=np.int64), 0
+    for n, least in steps:
+        same = sketches[others, start:n] == sketches[row, start:n]
+        matches = matches + same.sum(axis=1)
+        kept = matches >= least
+        others, matches, start = others[kept], matches[kept], n
+    if band and len(others):
+        first = ~(bands[others, :band] == bands[row, :band]).any(axis=1)
+        others, matches = others[first], matches[first]
+    return others, matches
+
+
+class _Group:
+    """Rows of one bucket that came together: two blocks of it, or one."""
+
+    def __init__(self, rows: pa.RecordBatch, steps):
+        self.rows, self.steps = rows, steps
+        self.band = rows.column("band")[0].as_py()
+        raw = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8)
+        raw = raw.reshape(len(rows), 8 * BANDS + HASHES)
+        self.bands = raw[:, : 8 * BANDS].copy().view(np.uint64)
+        self.sketches = raw[:, 8 * BANDS :]
+        self.nodes, self.component, self.salt = (
+            rows.column(c).to_numpy() for c in ("node", "component", "salt")
+        )
+        self.asks = rows.column("asks").to_numpy(zero_copy_only=False)
+        self.crossing = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
+
+    def partners(self, row: int) -> np.ndarray:
+        """Rows of other components that are not pruned against ``row``, best first."""
+        foreign = self.component != self.component[row]
+        if self.crossing:
+            foreign &= self.salt != self.salt[row]
+        # Of two rows that ask, the one with the smaller number asks for both.
+        foreign &= ~self.asks | (self.nodes > self.nodes[row])
+        others, matches = _partners(
+            row, np.flatnonzero(foreign), self.sketches, self.bands, self.band, self.steps
+        )
+        return others[np.lexsort((self.nodes[others], -matches))]
+
+    def first_pairs(self) -> list[tuple[int, int]]:
+        return [
+            (int(self.nodes[row]), int(other))
+            for row in np.flatnonzero(self.asks).tolist()
+            for other in self.nodes[self.partners(row)[:FIRST_PARTNERS]].tolist()
+        ]
+
+    def links(self, threshold: tuple[int, int]) -> list[tuple[int, int]]:
+        """Verified pairs that connect components not yet connected here."""
+        sets, parent = self.rows.column("shingles"), {}
+
+        def find(x: int) -> int:
+            while x in parent:
+                x = parent[x]
+            return x
+
+        found = []
+        for row in np.flatnonzero(self.asks).tolist():
+            own = None
+            for other in self.partners(row).tolist():
+                a, b = find(int(self.component[row])), find(int(self.component[other]))
+                if a == b:
+                    continue
+                own = np.frombuffer(sets[row].as_py(), np.uint64) if own is None else own
+                if _are_near(own, np.frombuffer(sets[other].as_py(), np.uint64), threshold):
+                    parent[max(a, b)] = min(a, b)
+                    found.append((int(self.nodes[row]), int(self.nodes[other])))
+        return found
+
+
+def _in_groups(of_group):
+    """Runs ``of_group`` over the rows of each (``band``, ``value``, ``i``, ``j``), which come
+    one after the other; gives the pairs that it returns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for last, batch in _with_last(batches):
+            table = pa.Table.from_batches([batch] if rest is None else [rest, batch])
+            rows = table.combine_chunks().to_batches()[0]
+            keys = [rows.column(c).to_numpy() for c in ("band", "value", "i", "j")]
+            changed = np.zeros(len(rows) - 1, dtype=bool)
+            for key in keys:
+                changed |= key[1:] != key[:-1]
+            starts = [0, *(np.flatnonzero(changed) + 1).tolist(), len(rows)]
+            found: list[tuple[int, int]] = []
+            # The last group of a batch may go on in the next one.
+            for start, end in zip(starts[: -1 if last else -2], starts[1:]):
+                if end - start > 1:
+                    found += of_group(rows.slice(start, end - start))
+            rest = None if last else rows.slice(starts[-2])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "a": pa.array([min(f) for f in found], pa.int64()),
+                    "b": pa.array([max(f) for f in found], pa.int64()),
+                }
             )
-            alive, matches, start = np.arange(len(left)), np.zeros(len(left), dtype=int), 0
-            for n, least in steps:
-                matches[alive] += (left[alive, start:n] == right[alive, start:n]).sum(axis=1)
-                alive, start = alive[matches[alive] >= least], n
-            kept = pa.array(alive)
-            yield pa.RecordBatch.from_pydict({c: batch.column(c).take(kept) for c in ("a", "b")})
 
-    return prune
+    return run
 
 
-def _verified(threshold: tuple[int, int]):
+def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """Non-empty batches, each with whether it is the last."""
+    before = None
+    for batch in batches:
+        if batch.num_rows:
+            if before is not None:
+                yield False, before
+            before = batch
+    if before is not None:
+        yield True, before
+
+
+def _are_near(a: np.ndarray, b: np.ndarray, threshold: tuple[int, int]) -> bool:
     part, whole = threshold
+    if whole * min(len(a), len(b)) < part * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return whole * both >= part * (len(a) + len(b) - both)
 
+
+def _verified(threshold: tuple[int, int]):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for a, b in zip(batch.column("shingles_a"), batch.column("shingles_b")):
-                a, b = (np.frombuffer(x.as_py(), np.uint64) for x in (a, b))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                linked.append(whole * both >= part * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "a": batch.column("a"),
-                    "b": batch.column("b"),
-                    "linked": pa.array(linked, pa.bool_()),
-                }
-            )
+            linked = [
+                _are_near(
+                    np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64), threshold
+                )
+                for a, b in zip(batch.column("shingles_a"), batch.column("shingles_b"))
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return verify
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """``bucket``, ``node`` for every band value that several classes have."""
-    width = 4 * BAND_ROWS
-    bands = classes.select(
-        "node",
-        F.explode(
-            F.array(
-                *(
-                    F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width))
-                    for i in range(BANDS)
-                )
-            )
-        ).alias("bucket"),
-    )
-    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return bands.join(shared.select("bucket"), "bucket")
-
+    """``band``, ``value``, ``n``, ``node`` for every band value that several classes have.
 
-def _unconnected(members: DataFrame, components: DataFrame | None) -> DataFrame:
-    """Members with their component, of buckets that still have several components."""
+    Of several buckets with the same members only the one of the first band is kept.
+    """
+    values = F.array(*(F.xxhash64(F.substring("signature", 1 + 8 * i, 8)) for i in range(BANDS)))
+    bands = classes.select("node", F.posexplode(values).alias("band", "value"))
+    shared = bands.groupBy("band", "value").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("node").alias("low"),
+        F.max("node").alias("high"),
+        F.bit_xor(F.xxhash64("node")).alias("members"),
+    ).filter("n > 1")
+    kept = shared.groupBy("n", "low", "high", "members").agg(
+        F.min(F.struct("band", "value")).alias("bucket")
+    ).select("bucket.*", "n")
+    return bands.join(kept, ["band", "value"])
+
+
+def _open(members: DataFrame, components: DataFrame | None) -> DataFrame:
+    """Members of buckets that have several components, with their ``component``, whether they
+    ask: all but those of the bucket's largest component, and how many do (``n_asks``)."""
     if components is None:
-        return members.withColumn("component", F.col("node"))
-    marked = members.join(components, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+        marked = members.withColumn("component", F.col("node"))
+    else:
+        marked = members.join(components, "node", "left").withColumn(
+            "component", F.coalesce("component", "node")
+        )
+        marked = materialize(marked, "members")
+    largest = (
+        marked.groupBy("band", "value", "component").agg(F.count(F.lit(1)).alias("size"))
+        .groupBy("band", "value")
+        .agg(
+            F.max(F.struct("size", "component"))["component"].alias("main"),
+            (F.sum("size") - F.max("size")).alias("n_asks"),
+        )
+        .filter("n_asks > 0")
     )
-    marked = materialize(marked, "members")
-    several = marked.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).filter("low < high")
-    return marked.join(several.select("bucket"), "bucket")
+    return marked.join(largest, ["band", "value"]).withColumn(
+        "asks", F.col("component") != F.col("main")
+    ).drop("main")
 
 
-def _pairs(members: DataFrame, leaders: DataFrame) -> DataFrame:
-    led = leaders.select("bucket", F.col("node").alias("leader"), F.col("component").alias("led"))
-    met = members.join(led, "bucket").filter("component <> led")
-    return met.select(
-        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
-    ).distinct()
+def _grouped(members: DataFrame, signed: DataFrame, block: int) -> DataFrame:
+    """Members with what ``signed`` has of their nodes, the rows of a bucket after each other.
 
+    A bucket of more than ``block`` rows is split: blocks of rows that ask meet each other and
+    the blocks of the rest, which do not meet among themselves.
+    """
+    columns = ["band", "value", "node", "component", "asks", "salt"]
+    alone = members.filter(F.col("n") <= block).withColumn("salt", F.lit(0)).select(
+        *columns, F.lit(0).alias("i"), F.lit(0).alias("j")
+    )
+    asking = F.ceil(F.col("n_asks") / block).cast("int")
+    others = F.ceil((F.col("n") - F.col("n_asks")) / block).cast("int")
+    salt = F.when(F.col("asks"), F.pmod(F.xxhash64("node"), asking)).otherwise(
+        asking + F.pmod(F.xxhash64("node"), others)
+    )
+    last = asking - 1 + F.when(F.col("asks"), others).otherwise(0)
+    split = (
+        members.filter(F.col("n") > block)
+        .withColumn("salt", salt.cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+        .select(*columns, F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"))
+    )
+    key = ["band", "value", "i", "j"]
+    met = alone.union(split)
+    return met.join(signed, "node").repartition(*key).sortWithinPartitions(*key, "node")
 
-def _similar(pairs: DataFrame, classes: DataFrame, sets: DataFrame, miss: float, threshold: tuple[int, int]) -> DataFrame:
-    """``a``, ``b``, ``linked`` for the pairs that neither sizes nor signatures rule out."""
-    part, whole = threshold
-    sized = pairs
-    for side in ("a", "b"):
-        one = classes.select(
-            F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"),
-            F.col("signature").alias(f"signature_{side}"),
-        )
-        sized = sized.join(one, side)
-    possible = sized.filter(
-        F.least("n_a", "n_b") * whole >= F.greatest("n_a", "n_b") * part
-    ).select("a", "b", "signature_a", "signature_b")
-    alive = possible.mapInArrow(_pruned(least_matches(part / whole, miss)), "a long, b long")
-    alive = materialize(alive, "alive")
-    full = alive
+
+def _linked(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs that full sets confirm."""
+    full = pairs
     for side in ("a", "b"):
         full = full.join(
             sets.select(F.col("node").alias(side), F.col("shingles").alias(f"shingles_{side}")), side
         )
-    return full.mapInArrow(_verified(threshold), "a long, b long, linked boolean")
-
-
-def _links(members: DataFrame, classes: DataFrame, sets: DataFrame, miss: float, threshold: tuple[int, int]) -> DataFrame | None:
-    """Components of nodes (``node``, ``component``) by all links among the members."""
-    components, links, met, leaders_each = None, None, None, 1
-    while True:
-        members = materialize(_unconnected(members, components), "unconnected")
-        if members.isEmpty():
-            return components
-        slot = F.pmod(F.xxhash64("node"), F.lit(leaders_each))
-        leaders = members.groupBy("bucket", slot.alias("slot")).agg(
-            F.min(F.struct("node", "component")).alias("leader")
-        ).select("bucket", "leader.*")
-        leaders = materialize(leaders, "leaders")
-        pairs = _pairs(members, leaders)
-        if met is not None:
-            pairs = pairs.join(met, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        found = materialize(_similar(pairs, classes, sets, miss, threshold), "verified")
-        new = found.filter("linked").select("a", "b")
-        links = new if links is None else links.union(new)
-        met = pairs if met is None else met.union(pairs)
-        if not new.isEmpty():
-            components = materialize(connected_components(links), "components")
-        members = members.drop("component").join(
-            leaders.select("bucket", "node"), ["bucket", "node"], "left_anti"
-        )
-        leaders_each *= LEADER_GROWTH
+    return full.mapInArrow(_verified(threshold), "a long, b long")
+
+
+def _components(members: DataFrame, classes: DataFrame, sets: DataFrame, miss: float, threshold: tuple[int, int]) -> DataFrame:
+    """``node``, ``component`` of all nodes that a link reaches."""
+    steps = least_matches(threshold[0] / threshold[1], miss)
+    signed = classes.select("node", "signature")
+    first = _grouped(_open(members, None), signed, BLOCK).mapInArrow(
+        _in_groups(lambda rows: _Group(rows, steps).first_pairs()), "a long, b long"
+    )
+    links = materialize(_linked(first.distinct(), sets, threshold), "links")
+    components = connected_components(links)
+    more = _grouped(_open(members, components), signed.join(sets, "node"), SET_BLOCK).mapInArrow(
+        _in_groups(lambda rows: _Group(rows, steps).links(threshold)), "a long, b long"
+    )
+    more = materialize(more, "links")
+    if more.isEmpty():
+        return components
+    # Stars of the components found first, joined by the further links.
+    stars = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected_components(stars.union(more))
 
 
 def near_duplicates(
@@ -328,15 +450,12 @@ def near_duplicates(
     chosen = texts.join(wanted, same).select("node", "text").mapInArrow(
         _shingled(shingle), "node long, shingles binary"
     )
-    sets = materialize(chosen, "sets").dropDuplicates(["node"])
-    components = _links(members, classes, sets, miss, threshold)
+    sets = materialize(chosen.dropDuplicates(["node"]), "sets")
+    components = _components(members, classes, sets, miss, threshold)
     named = classes.select("set_key", "node", "least")
-    if components is None:
-        named = named.withColumn("component", F.col("node"))
-    else:
-        named = named.join(components, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        )
+    named = named.join(components, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
     smallest = named.groupBy("component").agg(F.min("least").alias("head"))
     heads = named.join(smallest, "component").select("set_key", "head")
     rows = signed.drop("signature").join(heads, "set_key", "left")

@@ -116,13 +116,13 @@ def test_large_group_takes_few_pairs(spark, monkeypatch):
 def test_copies_near_and_far_from_the_threshold(spark, monkeypatch, block):
     """Many members a bit too far from all others, in one block and in many."""
     monkeypatch.setattr(near_dedup, "BLOCK", block)
-    monkeypatch.setattr(near_dedup, "QUOTAS", (1, 3, 9, 1 << 40))
+    monkeypatch.setattr(near_dedup, "SET_BLOCK", block)
     rnd = random.Random(8)
     base = sentence(rnd, 150)
     rows = [(i, _edited(rnd, base, rnd.randint(0, 14))) for i in range(160)]
     pairs, got = _counted_pairs(spark, monkeypatch, rows)
     assert got == _expected(rows, 5)
-    assert pairs < 160 * 159 / 2 / 2
+    assert pairs < 160 * 159 / 2 / 4
 
 
 def test_signatures_estimate_similarity():
