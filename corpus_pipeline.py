@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskflow.llm import stages
+from riskflow.session import materialize
 
 STAGES = [
     ("toxicity", stages.reject_toxic),
@@ -16,8 +17,8 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """The last stage's rows over ``documents``."""
+    """The last stage's rows over ``documents``; each stage is written once and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -20,7 +20,7 @@ def test_catalogue():
 
 
 def test_stages_in_turn(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("__found", F.lit(1))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("found", F.lit(1)).withColumn("node", F.lit("x"))
     columns = docs.columns
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = docs.select("doc_id", toxicity.score(F.col("text"), model)["score"].alias("s")).collect()
