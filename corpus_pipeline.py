@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskflow.llm import stages
+from riskflow.llm.workers import find_package
 from riskflow.session import materialize
 
 STAGES = [
@@ -18,6 +19,7 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """The last stage's rows over ``documents``; each stage is written once and read again."""
+    find_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
