@@ -1,7 +1,7 @@
 """Headline timings: prints one JSON line.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. Each query
-is run to completion over all its rows, once to warm up and three times for the median;
+is run to completion over all its rows three times, and the median counts;
 grids are tuned once, at the scale of the tables and at the size of the published one.
 """
 
@@ -36,7 +36,8 @@ HEADLINE = [
     "score_chain_rules_only", "lr_formula", "stream_score",
 ]
 MODEL_QUERIES = ["score_lr", "score_rf", "score_chain", "model_leaderboard"]
-# Runs of each query after a warm-up; the median counts.
+# Runs of each query; the median counts, so that the first one, which compiles code and reads
+# files from disk, does not.
 RUNS = 3
 # Rows of the published diabetes table, for a run at its size.
 PUBLISHED_ROWS = 768
@@ -68,7 +69,6 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     for name in HEADLINE:
-        complete(name)  # warm-up: code is generated and compiled, files are cached
         seconds[name] = round(median(elapsed(lambda: complete(name)) for _ in range(RUNS)), 3)
     for name, records, key in (
         ("diabetes", diabetes_records(spark, sf_dir), DIABETES_KEY),
