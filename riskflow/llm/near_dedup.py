@@ -51,7 +51,7 @@ FIRST_PARTNERS = 2
 # come with full sets are smaller.
 BLOCK, SET_BLOCK = 1024, 512
 
-_WORD_MEMORY = 400_000
+_WORD_MEMORY = 200_000
 _CHUNK = 2048
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, as multipliers below must be
 _SEED = 20_240_501

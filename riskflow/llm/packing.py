@@ -170,12 +170,13 @@ def pack(
     bound = lower_bound(lengths, counts, capacity)
     full = int(counts[lengths == capacity].sum())
     certified = full  # a piece that fills a sequence
-    done = [
-        pieces.filter(F.col("length") == capacity)
-        .withColumn("sequence_id", F.col("__item"))
-        .withColumn("offset", F.lit(0).cast("long"))
-    ]
-    waiting = pieces.filter(F.col("length") < capacity)
+    whole = pieces.filter(F.col("length") == capacity)
+    whole = whole.withColumn("sequence_id", F.col("__item")).withColumn(
+        "offset", F.lit(0).cast("long")
+    )
+    # Only numbers and lengths go through the rounds; what else the pieces have moves once.
+    slim, done = ["__item", "length"], []
+    waiting = pieces.filter(F.col("length") < capacity).select(slim)
     n_waiting, total, partitions, before = int(counts.sum()) - full, full, 0, None
     for turn in range(max_rounds):
         if not n_waiting:
@@ -202,16 +203,18 @@ def pack(
             (by_flag[True][name] for name in ("items", "bins", "certified")) if True in by_flag else (0, 0, 0)
         )
         before = (released, open_bins, kept, open_certified)
-        waiting = released.select(pieces.columns)
+        waiting = released.select(slim)
         if total == bound or partitions == 1:
             break
     if before is not None:
         done += [before[2], before[0]]
-    columns = [c for c in pieces.columns if c != "__item"] + ["sequence_id", "offset"]
-    return Packing(
-        reduce(DataFrame.unionByName, [part.select(columns) for part in done]),
-        total, bound, certified,
-    )
+    if done:
+        places = [part.select("__item", "sequence_id", "offset") for part in done]
+        others = pieces.filter(F.col("length") < capacity).join(
+            reduce(DataFrame.unionByName, places), "__item"
+        )
+        whole = whole.unionByName(others)
+    return Packing(whole.drop("__item"), total, bound, certified)
 
 
 def _round(items: DataFrame, turn: int, partitions: int, capacity: int) -> DataFrame:

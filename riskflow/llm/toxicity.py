@@ -74,7 +74,7 @@ class Model:
         if found is None:
             own = [self.odds[f] for f in features_of(word) if f in self.odds]
             found = max(own, key=lambda x: x[1])[0] if own else self.loss
-            if len(self.known) >= 300_000:
+            if len(self.known) >= 200_000:
                 self.known.clear()
             self.known[word] = found
         return found

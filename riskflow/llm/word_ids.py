@@ -22,7 +22,7 @@ from riskflow.llm.token_counts import load
 
 # Distinct words, and runs of letters or signs in them, that a Python worker remembers, and
 # the longest that it does.
-MEMORY_WORDS, MEMORY_PARTS = 500_000, 500_000
+MEMORY_WORDS, MEMORY_PARTS = 400_000, 400_000
 MEMORY_CHARS = 48
 
 # Signs before a word, the word, signs after it; none can open a contraction or, without
