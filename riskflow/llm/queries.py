@@ -102,8 +102,8 @@ def op8_winnowing(spark, sf_dir):
     """Fingerprints of every whole text and of its edited text, and their likeness."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     pairs = fingerprints.edited_and_next(docs)
-    own = fingerprints.winnow(pairs, "text", "hashes", "positions")
-    both = fingerprints.winnow(own, "edited", "edited_hashes", "edited_positions")
+    own = fingerprints.winnow_characters(pairs, "text", "hashes", "positions")
+    both = fingerprints.winnow_characters(own, "edited", "edited_hashes", "edited_positions")
     return both.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
