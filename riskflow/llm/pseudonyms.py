@@ -20,6 +20,39 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
+# Country codes of one and two digits; all others have three.
+_SHORT_CODES = (
+    "1|7|20|27|30|31|32|33|34|36|39|40|41|43|44|45|46|47|48|49|51|52|53|54|55|56|57|58|60|61|62|63"
+    "|64|65|66|81|82|84|86|90|91|92|93|94|95|98"
+)
+_CODE = rf"(?:{_SHORT_CODES}|[2-9][0-9]{{2}})"
+# Digits after the country code, least and most, that are tried first where a country has its own;
+# others, and numbers that do not fit, have as many as make 8 to 15 with the code.
+_NATIONAL = {
+    "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9), "36": (8, 9), "41": (9, 9), "43": (7, 13),
+    "44": (9, 10), "45": (8, 8), "46": (7, 9), "47": (8, 8), "48": (9, 9), "49": (7, 11), "351": (9, 9),
+    "352": (6, 9), "353": (7, 9),
+}
+_TRUNK = r"(?:[ .\-]?\(0\))?"
+
+
+def _national(least: int, most: int) -> str:
+    """Groups of digits with that many in all: to where no further group follows, or else to the
+    end of the last group that fits."""
+    digits = rf"(?:[ .\-]?\(?[0-9]\)?){{{least},{most}}}"
+    return (
+        rf"(?:{digits}(?![0-9A-Za-z]|[ .\-]?\(?[0-9])|{digits}(?![0-9A-Za-z]|[.\-][0-9]))"
+    )
+
+
+_ABROAD = r"\+(?:" + "|".join(
+    [rf"{code}{_TRUNK}{_national(*sizes)}" for code, sizes in _NATIONAL.items()]
+    + [
+        rf"(?!1){code}{_TRUNK}{_national(8 - size, 15 - size)}"
+        for code, size in ((rf"(?:{_SHORT_CODES})", 2), (rf"(?!{_SHORT_CODES})[2-9][0-9]{{2}}", 3))
+    ]
+) + ")"
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # In this order: at one place of a text the first that fits is taken.
 _FORMS = {
@@ -39,10 +72,11 @@ _FORMS = {
         )
         + r")(?![0-9A-Za-z])"
     ),
-    # At most 15 digits each, so that a number right behind is not taken for a part.
+    # As many digits as the country has, 15 at most, so that a number right behind is not taken
+    # for a part.
     "phone": (
         r"\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}(?![0-9A-Za-z])"
-        r"|\+[2-9][0-9]{0,2}(?:[ .\-]?\(?[0-9]{2,4}\)?){2,3}(?![0-9A-Za-z])"
+        rf"|{_ABROAD}"
         r"|(?<![0-9A-Za-z])(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .\-])[2-9][0-9]{2}[ .\-][0-9]{4}(?![0-9A-Za-z])"
     ),
 }
@@ -252,17 +286,16 @@ def _ssn(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    def abroad(digits: Column) -> Column:
-        # The country code: the digits up to the first sign that is none, else the first digit.
-        code = F.regexp_extract(value, r"^\+([0-9]{1,3})[^0-9]", 1)
-        size = F.greatest(F.length(code), F.lit(1))
+    def abroad(form: Column) -> Column:
+        digits = F.regexp_replace(form, "[^0-9]", "")
+        size = F.length(F.regexp_extract(digits, f"^{_CODE}", 0))
         moved = F.concat(
             F.substring(digits, F.lit(1), size),
             permute_text(F.substring(digits, size + 1, F.length(digits)), key, "phone"),
         )
         return F.when(
-            F.length(digits).between(8, 15), _let(moved, lambda m: _refilled(value, m))
-        ).otherwise(value)
+            F.length(digits).between(8, 15), _let(moved, lambda m: _refilled(form, m))
+        ).otherwise(form)
 
     def at_home(digits: Column) -> Column:
         # Area and exchange begin with 2 to 9.
@@ -279,8 +312,11 @@ def _phone(value: Column, key: str) -> Column:
         )
         return _let(written, lambda m: _refilled(value, m))
 
-    digits = F.regexp_replace(value, "[^0-9]", "")
-    return F.when(value.startswith("+"), _let(digits, abroad)).otherwise(_let(digits, at_home))
+    # A trunk zero in brackets is no part of the number and stays.
+    form = F.replace(value, F.lit("(0)"), F.lit("(\x00)"))
+    return F.when(
+        value.startswith("+"), F.replace(_let(form, abroad), F.lit("(\x00)"), F.lit("(0)"))
+    ).otherwise(_let(F.regexp_replace(value, "[^0-9]", ""), at_home))
 
 
 def _ip(value: Column, key: str) -> Column:

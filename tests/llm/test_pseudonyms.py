@@ -157,3 +157,40 @@ def test_query_leaves_no_planted_value(spark, sf_dir):
             assert r.text == before[r.doc_id]
         assert value.sub("", r.text) == value.sub("", before[r.doc_id])
     assert hits > 0 and PSEUDONYM_KEY
+
+
+def test_phones_of_all_countries_in_any_spacing(spark):
+    """A number is taken whole and has one pseudonym, spaced or compact; its country code stays."""
+    numbers = [
+        ("33", ["+33 6 12 34 56 78", "+33612345678", "+33.6.12.34.56.78", "+33 (0)6 12 34 56 78", "+33 612 345 678"]),
+        ("33", ["+33 1 42 68 53 00", "+33142685300"]),
+        ("34", ["+34 612 34 56 78", "+34612345678", "+34 612 345 678", "+34-612-345-678"]),
+        ("49", ["+49 30 1234567", "+49301234567", "+49 (30) 1234567", "+49 (0)30 123 4567", "+49-30-1234567"]),
+        ("49", ["+49 151 2345 6789", "+4915123456789", "+49 1512 3456789"]),
+        ("44", ["+44 20 7946 0958", "+442079460958"]),
+        ("351", ["+351 912 345 678", "+351912345678"]),
+        ("420", ["+420 601 234 567", "+420601234567"]),
+    ]
+    found = iter(_replaced(spark, [f"call {v}, or not" for _, forms in numbers for v in forms]))
+    for code, forms in numbers:
+        new = set()
+        for form in forms:
+            text, n = next(found)
+            assert n == 1 and form not in text, form
+            kept = re.fullmatch(r"call (\+.*), or not", text)[1]
+            assert re.sub("[0-9]", "9", kept) == re.sub("[0-9]", "9", form)
+            assert ("(0)" in kept) == ("(0)" in form)
+            new.add(re.sub("[^0-9]", "", kept.replace("(0)", "")))
+        assert len(new) == 1 and new.pop().startswith(code), (forms, new)
+
+
+def test_phones_beside_other_values(spark):
+    phones = ["+33 6 12 34 56 78", "+34 612 34 56 78", "+49 30 1234567", "+49 151 2345 6789"]
+    others = ["61.131.143.218", "4944 3394 9042 9605", "123-45-6789", "1987-03-12", "+33 1 42 68 53 00"]
+    pairs = [(a, b) for a in phones for b in others]
+    for (text, n), (a, b) in zip(_replaced(spark, [f"{a} {b}" for a, b in pairs]), pairs):
+        assert n == 2 and a not in text and b not in text, (a, b, text)
+    odd = ["+33 6 12 34 56 7", "+33 6 12 34 56 78 9", "+49 30 1234 5678 9012"]
+    assert all(n == 1 for _, n in _replaced(spark, odd))
+    few = ["+33 6 12", "+49 1234", "+331234567890123456789"]
+    assert _replaced(spark, few) == [(t, 0) for t in few]
