@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskflow.llm import (
     bpe,
     fingerprints,
+    manifest,
     near_dedup,
     packing,
     pseudonyms,
@@ -178,3 +179,32 @@ def op3_minhash_near_dedup(spark, sf_dir):
     found = near_dedup.near_duplicates(docs, shingle=4)
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+# Every fifth document, by the digest of its id, is tampered with.
+TAMPERED = 5
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    """Leaf, subroot, root and proof of every document, and the root of a tampered copy."""
+    docs = _table(spark, sf_dir, "documents")
+    others = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED == 0
+    lower = manifest.ascii_lower(F.col("text"))
+    leaves = docs.select(
+        F.col("source").alias("group"),
+        F.col("doc_id").alias("key"),
+        manifest.leaf([*others, F.col("text")]).alias("hash"),
+        F.when(tampered, manifest.leaf([*others, lower])).alias("changed"),
+    )
+    proven = manifest.manifest(leaves)
+    start = F.coalesce("changed", "hash")
+    return proven.select(
+        F.col("key").alias("doc_id"),
+        F.col("hash").alias("leaf"),
+        "subroot",
+        "root",
+        manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+        manifest.folded(start, F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
