@@ -44,6 +44,14 @@ def byte_level(text: str) -> str:
     return text.encode("utf-8").decode("latin-1").translate(_BYTES)
 
 
+_CODES = {ord(stand_in): b for b, stand_in in _BYTES.items()}
+
+
+def byte_values(entry: str) -> bytes:
+    """The bytes that an entry of a byte-level vocabulary spells."""
+    return entry.translate(_CODES).encode("latin-1")
+
+
 def packed(ids: list[int]) -> bytes:
     """Ids as unsigned 32-bit integers, little-endian."""
     return struct.pack(f"<{len(ids)}I", *ids)

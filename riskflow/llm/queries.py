@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm import (
+    alignment,
     bpe,
     fingerprints,
     manifest,
     near_dedup,
     packing,
+    ppm,
     pseudonyms,
     sharding,
     token_counts,
@@ -208,3 +210,23 @@ def op12_merkle_manifest(spark, sf_dir):
         manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
         manifest.folded(start, F.col("proof")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op11_ppm_scores(spark, sf_dir):
+    """Probability of every whole text under a byte trie, and under its words."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    held_out = F.coalesce(crc % 5 == 1, F.lit(False))
+    scored = ppm.score(docs, ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    """Groups and links of two tokenizers' tokens in every whole text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(docs, a, b)

@@ -35,7 +35,7 @@ _PIECES = re.compile(rf"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
 _PLAIN = re.compile(rf"( ?[{LETTERS}]+)([{SIGNS.replace(r"\<", "").replace(r"\>", "")}]+)?")
 # White space outside _BLANKS: a text with any of it is not cut, as a cut right after it
 # would change how a run of white space splits.
-_OTHER_SPACE = re.compile(
+OTHER_SPACE = re.compile(
     "[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]"
 )
 
@@ -62,7 +62,7 @@ def whole_tokens(tokenizer_path: str) -> frozenset[str]:
         for text, i, got in zip(texts, ids, encoded)
         if got.ids == [i]
         and _PIECES.fullmatch(text) is not None
-        and not _OTHER_SPACE.search(text)
+        and not OTHER_SPACE.search(text)
     )
 
 
@@ -124,7 +124,7 @@ def splits_by_blanks(tokenizer: Tokenizer) -> bool:
 def count_text(text: str | None, tokenizer: Tokenizer, counts: PieceCounts | None) -> int:
     if not text:
         return 0
-    if counts is None or _OTHER_SPACE.search(text):
+    if counts is None or OTHER_SPACE.search(text):
         return len(tokenizer.encode(text, add_special_tokens=False).ids)
     return sum(map(counts.__getitem__, _PIECES.findall(text)))
 
