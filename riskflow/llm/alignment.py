@@ -6,6 +6,10 @@ boundary is shared, so its links (pairs of tokens whose bytes overlap) follow by
 slices. ``align`` gives groups and links of a text; ``aligned`` adds, over a table, how often each
 pair of ids is linked in the corpus, counted over all links of all texts.
 
+Between a word and the white space behind it neither tokenizer's tokens reach across, provided that
+their vocabularies show it; there texts are cut into pieces, and each distinct piece of a block is
+aligned once. Texts for which that is not proven are aligned whole.
+
 Texts run in blocks (see ``blocks``): a block's links are numbered by their distinct pairs, a pair of a
 block is one row of the corpus-wide count, and a document keeps its links as small numbers
 until the counts come back.
@@ -37,7 +41,7 @@ from tokenizers import Tokenizer
 from riskflow.llm import blocks
 from riskflow.llm.bpe import PATTERN
 from riskflow.llm.latin import byte_values
-from riskflow.llm.token_counts import OTHER_SPACE, splits_by_blanks
+from riskflow.llm.token_counts import splits_by_blanks
 
 # Bytes of text in a block; its links are held at once.
 BLOCK_BYTES = 1 << 24
@@ -46,9 +50,19 @@ MEMORY_PAIRS = 50_000
 
 _SPACE = "▁"
 
-# Characters or runs for which two libraries might differ: outside Latin letters, white space
-# other than blanks and line ends, and white space so long that one of them runs out of stack.
-_UNUSUAL = re.compile(rf"[^\x00-\u017f]|{OTHER_SPACE.pattern}|\s{{1000}}")
+# Characters for which two libraries might differ: outside Latin letters, and white space other than
+# blanks and line ends. And white space so long that one of them runs out of stack.
+_UNUSUAL = re.compile("[^\t\n\r -\x7e\xa1-\u017f]")
+_LONG_RUN = 10_000
+_RUN = re.compile(rf"[\t\n\r ]{{{_LONG_RUN}}}")
+# White space and the word after it; at the end of a text also the white space there.
+_PIECE = re.compile(r"[ \t\n]*[^ \t\n]+(?:[ \t\n]+\Z)?|[ \t\n]+")
+# Characters of distinct pieces that are aligned as one text.
+_JOINED_CHARS = 1 << 16
+
+
+def is_usual(text: str) -> bool:
+    return not _UNUSUAL.search(text) and not (len(text) > _LONG_RUN and _RUN.search(text))
 
 
 class ByteLevel:
@@ -76,13 +90,18 @@ class ByteLevel:
 
     def encode(self, text: str) -> list[int]:
         text = " " + text
-        if self.fast is None or _UNUSUAL.search(text):
+        if self.fast is None or not is_usual(text):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
     def decode(self, ids: list[int]) -> bytes:
         return self.fast.decode_bytes(ids) if self.fast else b"".join(map(self.bytes.__getitem__, ids))
 
+    @property
+    def splits_words(self) -> bool:
+        """Whether no token of a usual text goes on from a word to the white space behind it."""
+        return self.fast is not None
+
 
 def _merges_in_order(content: str, entries: dict[str, int]) -> bool:
     """Whether a merge's result has the higher id the later the merge comes."""
@@ -101,6 +120,13 @@ class Pieces:
             for i, piece in enumerate(map(self.model.id_to_piece, range(self.model.get_piece_size())))
         ]
 
+        pieces = map(self.model.id_to_piece, range(self.model.get_piece_size()))
+        #: Whether no token of a usual text goes on from a word to the white space behind it: none
+        #: has a blank after anything else, and none a tab or line feed.
+        self.splits_words = not any(
+            _SPACE in piece.lstrip(_SPACE) or re.search("[\t\n ]", piece) for piece in pieces
+        )
+
     def encode(self, text: str) -> list[int]:
         return self.model.encode(text, num_threads=1)
 
@@ -116,15 +142,17 @@ def load(path: str) -> ByteLevel | Pieces:
 
 @dataclass(frozen=True)
 class Alignment:
-    """The ids of both, where the groups begin and the last one ends in them, the groups as text
-    (``a1,a2|b1;a3|b2,b3``), and the links, in no order, as numbers of id pairs."""
+    """The ids of both, where the groups begin and the last one ends in them, the byte ends of the
+    groups, each group as text (``a1,a2|b1,b2``), and, by group, the links as numbers of id pairs."""
 
     a_ids: list[int]
     b_ids: list[int]
     a_cuts: np.ndarray
     b_cuts: np.ndarray
-    written: str
+    ends: list[int]
+    written: list[str]
     links: np.ndarray
+    of_group: np.ndarray
 
 
 def expanded(a_ids: Sequence[int], a_sizes: Sequence[int], b_ids: Sequence[int], b_sizes: Sequence[int]) -> list[tuple[int, int]]:
@@ -196,31 +224,122 @@ class Aligner:
         # How many tokens have ended at each end.
         a_at = dict(zip(np.cumsum(self.a_sizes[a]).tolist(), range(1, len(a) + 1)))
         b_at = dict(zip(np.cumsum(self.b_sizes[b]).tolist(), range(1, len(b) + 1)))
-        common = sorted(a_at.keys() & b_at.keys())
+        # B's ends come in order, so what is in both does.
+        common = list(filter(a_at.__contains__, b_at))
         a_cuts = _numbers([0, *map(a_at.__getitem__, common)])
         b_cuts = _numbers([0, *map(b_at.__getitem__, common)])
         first = a[a_cuts[:-1]] * self.width + b[b_cuts[:-1]]
         # Most slices hold one token of each side, which are its link.
         single = (np.diff(a_cuts) == 1) & (np.diff(b_cuts) == 1)
         written = list(map(self.pairs.__getitem__, first.tolist()))
-        links: list[int] = []
+        links, sizes = [], []
         several = np.flatnonzero(~single)
         places = (cuts[several + step].tolist() for cuts in (a_cuts, b_cuts) for step in (0, 1))
         for k, i, next_i, j, next_j in zip(several.tolist(), *places):
             written[k], more = self.groups[tuple(a_ids[i:next_i]), tuple(b_ids[j:next_j])]
             links += more
+            sizes.append(len(more))
+        all_links = np.concatenate([first[single], _numbers(links)])
+        of_group = np.concatenate([np.flatnonzero(single), np.repeat(several, sizes)])
+        order = np.argsort(of_group, kind="stable")
         return Alignment(
-            a_ids, b_ids, a_cuts, b_cuts, ";".join(written),
-            np.concatenate([first[single], _numbers(links)]),
+            a_ids, b_ids, a_cuts, b_cuts, common, written, all_links[order], of_group[order]
         )
 
+    @property
+    def splits_words(self) -> bool:
+        return self.a.splits_words and self.b.splits_words
+
+    def pieces(self, text: str) -> list[str] | None:
+        """The text, a blank in front, in pieces that align on their own; None if that is not sure,
+        as it is not with carriage returns, which entries have behind signs."""
+        if not self.splits_words or "\r" in text or not is_usual(text):
+            return None
+        return _PIECE.findall(" " + text)
+
 
 @lru_cache(maxsize=2)
 def aligner(a_path: str, b_path: str) -> Aligner:
     return Aligner(a_path, b_path)
 
 
-_LINKS = 0
+class Measured:
+    """Numbers, groups and links of texts or pieces, one after the other."""
+
+    def __init__(self):
+        self.figures: list[tuple[int, int, int, int]] = []
+        self.written: list[str] = []
+        self.links: list[np.ndarray] = []
+
+    def add(self, found: Alignment, ends: list[int] | None = None) -> bool:
+        """The whole alignment as one, or as pieces that end at ``ends``, of which the first is left
+        out; False if one of them is no common end."""
+        if ends is None:
+            cuts = [0, len(found.written)]
+        else:
+            cuts = np.searchsorted(found.ends, ends)
+            if len(found.ends) <= cuts[-1] or [found.ends[k] for k in cuts] != ends:
+                return False
+            cuts = (cuts + 1).tolist()
+        by_group = np.searchsorted(found.of_group, cuts).tolist()
+        a, b = found.a_cuts[cuts].tolist(), found.b_cuts[cuts].tolist()
+        for k in range(len(cuts) - 1):
+            links = found.links[by_group[k] : by_group[k + 1]]
+            self.links.append(links)
+            self.written.append(";".join(found.written[cuts[k] : cuts[k + 1]]))
+            self.figures.append((a[k + 1] - a[k], b[k + 1] - b[k], cuts[k + 1] - cuts[k], len(links)))
+        return True
+
+
+def _measured_pieces(work: Aligner, pieces: list[str]) -> Measured | None:
+    """Distinct pieces in their order; None if they do not align on their own after all.
+
+    They are aligned in long texts behind a word that is left out; one with white space behind its word
+    can only come last.
+    """
+    found, start = Measured(), 0
+    while start < len(pieces):
+        end, size = start, 0
+        while end < len(pieces) and size < _JOINED_CHARS:
+            size += len(pieces[end])
+            end += 1
+            if pieces[end - 1][-1] in " \t\n":
+                break
+        text = "a" + "".join(pieces[start:end])
+        ends = np.cumsum([2, *(len(piece.encode()) for piece in pieces[start:end])]).tolist()
+        if not found.add(work.align(text), ends):
+            return None
+        start = end
+    return found
+
+
+def measure(work: Aligner, texts: list[str | None]) -> tuple[list, list[str], list[np.ndarray]]:
+    """Figures, groups as text and links of each text."""
+    index: dict[str, int] = {}
+    cut: list[list[int] | None] = []
+    for text in texts:
+        pieces = work.pieces(text) if text else None
+        cut.append(pieces and [index.setdefault(piece, len(index)) for piece in pieces])
+    parts = _measured_pieces(work, list(index))
+    figures, written, links = [], [], []
+    if parts is not None and index:
+        sizes = np.array(parts.figures, dtype=np.int64)
+        all_links = np.concatenate(parts.links)
+        starts = np.cumsum(sizes[:, 3]) - sizes[:, 3]
+    for text, own in zip(texts, cut):
+        if own and parts is not None:
+            figures.append(tuple(sizes[own].sum(axis=0).tolist()))
+            written.append(";".join(map(parts.written.__getitem__, own)))
+            lengths = sizes[own, 3]
+            shift = starts[own] - (np.cumsum(lengths) - lengths)
+            links.append(all_links[np.repeat(shift, lengths) + np.arange(lengths.sum())])
+        else:
+            one = Measured()
+            one.add(work.align(text))
+            figures += one.figures
+            written += one.written
+            links += one.links
+    return figures, written, links
 
 
 def _by_frequency(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -231,13 +350,8 @@ def _by_frequency(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def _emit(a_path: str, b_path: str):
     def emit(block: pa.Table):
         work = aligner(a_path, b_path)
-        figures, digests, codes = [], [], []
-        for text in block.column("text"):
-            found = work.align(text.as_py())
-            some = bool(found.a_ids)
-            digests.append(hashlib.sha256(found.written.encode()).hexdigest() if some else "")
-            figures.append((len(found.a_ids), len(found.b_ids), len(found.a_cuts) - 1, len(found.links)))
-            codes.append(found.links)
+        figures, written, codes = measure(work, block.column("text").to_pylist())
+        digests = [hashlib.sha256(text.encode()).hexdigest() if text else "" for text in written]
         places, pairs = pd.factorize(np.concatenate(codes))
         counts = np.bincount(places, minlength=len(pairs))
         # A document's links, as sorted numbers, differ little from one to the next.
@@ -257,7 +371,7 @@ def _emit(a_path: str, b_path: str):
                 "text": pa.array(links, pa.large_binary()),
             }
         )
-        return [(_LINKS, pairs, counts)], rows
+        return pairs, counts, rows
 
     return emit
 
@@ -303,7 +417,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, block_bytes: int = BLOCK_
     texts = docs.select("doc_id", "text")
     keys, packed = blocks.in_blocks(texts, "text", block_bytes, _emit(a_path, b_path), "links")
     counts = pair_counts(keys, len(load(b_path).bytes))
-    answers = keys.join(counts, "code").select("block", "kind", "code", "n", "links", "best")
+    answers = keys.join(counts, "code").select("block", "code", "n", "links", "best")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return blocks.finish(
         answers, packed, _with_counts,

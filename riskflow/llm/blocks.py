@@ -2,11 +2,14 @@
 
 Some operators look up a corpus-wide number for each little part of a text. A row per part and
 document would be far more data than the texts, so a task goes over its rows block by block:
-``emit`` turns a block into its distinct keys (``kind``, ``code``, ``n``) and its rows, packed.
+``emit`` turns a block into its distinct keys (``code``, ``n``) and its rows, packed.
 Statistics are then DataFrame operations over keys, a key of the whole corpus being at most one
 row per block, and ``finish`` brings the answers to a block's keys and its packed rows together again
 in one task. Blocks end by bytes, so neither step holds more than a block, however the keys
 are spread; a single row larger than a block is a block alone.
+
+The most frequent keys are in nearly every block. A bounded number of them may go to all tasks at once
+(``frequent``), and only the others by block.
 """
 
 from __future__ import annotations
@@ -22,12 +25,10 @@ from pyspark.sql import functions as F
 
 from riskflow.session import materialize
 
-# Packed rows; every other kind is a key.
-ROWS = -1
 # Bytes of text that are packed together.
 PACK_BYTES = 1 << 22
 
-_SCHEMA = "block long, kind int, code long, n long, packed binary"
+_SCHEMA = "block long, code long, n long, packed binary"
 
 
 def split_by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.Table]:
@@ -59,51 +60,65 @@ def unpack(packed: bytes) -> pa.Table:
     return pa.ipc.open_stream(packed).read_all()
 
 
-Keys = tuple[int, np.ndarray, np.ndarray]
-
-
 def in_blocks(
     docs: DataFrame,
     column: str,
     limit: int,
-    emit: Callable[[pa.Table], tuple[list[Keys], pa.Table]],
+    emit: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, pa.Table]],
     name: str,
 ) -> tuple[DataFrame, DataFrame]:
-    """(keys: ``block``, ``kind``, ``code``, ``n``; packed rows: ``block``, ``packed``), written once.
+    """(keys: ``block``, ``code``, ``n``; packed rows: ``block``, ``packed``), written once.
 
-    ``emit`` gives, for a block, arrays of codes and counts by kind, and the rows to pack; the
-    packed ones are cut by the bytes of their own ``column``.
+    ``emit`` gives, for a block, its codes, their counts and the rows to pack; the packed ones are cut
+    by the bytes of their own ``column``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         for number, block in enumerate(split_by_bytes(batches, column, limit)):
-            found, rows = emit(block)
-            for kind, codes, counts in found:
-                yield _rows(first + number, kind, pa.array(codes, pa.int64()), pa.array(counts, pa.int64()))
+            codes, counts, rows = emit(block)
+            for start in range(0, len(codes), _BATCH_KEYS):
+                part = slice(start, start + _BATCH_KEYS)
+                yield _rows(first + number, codes[part], counts[part])
             for part in split_by_bytes(rows.to_batches(), column, PACK_BYTES):
-                yield _rows(first + number, ROWS, packed=pa.array([pack(part)], pa.binary()))
+                yield _rows(first + number, packed=pack(part))
+
+    marked = docs.mapInArrow(run, _SCHEMA).withColumn("is_key", F.col("packed").isNull())
+    stored = materialize(marked, name, ["is_key"])
+    keys = stored.filter("is_key").select("block", "code", "n")
+    return keys, stored.filter("NOT is_key").select("block", "packed")
 
-    stored = materialize(docs.mapInArrow(run, _SCHEMA), name, ["kind"])
-    keys = stored.filter(F.col("kind") != ROWS).select("block", "kind", "code", "n")
-    return keys, stored.filter(F.col("kind") == ROWS).select("block", "packed")
 
+# Keys that go to Spark at a time.
+_BATCH_KEYS = 1 << 17
 
-def _rows(block: int, kind: int, codes=None, counts=None, packed=None) -> pa.RecordBatch:
-    n = len(packed) if codes is None else len(codes)
-    empty = pa.nulls(n, pa.int64())
+
+def _rows(block: int, codes=None, counts=None, packed: bytes | None = None) -> pa.RecordBatch:
+    n = 1 if codes is None else len(codes)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(n, block, dtype=np.int64)),
-            pa.array(np.full(n, kind, dtype=np.int32)),
-            empty if codes is None else codes,
-            empty if counts is None else counts,
-            pa.nulls(n, pa.binary()) if packed is None else packed,
+            pa.nulls(n, pa.int64()) if codes is None else pa.array(codes, pa.int64()),
+            pa.nulls(n, pa.int64()) if codes is None else pa.array(counts, pa.int64()),
+            pa.nulls(n, pa.binary()) if packed is None else pa.array([packed], pa.binary()),
         ],
-        ["block", "kind", "code", "n", "packed"],
+        ["block", "code", "n", "packed"],
     )
 
 
+def frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The keys of the highest counts ``c``, at most ``most``: all from some count on."""
+    # Counts in steps of an eighth of a doubling; few, whatever the corpus.
+    steps = counted.filter("c > 0").groupBy(F.floor(8 * F.log2("c")).alias("step")).count().collect()
+    least, total = None, 0
+    for row in sorted(steps, key=lambda row: -row["step"]):
+        total += row["count"]
+        if total > most:
+            break
+        least = row["step"]
+    return counted.filter(F.lit(False) if least is None else F.floor(8 * F.log2("c")) >= least)
+
+
 def finish(
     answers: DataFrame,
     packed: DataFrame,
@@ -112,18 +127,21 @@ def finish(
 ) -> DataFrame:
     """What ``prepare(answers of a block)`` makes of the packed rows of that block.
 
-    ``answers`` have ``block``, ``kind``, ``code`` and further columns; a task gets those of a block
-    sorted by kind and code, all before its rows.
+    ``answers`` have ``block``, ``code`` and further columns; a task gets those of a block sorted by
+    code, all before its rows.
     """
-    further = [f for f in answers.schema.fields if f.name not in ("block", "kind", "code")]
+    further = [f for f in answers.schema.fields if f.name not in ("block", "code")]
     both = answers.withColumn("packed", F.lit(None).cast("binary")).unionByName(
         packed.select(
-            "block", F.lit(None).cast("int").alias("kind"), F.lit(None).cast("long").alias("code"),
+            "block", F.lit(None).cast("long").alias("code"),
             *(F.lit(None).cast(f.dataType).alias(f.name) for f in further), "packed",
         )
     )
-    # Rows have no kind and come last.
-    order = ["block", F.asc_nulls_last("kind"), "code"]
+    # Rows have no code and come last.
+    order = ["block", F.asc_nulls_last("code")]
+
+    def answers_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.drop_columns(["block", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, apply = None, [], None
@@ -136,12 +154,12 @@ def finish(
                 if start == end:
                     continue
                 if blocks[start] != block:
-                    block, held, apply = blocks[start], [batch.slice(0, 0)], None
+                    block, held, apply = blocks[start], [answers_of(batch.slice(0, 0))], None
                 if not is_row[start]:
-                    held.append(batch.slice(start, end - start))
+                    held.append(answers_of(batch.slice(start, end - start)))
                     continue
                 if apply is None:
-                    apply, held = prepare(pa.Table.from_batches(held).combine_chunks()), []
+                    apply, held = prepare(pa.Table.from_batches(held)), []
                 for one in batch.column("packed").slice(start, end - start):
                     yield apply(unpack(one.as_py()))
 

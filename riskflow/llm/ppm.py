@@ -18,8 +18,8 @@ aggregate counts them over the corpus, the shorter orders follow from it, string
 training has not seen are resolved order by order, and each block gets the probabilities of its own
 keys back. What is gathered grows with the corpus; no task holds more of it than a block needs.
 
-The words of the texts (between ASCII white space, by 64-bit hashes) are keys too, for the
-additive word model that ``score`` reports beside it.
+The words of the texts (between ASCII white space, by 63-bit hashes) are keys too, for the
+additive word model that ``score`` reports beside it: negative numbers, as strings are positive.
 
 Null texts count as empty: an end mark alone. Rows with a null or repeated id are rows like any
 other. Without training rows all symbols are alike and no word is known.
@@ -28,8 +28,8 @@ other. Without training rows all symbols are alike and no word is known.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -44,15 +44,19 @@ from riskflow.session import materialize
 # Bytes of the longest context; with its symbol it has to fit into 56 bits.
 ORDER = 5
 # Bytes of text in a block.
-BLOCK_BYTES = 1 << 25
-# Bytes of text whose strings are in memory at once.
-_CHUNK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 24
+# Bytes of text whose strings are in memory at once, and words.
+_CHUNK_BYTES, _CHUNK_WORDS = 1 << 21, 1 << 18
+# Chunks' distinct keys that are held before they are added up.
+_HELD_PARTS = 6
 
 START, END = 0xFF, 0xFE
 # All byte values but the start mark.
 SYMBOLS = 255
 
-GRAM, WORD = 0, 1
+# Most frequent strings and words that every task of the last step holds, 16 bytes each; the others come
+# block by block.
+FREQUENT = 1 << 19
 
 
 def symbols_of(text: str | None) -> bytes:
@@ -75,7 +79,7 @@ def grams(marked: list[bytes], order: int) -> np.ndarray:
     return codes[raw[order:] != START]
 
 
-def in_chunks(texts: list[bytes], order: int) -> Iterator[tuple[list[int], list[bytes]]]:
+def in_chunks(texts: Iterable[bytes], order: int) -> Iterator[tuple[list[int], list[bytes]]]:
     """Marked texts with their numbers, in chunks of bounded size.
 
     A longer text comes in slices, each with the context that its first byte has.
@@ -103,13 +107,13 @@ def _known_hashes() -> dict[bytes, int]:
     return {}
 
 
-def word_codes(text: bytes) -> list[int]:
-    """64-bit hashes of the words, then that of the end, as signed numbers."""
-    known, found = _known_hashes(), []
+def word_codes(text: bytes) -> array:
+    """Hashes of the words, then that of the end, as negative numbers."""
+    known, found = _known_hashes(), array("q")
     for word in text.split():
         code = known.get(word)
         if code is None:
-            code = _signed(xxhash.xxh3_64_intdigest(word))
+            code = _word_code(word)
             if len(word) <= 24:
                 if len(known) >= 50_000:
                     known.clear()
@@ -119,12 +123,12 @@ def word_codes(text: bytes) -> list[int]:
     return found
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def _word_code(word: bytes) -> int:
+    return -1 - (xxhash.xxh3_64_intdigest(word) >> 1)
 
 
 # No word is empty.
-_END_CODE = _signed(xxhash.xxh3_64_intdigest(b""))
+_END_CODE = _word_code(b"")
 
 
 def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,26 +143,32 @@ def _emit(order: int):
     """A block's strings and words, each with how often the block's training rows have it."""
 
     def emit(block: pa.Table):
-        texts = [symbols_of(text.as_py()) for text in block.column("text")]
         learns = block.column("learns").to_pylist()
-        strings, words = [], Counter()
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add(codes: np.ndarray, learn: bool) -> None:
+            found, counts = np.unique(codes, return_counts=True)
+            parts.append((found, counts * learn))
+            if len(parts) > _HELD_PARTS:
+                parts[:] = [_counted(parts)]
+
+        def texts(learn: bool) -> Iterator[bytes]:
+            return (
+                symbols_of(text.as_py()) for text, own in zip(block.column("text"), learns) if own == learn
+            )
+
         for learn in (True, False):
-            own = [text for text, flag in zip(texts, learns) if bool(flag) == learn]
-            for _, chunk in in_chunks(own, order):
-                codes, counts = np.unique(grams(chunk, order), return_counts=True)
-                strings.append((codes, counts * learn))
-            for text in own:
-                if learn:
-                    words.update(word_codes(text))
-                else:
-                    for code in word_codes(text):
-                        words.setdefault(code, 0)
-        n = len(words)
-        keys = [
-            (GRAM, *_counted(strings)),
-            (WORD, np.fromiter(words.keys(), np.int64, n), np.fromiter(words.values(), np.int64, n)),
-        ]
-        return keys, block
+            for _, chunk in in_chunks(texts(learn), order):
+                add(grams(chunk, order), learn)
+            codes = array("q")
+            for text in texts(learn):
+                codes.extend(word_codes(text))
+                if len(codes) > _CHUNK_WORDS:
+                    add(np.frombuffer(codes, np.int64), learn)
+                    codes = array("q")
+            add(np.frombuffer(codes, np.int64), learn)
+        codes, counts = _counted(parts)
+        return codes, counts, block
 
     return emit
 
@@ -208,7 +218,7 @@ class Trie:
         )
 
     def log_probabilities(self, asked: DataFrame) -> DataFrame:
-        """``code`` and ``value``, the log10 probability of its last byte after the others, of the
+        """``code``, ``c`` and ``value``, the log10 probability of its last byte after the others, of the
         distinct strings ``asked`` (``code``, ``c``: null where training has not seen it)."""
         asked = asked.withColumn("size", F.lit(self.order))
         seen = asked.filter("c IS NOT NULL")
@@ -220,8 +230,8 @@ class Trie:
         known = materialize(known, "known", ["size"])
         escaped = self._after(unseen, known, self.order)
         return (
-            self._with_context(seen).selectExpr("code", "log10((c - 0.5D) / t) AS value")
-            .unionByName(escaped.select("code", F.col("fresh").alias("value")))
+            self._with_context(seen).selectExpr("code", "log10((c - 0.5D) / t) AS value", "c")
+            .unionByName(escaped.select("code", F.col("fresh").alias("value"), "c"))
         )
 
     def _with_context(self, strings: DataFrame) -> DataFrame:
@@ -260,25 +270,30 @@ def _found(sorted_codes: np.ndarray, values: np.ndarray, asked: np.ndarray) -> n
     return values[np.searchsorted(sorted_codes, asked)]
 
 
-def _scored(order: int, n_tokens: int, n_distinct: int):
-    """Looks up a block's strings and words and sums up by text."""
+def _scored(order: int, n_tokens: int, n_distinct: int, common):
+    """Looks up a block's strings and words, also among those ``common`` to all blocks, and sums up
+    by text."""
 
     def prepare(answers: pa.Table):
-        kinds, codes, values = (answers.column(c).to_numpy() for c in ("kind", "code", "value"))
-        strings = codes[kinds == GRAM], values[kinds == GRAM]
-        counts = codes[kinds == WORD], values[kinds == WORD]
+        codes, values = (
+            np.concatenate([answers.column(c).to_numpy(), shared])
+            for c, shared in zip(("code", "value"), common.value)
+        )
+        by_code = np.argsort(codes, kind="stable")
+        known = codes[by_code], values[by_code]
+        del codes, values, by_code, answers
 
         def apply(rows: pa.Table) -> pa.RecordBatch:
             texts = [symbols_of(text.as_py()) for text in rows.column("text")]
             scores = np.zeros(len(texts))
             for numbers, chunk in in_chunks(texts, order):
                 sizes = np.array([len(marked) - order for marked in chunk])
-                logs = _found(*strings, grams(chunk, order))
+                logs = _found(*known, grams(chunk, order))
                 scores[numbers] += np.add.reduceat(logs, np.cumsum(sizes) - sizes)
             words = [word_codes(text) for text in texts]
             sizes = np.array([len(own) for own in words], dtype=np.int64)
             starts = np.cumsum(sizes) - sizes
-            c = _found(*counts, np.array([code for own in words for code in own], dtype=np.int64))
+            c = _found(*known, np.concatenate([np.frombuffer(own, np.int64) for own in words]))
             logs = np.log10((c + 0.5) / (n_tokens + 0.5 * (n_distinct + 1)))
             return pa.RecordBatch.from_arrays(
                 [
@@ -304,22 +319,28 @@ def score(
     count added to each and to one unknown) and ``score``, that of the text by the trie. ``learns`` marks
     the training rows.
     """
+    spark = docs.sparkSession
     texts = docs.select("doc_id", "text", F.coalesce(learns, F.lit(False)).alias("learns"))
     keys, packed = blocks.in_blocks(texts, "text", block_bytes, _emit(order), "strings")
-    counted = materialize(
-        keys.groupBy("kind", "code").agg(F.sum("n").alias("c")), "counted", ["kind"]
-    )
-    strings = counted.filter(F.col("kind") == GRAM).select("code", "c")
+    counted = keys.groupBy("code").agg(F.sum("n").alias("c"))
+    counted = materialize(counted.withColumn("is_word", F.col("code") < 0), "counted", ["is_word"])
+    strings, words = counted.filter("NOT is_word").select("code", "c"), counted.filter("is_word")
     trie = Trie(strings.filter("c > 0"), order)
     values = trie.log_probabilities(strings.withColumn("c", F.nullif("c", F.lit(0))))
-    words = counted.filter(F.col("kind") == WORD).select("code", F.col("c").cast("double").alias("value"))
-    totals = words.agg(F.sum("value").alias("n"), F.count_if(F.col("value") > 0).alias("v")).first()
-    n_tokens, n_distinct = int(totals["n"] or 0), totals["v"]
-    known = values.withColumn("kind", F.lit(GRAM)).unionByName(words.withColumn("kind", F.lit(WORD)))
-    answers = keys.join(known, ["kind", "code"]).select("block", "kind", "code", "value")
+    totals = words.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    n_tokens, n_distinct = totals["n"] or 0, totals["v"]
+    known = materialize(
+        values.unionByName(words.select("code", F.col("c").cast("double").alias("value"), "c")), "known"
+    )
+    common = blocks.frequent(known, FREQUENT)
+    shared = common.select("code", "value").toArrow()
+    answers = keys.join(F.broadcast(common.select("code")), "code", "left_anti").join(
+        known.select("code", "value"), "code"
+    ).select("block", "code", "value")
+    shared = spark.sparkContext.broadcast(tuple(shared.column(c).to_numpy() for c in ("code", "value")))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     scored = blocks.finish(
-        answers, packed, _scored(order, n_tokens, n_distinct),
+        answers, packed, _scored(order, n_tokens, n_distinct, shared),
         f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double",
     )
     return scored.withColumn("train_tokens", F.lit(n_tokens).cast("long"))

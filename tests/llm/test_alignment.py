@@ -156,3 +156,27 @@ def test_very_long_runs(paths, text):
 def test_links_of_a_group():
     assert alignment.expanded([1, 2, 3], [2, 3, 1], [7, 8], [4, 2]) == [(1, 7), (2, 7), (2, 8), (3, 8)]
     assert alignment.expanded([1], [5], [7, 8], [2, 3]) == [(1, 7), (1, 8)]
+
+
+def test_pieces_align_as_whole_texts(paths):
+    """Cut behind words and measured once per distinct piece, or not cut: the same."""
+    work, rnd = alignment.aligner(*paths), random.Random(13)
+    assert work.splits_words
+    letters = "abcdeEFT   \n\n\t'.,;<|>019éüßÅœłİ½ªæ"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(80))) for _ in range(2_000)]
+    texts += [None, "", " ", "\n", " a", "a ", "\na", "a\r\nb);\r c", "日本 语 a", "a" * 30_000 + " b"]
+    for text, figures, written, links in zip(texts, *alignment.measure(work, texts)):
+        whole = work.align(text)
+        assert written == ";".join(whole.written)
+        assert figures == (len(whole.a_ids), len(whole.b_ids), len(whole.a_cuts) - 1, len(whole.links))
+        assert sorted(links.tolist()) == sorted(whole.links.tolist())
+
+
+def test_pieces_that_do_not_stand_alone(paths, monkeypatch):
+    """Where a cut turns out to be no common end, texts are aligned whole."""
+    work = alignment.aligner(*paths)
+    monkeypatch.setattr(alignment, "_PIECE", alignment.re.compile(r"[^e]+|e[^e]*"))
+    texts = ["The letters there", "were never three"]
+    for text, figures, written in zip(texts, *alignment.measure(work, texts)[:2]):
+        assert written == ";".join(work.align(text).written)
+        assert figures[0] == len(work.align(text).a_ids)
