@@ -3,17 +3,30 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.plans import jobs
 from riskflow.schemas import DIABETES_CSV_COLUMNS, DIABETES_CSV_SCHEMA, TASKS
 from riskflow.session import build_session
+from riskflow.sources.ingest import ingest, read_text
 from riskflow.sources.tables import exists, read_csv, read_parquet, typed, write_parquet
 
 
-def read_records(spark: SparkSession, task: str, path: str, kind: str) -> DataFrame:
-    """Input table with the column names of the task; CSV columns go by their header."""
+def read_records(
+    spark: SparkSession, task: str, path: str, kind: str, key: Sequence[str] = (), rejects: str | None = None
+) -> DataFrame:
+    """Input table with the column names of the task; CSV columns go by their header.
+
+    With a place for ``rejects``, the cells of a CSV that cannot be read go there with their key
+    and text, and are logged by column.
+    """
+    if rejects and kind == "csv" and task == "diabetes":
+        text = read_text(spark, path).withColumnsRenamed(DIABETES_CSV_COLUMNS)
+        found = ingest(text.toDF(*(name.lower() for name in text.columns)), DIABETES_CSV_SCHEMA, key)
+        write_parquet(found.rejects, rejects)
+        return found.table
     if kind == "parquet":
         df = read_parquet(spark, path)
     elif task == "diabetes":
@@ -41,6 +54,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         "--input", required=True, nargs="+", help="table of records; the first that exists is read"
     )
     parser.add_argument("--format", choices=["csv", "parquet"], default="parquet")
+    parser.add_argument("--rejects", help="where unreadable cells of a CSV with a declared schema go")
     parser.add_argument("--key", nargs="*", default=[], help="columns that name a record")
     parser.add_argument("--folder", help="models and registry; without it only rules score")
     parser.add_argument(
@@ -61,7 +75,7 @@ def main(argv: list[str] | None = None) -> None:
     a = _arguments(argv)
     spark = build_session("riskflow")
     task, source = TASKS[a.task], first_input(spark, a.input, a.format)
-    records = read_records(spark, a.task, *source)
+    records = read_records(spark, a.task, *source, a.key, a.rejects)
     if a.step == "prepare":
         write_parquet(jobs.prepared(records, task, a.key), a.output)
     elif a.step == "export":

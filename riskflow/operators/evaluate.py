@@ -105,7 +105,13 @@ def evaluate(
     if prediction is None:
         prediction = "prediction"
         df = df.withColumn(prediction, (F.col(score) >= 0.5).cast("int"))
-    counts = score_counts(df, group, score, label, prediction)
+    return evaluate_counts(score_counts(df, group, score, label, prediction), group, buckets)
+
+
+def evaluate_counts(
+    counts: DataFrame, group: Sequence[str] = ("candidate",), buckets: int | None = None
+) -> DataFrame:
+    """The same from positives and negatives per distinct score, as ``score_counts`` gives them."""
     # Two passes read the counts, so write them once.
     counts = materialize(counts, "score_counts")
     ranked = _ranked_by_bucket(counts, group, buckets)

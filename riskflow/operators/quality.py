@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.functions.scalar import quoted
+from riskflow.session import counting
+from riskflow.sources.tables import write_parquet
+
 
 def profile(df: DataFrame) -> DataFrame:
     """Rows, nulls and zeros of every column: one aggregate over one scan."""
@@ -43,14 +46,19 @@ def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     One condition per column, unlike the single count of ``na.drop``: Parquet
     readers can skip by them, and the optimizer's work stays linear in the columns.
     """
+    return df.filter(is_complete(df, columns or df.columns))
+
+
+def is_complete(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Whether none of the columns is null or NaN."""
     kinds = {field.name: field.dataType for field in df.schema.fields}
     conditions = []
-    for name in columns or df.columns:
+    for name in columns:
         column = F.col(quoted(name))
         conditions.append(column.isNotNull())
         if isinstance(kinds[name], (T.DoubleType, T.FloatType)):
             conditions.append(~F.isnan(column))
-    return df.filter(reduce(and_, conditions))
+    return reduce(and_, conditions)
 
 
 def numeric_features(df: DataFrame, exclude: Iterable[str]) -> list[str]:
@@ -151,6 +159,41 @@ def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFr
     return df.filter(valid), with_violations(df.filter(~valid), rules)
 
 
+@dataclass(frozen=True)
+class Validated:
+    """Both parts of a validated table, and counts: all rows, those rejected, failures by rule."""
+
+    valid: DataFrame
+    rejected: DataFrame
+    n_rows: int
+    n_rejected: int
+    failures: dict[str, int]
+
+
+def write_validated(df: DataFrame, rules: Sequence[Rule], path: str) -> Validated:
+    """Valid and rejected rows, the latter with their ``violations``, from one read: one write parted
+    by validity, counted along the way. The counts are there when the write is."""
+    failures = (
+        F.count_if(F.array_contains("violations", rule.name)).alias(f"rule_{i}")
+        for i, rule in enumerate(rules)
+    )
+    marked = with_violations(df, rules).withColumn("valid", F.size("violations") == 0)
+    counted, tally = counting(
+        marked, F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("valid")).alias("n_rejected"), *failures
+    )
+    write_parquet(counted, path, partition_by=["valid"])
+    # By its own schema: a part without rows has no folder.
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    found = tally.get()
+    return Validated(
+        valid=stored.filter("valid").drop("valid", "violations"),
+        rejected=stored.filter("NOT valid").drop("valid"),
+        n_rows=found["n_rows"],
+        n_rejected=found["n_rejected"],
+        failures={rule.name: found[f"rule_{i}"] for i, rule in enumerate(rules)},
+    )
+
+
 def violations_by_rule(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Failed rows per rule, counted in one aggregate without exploding the rows."""
     counts = df.agg(*(F.count_if(~rule.passes()).alias(rule.name) for rule in rules))

@@ -15,6 +15,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.operators.grid import grid_aucs
 from riskflow.operators.prepare import Preparation, fit_preparation
 from riskflow.operators.split import digest_share, fold_of, is_train, key_digest
 from riskflow.schemas import Task
@@ -62,6 +63,7 @@ def training_set(
     key: Sequence[str],
     partitions: int | None = None,
     max_training_rows: int | None = None,
+    session: SparkSession | None = None,
 ) -> TrainingSet:
     """Split by key hash, fit the preparation on the train split only and apply it.
 
@@ -74,15 +76,16 @@ def training_set(
     recomputed from the written table.
 
     ``max_training_rows`` bounds the train split, about, to the rows with the
-    smallest digests. It is off by default.
+    smallest digests. It is off by default. ``session`` is where the result belongs, by default
+    where the records do.
     """
-    spark = records.sparkSession
+    spark = session or records.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     marked = records.select(
         *task.features, task.label, key_digest(key).alias("digest"),
         fold_of(key, FOLDS).alias("fold"), is_train(key).alias("train"),
     )
-    stored = materialize(marked, f"{task.name}_records", ["train"])
+    stored = materialize(marked, f"{task.name}_records", ["train"], spark)
     train, test = stored.filter("train").drop("train"), stored.filter("NOT train").drop("train")
     if max_training_rows:
         share = max_training_rows / max(1, train.count())
@@ -136,15 +139,21 @@ def tune(
     """Cross-validated grid search by AUC, refitted on the whole train split.
 
     Folds come from the key hash, so every run compares the same splits. A tie
-    goes to the point that comes first in the grid.
+    goes to the point that comes first in the grid. A regression's penalties are tried all at once
+    (see ``grid``); other parameters and forests are fitted point by point.
     """
     started = time.monotonic()
     base = estimator(family, data.label, **params)
+    values = dict(grid or GRIDS[family])
     builder = ParamGridBuilder()
-    for name, values in (grid or GRIDS[family]).items():
-        builder = builder.addGrid(base.getParam(name), list(values))
+    for name in values:
+        builder = builder.addGrid(base.getParam(name), list(values[name]))
     points = builder.build()
-    aucs = cross_validate(data, base, points, folds, parallelism)
+    if family == LR and not params and set(values) == set(GRIDS[LR]):
+        by_name = [{param.name: value for param, value in point.items()} for point in points]
+        aucs = grid_aucs(data.train, data.label, by_name, folds)
+    else:
+        aucs = cross_validate(data, base, points, folds, parallelism)
     tried = [
         {param.name: value for param, value in point.items()} | {"mean_auc": auc}
         for point, auc in zip(points, aucs)

@@ -17,11 +17,12 @@ from pyspark.sql.types import StringType
 from riskflow.functions.encode import GENDER_CODES, MALE, YES, encode_flags, equals_flag, mapped
 from riskflow.operators.evaluate import evaluate, with_gate
 from riskflow.operators.prepare import fit_preparation, zero_impute
-from riskflow.operators.quality import drop_columns, drop_nulls, numeric_features
+from riskflow.operators.quality import drop_columns, drop_nulls, is_complete, numeric_features
 from riskflow.operators.report import with_report
 from riskflow.operators.score import ChosenModel, flat_result, score, with_model_score
 from riskflow.operators.train import LR, RF, Fitted, TrainingSet, training_set, tune
 from riskflow.schemas import TASKS, Task
+from riskflow.session import Counts, counting
 from riskflow.sources import registry
 from riskflow.sources.models import save_model, try_load
 from riskflow.sources.tables import write_csv, write_parquet
@@ -91,8 +92,8 @@ def with_features(task: Task, records: DataFrame, key: Sequence[str]) -> Task:
 
 
 def training_records(records: DataFrame, task: Task, key: Sequence[str]) -> DataFrame:
-    """Encoded rows with key, features and label, those without a null in a feature or the
-    label; ``dropped_rows`` counts the others."""
+    """Encoded rows with key, features and label, those without a null or NaN in a feature or the
+    label."""
     columns = [*key, *(name for name in (*task.features, task.label) if name not in key)]
     complete = drop_nulls(records.select(*columns), [*task.features, task.label])
     ready = encoded(complete, task)
@@ -100,10 +101,11 @@ def training_records(records: DataFrame, task: Task, key: Sequence[str]) -> Data
     return ready
 
 
-def dropped_rows(records: DataFrame, task: Task) -> int:
-    """How many records training leaves out because of a null or NaN."""
-    columns = records.select(*task.features, task.label)
-    return columns.count() - drop_nulls(columns).count()
+def counting_dropped(records: DataFrame, task: Task) -> tuple[DataFrame, Counts]:
+    """The records, and how many training leaves out because of a null or NaN: ``dropped_rows``,
+    counted by the job that writes the others."""
+    incomplete = ~is_complete(records, [*task.features, task.label])
+    return counting(records, F.count_if(incomplete).alias("dropped_rows"))
 
 
 def test_scores(data: TrainingSet, models: Sequence[Fitted]) -> DataFrame:
@@ -142,12 +144,14 @@ def train_task(
     """Tune, save and evaluate each family; returns registry rows, written, and the models."""
     spark = records.sparkSession
     task = with_features(task, records, key)
-    dropped = dropped_rows(records, task)
-    if dropped:
-        _log.warning("%s: %d records with a missing value are not trained on", task.name, dropped)
+    counted, tally = counting_dropped(records, task)
     data = training_set(
-        training_records(records, task, key), task, key, max_training_rows=max_training_rows
+        training_records(counted, task, key), task, key,
+        max_training_rows=max_training_rows, session=spark,
     )
+    dropped = tally.get()["dropped_rows"]
+    if dropped:
+        _log.warning("%s: %d records with a missing value are not trained on", task.name, dropped)
     try:
         models = [tune(data, family, parallelism=parallelism) for family in families]
     finally:
@@ -183,7 +187,8 @@ def train(
     parallelism: int = 4,
     max_training_rows: int | None = None,
 ) -> dict[str, list[Fitted]]:
-    """Train every (task: table, key); the outcome is appended to ``folder``/registry.
+    """Train every (task: table, key); the outcome goes to ``folder``/registry, all of it by one
+    commit at the end.
 
     ``folder``/best_models names the best model of each task's last run, those of tasks
     trained before included.
@@ -194,10 +199,10 @@ def train(
             records, TASKS[name], key, f"{folder}/models", run_id,
             parallelism=parallelism, max_training_rows=max_training_rows,
         )
-        registry.append(rows, f"{folder}/registry")
+        registry.stage(rows, f"{folder}/registry", run_id)
         spark = records.sparkSession
-    rows = registry.read(spark, f"{folder}/registry")
-    registry.write_lines(registry.best(registry.latest_run(rows)), f"{folder}/best_models")
+    registry.commit(spark, f"{folder}/registry", run_id)
+    registry.publish_lines(spark, f"{folder}/registry", f"{folder}/best_models")
     return fitted
 
 

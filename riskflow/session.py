@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings that hold on any cluster. Memory, cores and the number of shuffle
 # partitions belong to the submit command; AQE coalesces or splits from there.
@@ -47,14 +47,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` once to the scratch folder and read it back.
+def materialize(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), session: SparkSession | None = None
+) -> DataFrame:
+    """Write ``df`` once to the scratch folder and read it back, in another session if one is given.
 
     Cuts the lineage with a table that outlives any executor.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (session or df.sparkSession).read.schema(df.schema).parquet(path)
+
+
+class Counts:
+    """What was counted along the way; there once the job that reads the counted table is done."""
+
+    def __init__(self, observation: Observation, session: SparkSession, view: str):
+        self._observation, self._session, self._view = observation, session, view
+
+    def get(self) -> dict[str, int]:
+        found = self._observation.get
+        self._session.catalog.dropGlobalTempView(self._view)
+        return found
+
+
+def counting(df: DataFrame, *measures: Column) -> tuple[DataFrame, Counts]:
+    """``df`` with aggregates that are computed by whichever job reads it, at no scan of their own.
+
+    The table given back belongs to a session of its own, with the same settings: a session that has
+    observed anything can no longer run MLlib's evaluators, which send their session to the tasks.
+    """
+    spark, view = df.sparkSession, f"counted_{uuid.uuid4().hex}"
+    side = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if side.conf.isModifiable(key) and side.conf.get(key, None) != value:
+            side.conf.set(key, value)
+    df.createGlobalTempView(view)
+    observation = Observation()
+    observed = side.table(f"global_temp.{view}").observe(observation, *measures)
+    return observed, Counts(observation, side, view)
 
 
 def discard(df: DataFrame) -> None:

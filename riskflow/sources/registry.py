@@ -1,4 +1,9 @@
-"""Registry table: one row per trained model, appended run by run."""
+"""Registry table: one row per trained model, committed run by run.
+
+A run's rows go to the run's own folder; a marker file, created once they are all there,
+makes them visible. Readers take marked runs only, so a run that stopped half-way is never seen
+and runs at the same time do not touch each other's files.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +16,7 @@ from pyspark.sql import functions as F
 from riskflow.operators.evaluate import with_gate
 from riskflow.operators.score import FAMILIES, ChosenModel
 from riskflow.sources.models import try_load
-from riskflow.sources.tables import exists
+from riskflow.sources.tables import children, create_marker, exists
 
 _log = logging.getLogger(__name__)
 
@@ -22,12 +27,40 @@ SCHEMA = (
 )
 
 
+# Markers of finished runs; Spark's readers pass over folders that begin with an underscore.
+_COMMITS = "_commits"
+
+
+def stage(entries: DataFrame, path: str, run_id: str) -> None:
+    """Write rows of a run, which nobody reads before ``commit``. A run writes in a folder of its own, so
+    that runs at the same time do not clear each other's temporary files."""
+    rows = entries.filter(F.col("run_id") == run_id).drop("run_id")
+    rows.write.mode("append").parquet(f"{path}/run_id={run_id}")
+
+
+def commit(spark: SparkSession, path: str, run_id: str) -> bool:
+    """Make a run visible, all its rows at once; False if it was so already."""
+    return create_marker(spark, f"{path}/{_COMMITS}/{run_id}")
+
+
 def append(entries: DataFrame, path: str) -> None:
-    entries.write.mode("append").parquet(path)
+    """Stage and commit at once."""
+    for row in entries.select("run_id").distinct().collect():
+        stage(entries, path, row["run_id"])
+        commit(entries.sparkSession, path, row["run_id"])
+
+
+def committed(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Ids of the runs that readers see."""
+    return tuple(sorted(children(spark, f"{path}/{_COMMITS}")))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).parquet(path)
+    runs = [f"{path}/run_id={run}" for run in committed(spark, path)]
+    if not runs:
+        return spark.createDataFrame([], SCHEMA)
+    names = [item.split()[0] for item in SCHEMA.split(", ")]
+    return spark.read.schema(SCHEMA).option("basePath", path).parquet(*runs).select(*names)
 
 
 def latest_run(registry: DataFrame) -> DataFrame:
@@ -107,6 +140,14 @@ def write_lines(best_rows: DataFrame, path: str) -> None:
     to_lines(best_rows).write.mode("overwrite").text(path)
 
 
+def publish_lines(spark: SparkSession, path: str, text_path: str) -> None:
+    """Write the best model of each task's last run as text, again if runs were committed
+    meanwhile, so that of several writers the last one to finish has them all."""
+    seen = None
+    while seen != (seen := committed(spark, path)):
+        write_lines(best(latest_run(read(spark, path))), text_path)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(task, path, family) out of such lines; other lines are skipped.
 

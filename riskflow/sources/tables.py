@@ -47,8 +47,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return typed(reader.csv(path), schema)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sized: bool = False) -> None:
+    _sized(df, (), sized).write.mode(mode).option("header", True).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -56,9 +56,27 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_parquet(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+    replace_partitions: bool = False,
+    sized: bool = False,
 ) -> None:
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """``replace_partitions`` overwrites only the partitions that ``df`` has and leaves the files of the
+    others. ``sized`` deals the rows anew, by the partition columns, so that files come out near the
+    session's advisory size: small tasks are joined, a large partition is split."""
+    writer = _sized(df, partition_by, sized).write.mode(mode).partitionBy(*partition_by)
+    if replace_partitions:
+        if not partition_by:
+            raise ValueError("nothing to replace by: name the partition columns")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+
+
+def _sized(df: DataFrame, partition_by: Sequence[str], sized: bool) -> DataFrame:
+    """Rows dealt by size; a shuffle that adaptive execution may split and join as it likes."""
+    return df.hint("rebalance", *partition_by) if sized else df
 
 
 def _status(spark: SparkSession, path: str):
@@ -77,6 +95,18 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(handle) and fs.getFileStatus(handle).isDirectory()
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    fs, handle = _status(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(handle)] if fs.exists(handle) else []
+
+
+def create_marker(spark: SparkSession, path: str) -> bool:
+    """Create an empty file, unless it exists; whether this call did."""
+    fs, handle = _status(spark, path)
+    return fs.createNewFile(handle)
+
+
 def version(spark: SparkSession, path: str) -> tuple[int, int]:
     """Last change and size of a table's files: another table under the same path differs."""
     fs, handle = _status(spark, path)

@@ -4,9 +4,12 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as contract
-from riskflow.plans.oracle import ORACLE
+from riskflow.plans.incremental_oracle import INCREMENTAL_ORACLE
+from riskflow.plans.oracle import ORACLE as SCANS_ORACLE
 from riskflow.plans.queries import QUERIES
 
+ORACLE = {**SCANS_ORACLE, **INCREMENTAL_ORACLE}
+
 
 @pytest.fixture(scope="module")
 def database(sf_dir):
