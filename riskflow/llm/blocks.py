@@ -82,9 +82,11 @@ def in_blocks(
                 yield _rows(first + number, codes[part], counts[part])
             for part in split_by_bytes(rows.to_batches(), column, PACK_BYTES):
                 yield _rows(first + number, packed=pack(part))
+            del block, codes, counts, rows
+            pa.default_memory_pool().release_unused()
 
-    marked = docs.mapInArrow(run, _SCHEMA).withColumn("is_key", F.col("packed").isNull())
-    stored = materialize(marked, name, ["is_key"])
+    # Not parted by it: that would sort all rows.
+    stored = materialize(docs.mapInArrow(run, _SCHEMA).withColumn("is_key", F.col("packed").isNull()), name)
     keys = stored.filter("is_key").select("block", "code", "n")
     return keys, stored.filter("NOT is_key").select("block", "packed")
 

@@ -4,7 +4,9 @@
 table. Ids travel as binary, each an unsigned 32-bit integer, little-endian.
 
 Null and empty texts have no ids; ids that are null decode to nothing. Long texts
-are cut, before encoding, at places where no match of the pattern can reach across.
+are cut, before encoding, at places where no match of the pattern can reach across. Very long
+runs of white space, for which the library's matching runs out of stack, are taken out by their
+own rule: all of a run but its last character is one match, or all of it at the end of a text.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ from pyspark.sql import functions as F
 # Characters of a text that are encoded at a time.
 PIECE_CHARS = 1 << 16
 
+# Characters of white space in a row that are not left to the library's matching.
+LONG_RUN = 100_000
+
 # Fixed value: the published splitting pattern of the 50k byte-level vocabularies.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -34,6 +39,11 @@ PATTERN = (
 _SAFE_CUT = re.compile(r"(?<=[!-~])(?=[ \n])")
 
 
+# What the library counts as white space.
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LONG_RUN = re.compile(rf"[{_SPACES}]{{{LONG_RUN},}}")
+
+
 @lru_cache(maxsize=4)
 def load(ranks_path: str, pattern: str = PATTERN) -> tiktoken.Encoding:
     """The encoding of a rank file; kept for the life of a Python worker."""
@@ -62,10 +72,19 @@ def safe_pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
 def encode_text(text: str | None, encoding: tiktoken.Encoding) -> bytes:
     if not text:
         return b""
-    return b"".join(
-        np.asarray(encoding.encode_ordinary(piece), dtype="<u4").tobytes()
-        for piece in safe_pieces(text)
-    )
+    parts, start = [], 0
+    if len(text) >= LONG_RUN and encoding._pat_str == PATTERN:
+        for run in _LONG_RUN.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            parts += _encoded_pieces(text[start : run.start()], encoding)
+            parts.append(encoding._encode_single_piece(text[run.start() : end]))
+            start = end
+    parts += _encoded_pieces(text[start:], encoding)
+    return b"".join(np.asarray(ids, dtype="<u4").tobytes() for ids in parts)
+
+
+def _encoded_pieces(text: str, encoding: tiktoken.Encoding) -> list[list[int]]:
+    return [encoding.encode_ordinary(piece) for piece in safe_pieces(text)]
 
 
 def decode_ids(ids: bytes | None, encoding: tiktoken.Encoding) -> bytes:

@@ -10,7 +10,9 @@ are verified on their full sets and connect most of what belongs together. Then
 have several components come with their full sets, and each row outside a bucket's largest
 component is verified, in the task, against all partners that are not pruned and not yet
 connected with it; only links leave the task. So every pair that was not pruned is verified or
-connected, and a group of near copies costs rows in proportion to its members.
+connected, and a group of near copies costs rows in proportion to its members: of a bucket of
+many blocks each meets the first block only at first, and after that only what is
+not yet connected asks.
 
 A link as similar as the threshold shares no band with probability (1 - 0.8 ** 4) ** 32, below
 1e-7, and is pruned with probability ``miss``.
@@ -35,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.llm import memory
 from riskflow.llm.components import connected_components
 from riskflow.session import materialize
 
@@ -48,8 +51,9 @@ MISS = 1e-5
 # Partners that a row hands on per bucket at first.
 FIRST_PARTNERS = 2
 # Rows of a block; larger buckets are split, and their blocks meet in pairs. Blocks that
-# come with full sets are smaller.
+# come with full sets are smaller, and have about so many bytes of them.
 BLOCK, SET_BLOCK = 1024, 512
+BLOCK_BYTES = 1 << 24
 
 _WORD_MEMORY = 200_000
 _CHUNK = 2048
@@ -69,7 +73,7 @@ class _WordHashes(dict):
 
 @lru_cache(maxsize=1)
 def _word_hashes() -> _WordHashes:
-    return _WordHashes()
+    return memory.remember(_WordHashes())
 
 
 @lru_cache(maxsize=1)
@@ -125,6 +129,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 def _signed(shingle: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.use("near_dedup")
         for batch in batches:
             sizes, keys, signatures = [], [], []
             for text in batch.column("text"):
@@ -147,6 +152,7 @@ def _signed(shingle: int):
 
 def _shingled(shingle: int):
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.use("near_dedup")
         for batch in batches:
             sets = [shingle_set(text.as_py(), shingle) for text in batch.column("text")]
             yield pa.RecordBatch.from_pydict(
@@ -256,10 +262,10 @@ def _in_groups(of_group):
     one after the other; gives the pairs that it returns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.use("near_dedup")
         rest = None
         for last, batch in _with_last(batches):
-            table = pa.Table.from_batches([batch] if rest is None else [rest, batch])
-            rows = table.combine_chunks().to_batches()[0]
+            rows = _one_batch([batch] if rest is None else [rest, batch])
             keys = [rows.column(c).to_numpy() for c in ("band", "value", "i", "j")]
             changed = np.zeros(len(rows) - 1, dtype=bool)
             for key in keys:
@@ -281,6 +287,18 @@ def _in_groups(of_group):
     return run
 
 
+def _one_batch(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """All rows in one batch; with 64-bit offsets, as sets together may pass 2 GiB."""
+    schema = pa.schema(
+        [(f.name, pa.large_binary() if pa.types.is_binary(f.type) else f.type) for f in batches[0].schema]
+    )
+    table = pa.Table.from_batches([b.cast(schema) for b in batches])
+    found = table.combine_chunks().to_batches(max_chunksize=len(table))
+    if len(found) != 1:
+        raise ValueError(f"{len(table)} rows came in {len(found)} batches")
+    return found[0]
+
+
 def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
     """Non-empty batches, each with whether it is the last."""
     before = None
@@ -316,34 +334,33 @@ def _verified(threshold: tuple[int, int]):
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """``band``, ``value``, ``n``, ``node`` for every band value that several classes have.
+    """``band``, ``value``, ``n``, ``bytes`` (of their sets), ``node`` for every band value that several
+    classes have.
 
     Of several buckets with the same members only the one of the first band is kept.
     """
     values = F.array(*(F.xxhash64(F.substring("signature", 1 + 8 * i, 8)) for i in range(BANDS)))
-    bands = classes.select("node", F.posexplode(values).alias("band", "value"))
+    bands = classes.select("node", "n_shingles", F.posexplode(values).alias("band", "value"))
     shared = bands.groupBy("band", "value").agg(
         F.count(F.lit(1)).alias("n"),
+        (F.sum("n_shingles") * 8).alias("bytes"),
         F.min("node").alias("low"),
         F.max("node").alias("high"),
         F.bit_xor(F.xxhash64("node")).alias("members"),
     ).filter("n > 1")
     kept = shared.groupBy("n", "low", "high", "members").agg(
-        F.min(F.struct("band", "value")).alias("bucket")
-    ).select("bucket.*", "n")
-    return bands.join(kept, ["band", "value"])
+        F.min(F.struct("band", "value")).alias("bucket"), F.first("bytes").alias("bytes")
+    ).select("bucket.*", "n", "bytes")
+    return bands.drop("n_shingles").join(kept, ["band", "value"])
 
 
-def _open(members: DataFrame, components: DataFrame | None) -> DataFrame:
+def _open(members: DataFrame, components: DataFrame) -> DataFrame:
     """Members of buckets that have several components, with their ``component``, whether they
     ask: all but those of the bucket's largest component, and how many do (``n_asks``)."""
-    if components is None:
-        marked = members.withColumn("component", F.col("node"))
-    else:
-        marked = members.join(components, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        )
-        marked = materialize(marked, "members")
+    marked = members.join(components, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    marked = materialize(marked, "members")
     largest = (
         marked.groupBy("band", "value", "component").agg(F.count(F.lit(1)).alias("size"))
         .groupBy("band", "value")
@@ -358,31 +375,53 @@ def _open(members: DataFrame, components: DataFrame | None) -> DataFrame:
     ).drop("main")
 
 
+def _with_first_block(members: DataFrame, signed: DataFrame, block: int) -> DataFrame:
+    """Members with what ``signed`` has of their nodes; a bucket of more than ``block`` rows is split, and
+    each block meets itself and the bucket's first block. Rows that come along as that first block
+    do not ask. So a bucket is copied twice at most, however large it is."""
+    columns = ["band", "value", "node", "component"]
+    n_blocks = F.ceil(F.col("n") / block).cast("int")
+    own = members.withColumn("j", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
+    first = own.filter("j = 0 AND n > %d" % block).withColumn(
+        "j", F.explode(F.sequence(F.lit(1), n_blocks - 1))
+    )
+    met = own.select(*columns, F.lit(True).alias("asks"), "j").union(
+        first.select(*columns, F.lit(False).alias("asks"), "j")
+    ).withColumns({"salt": F.lit(0), "i": F.col("j")})
+    return _dealt(met, signed)
+
+
+def _dealt(met: DataFrame, signed: DataFrame) -> DataFrame:
+    key = ["band", "value", "i", "j"]
+    return met.join(signed, "node").repartition(*key).sortWithinPartitions(*key, "node")
+
+
 def _grouped(members: DataFrame, signed: DataFrame, block: int) -> DataFrame:
     """Members with what ``signed`` has of their nodes, the rows of a bucket after each other.
 
-    A bucket of more than ``block`` rows is split: blocks of rows that ask meet each other and
-    the blocks of the rest, which do not meet among themselves.
+    A bucket of more than ``block`` rows, or ``BLOCK_BYTES`` of what is compared, is split: blocks of rows
+    that ask meet each other and the blocks of the rest, which do not meet among themselves.
     """
     columns = ["band", "value", "node", "component", "asks", "salt"]
-    alone = members.filter(F.col("n") <= block).withColumn("salt", F.lit(0)).select(
+    # Rows of a block: as many as fit, of the bucket's mean size.
+    fitting = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(BLOCK_BYTES) * F.col("n") / F.col("bytes"))))
+    members = members.withColumn("block", fitting)
+    alone = members.filter("n <= block").withColumn("salt", F.lit(0)).select(
         *columns, F.lit(0).alias("i"), F.lit(0).alias("j")
     )
-    asking = F.ceil(F.col("n_asks") / block).cast("int")
-    others = F.ceil((F.col("n") - F.col("n_asks")) / block).cast("int")
+    asking = F.ceil(F.col("n_asks") / F.col("block")).cast("int")
+    others = F.ceil((F.col("n") - F.col("n_asks")) / F.col("block")).cast("int")
     salt = F.when(F.col("asks"), F.pmod(F.xxhash64("node"), asking)).otherwise(
         asking + F.pmod(F.xxhash64("node"), others)
     )
     last = asking - 1 + F.when(F.col("asks"), others).otherwise(0)
     split = (
-        members.filter(F.col("n") > block)
+        members.filter("n > block")
         .withColumn("salt", salt.cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         .select(*columns, F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"))
     )
-    key = ["band", "value", "i", "j"]
-    met = alone.union(split)
-    return met.join(signed, "node").repartition(*key).sortWithinPartitions(*key, "node")
+    return _dealt(alone.union(split), signed)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -399,7 +438,8 @@ def _components(members: DataFrame, classes: DataFrame, sets: DataFrame, miss: f
     """``node``, ``component`` of all nodes that a link reaches."""
     steps = least_matches(threshold[0] / threshold[1], miss)
     signed = classes.select("node", "signature")
-    first = _grouped(_open(members, None), signed, BLOCK).mapInArrow(
+    alone = members.withColumn("component", F.col("node"))
+    first = _with_first_block(alone, signed, BLOCK).mapInArrow(
         _in_groups(lambda rows: _Group(rows, steps).first_pairs()), "a long, b long"
     )
     links = materialize(_linked(first.distinct(), sets, threshold), "links")

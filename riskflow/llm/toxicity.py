@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.llm import memory
 from riskflow.session import materialize
 
 # Labelled rows to learn from; the counts of that many texts are what the driver gets.
@@ -105,10 +106,19 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(start, end, after - before) for start, end, before, after, _ in found]
 
 
+def _lowered(text: str) -> str:
+    """In lower case, every character at its own place: one whose lower case is longer stays."""
+    lower = text.lower()
+    if len(lower) == len(text):
+        return lower
+    return "".join(low if len(low := char.lower()) == 1 else char for char in text)
+
+
 def evidence(text: str | None, model: Model) -> tuple[float, list[tuple[int, int, float, float]]]:
     """What a text's significant segments tell, and those segments: start and end in the
     text, score, expected number in a clean text."""
-    words = _WORD.findall(text.lower()) if text else []
+    lowered = _lowered(text) if text else ""
+    words = _WORD.findall(lowered)
     scores = np.fromiter(map(model.word_score, words), dtype=float, count=len(words))
     if not (scores > 0).any():
         return 0.0, []
@@ -119,7 +129,7 @@ def evidence(text: str | None, model: Model) -> tuple[float, list[tuple[int, int
             told -= log_expected
             significant.append((start, end, score, math.exp(log_expected)))
     if significant:
-        ends = [m.span() for m in _WORD.finditer(text.lower())]
+        ends = [m.span() for m in _WORD.finditer(lowered)]
         significant = [(ends[a][0], ends[b - 1][1], s, e) for a, b, s, e in significant]
     return told, significant
 
@@ -136,8 +146,8 @@ def held_out(doc_id: Column) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> DataFrame:
     """``text`` and ``toxic`` of at most ``limit`` labelled documents that are not held out.
 
-    ``copy_a`` and ``copy_b`` mark near copies. A document with several labels is toxic if one says so; rows without id or label are
-    left out, and so are repeated rows of a document.
+    ``copy_a`` and ``copy_b`` mark near copies. A document with several labels is toxic if one
+    says so; rows without id or label are left out; of a document's repeated rows the text that is first in order counts.
     """
     chosen = (
         labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -146,7 +156,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING)
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     )
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.dropDuplicates(["doc_id"]).select(
+    rows = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select(
         F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")
     )
     return _with_copy_keys(rows)
@@ -170,13 +180,14 @@ def _with_copy_keys(rows: DataFrame) -> DataFrame:
 def text_counts(text: str) -> dict[str, int]:
     """How often each feature occurs in a text, up to a bound."""
     found: Counter = Counter()
-    for word, n in Counter(_WORD.findall(text.lower())).items():
+    for word, n in Counter(_WORD.findall(_lowered(text))).items():
         for feature in features_of(word):
             found[feature] += n
     return {feature: min(n, MOST_PER_TEXT) for feature, n in found.items()}
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memory.use("toxicity")
     by_class: dict[int, Counter] = {0: Counter(), 1: Counter()}
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
@@ -208,18 +219,24 @@ def _odds(counted: DataFrame) -> dict[str, tuple[float, float]]:
 
 
 def _clean_histogram(model: Model):
-    """Of clean training texts: how often each word score occurs, and the segments' scores."""
+    """Of clean training texts: how often each word score occurs, words that tell nothing
+    apart, and the segments' scores."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory.use("toxicity")
         words: Counter = Counter()
+        others = 0
         tops: Counter = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                scores = np.fromiter(map(model.word_score, _WORD.findall(text.lower())), dtype=float)
-                values, counts = np.unique(np.round(scores, 2), return_counts=True)
+                scores = np.fromiter(map(model.word_score, _WORD.findall(_lowered(text))), dtype=float)
+                tells = scores[scores != model.loss]
+                others += len(scores) - len(tells)
+                values, counts = np.unique(np.round(tells, 2), return_counts=True)
                 words.update(dict(zip(values.tolist(), counts.tolist())))
                 tops.update(round(s, 1) for _, _, s in segments(scores))
         rows = [(k, s, n) for k, c in (("word", words), ("segment", tops)) for s, n in c.items()]
+        rows.append(("other", 0.0, others))
         yield pa.RecordBatch.from_pydict(
             {
                 "kind": pa.array([r[0] for r in rows], pa.string()),
@@ -236,17 +253,24 @@ def _typical_gain(model: Model) -> float:
     return float(np.median(gains)) if gains else 1.0
 
 
-def fit_extreme_values(model: Model, words: dict[float, int], tops: dict[float, int]) -> None:
-    """Loss, rate and factor from the scores of words and segments in clean texts, each with
-    how often it occurs."""
-    n_words, typical = sum(words.values()) + 1, _typical_gain(model)
+def lowered_loss(model: Model, words: dict[float, int], others: int) -> float:
+    """The loss of a word that tells nothing, lowered where clean texts would not lose on average."""
+    n_words = sum(words.values()) + others + 1
+    mean = (sum(s * n for s, n in words.items()) + model.loss * others + _typical_gain(model)) / n_words
+    if mean < -0.01 or not others:
+        return model.loss
+    return model.loss - (mean + 0.1) * n_words / others
+
+
+def fit_extreme_values(model: Model, words: dict[float, int], others: int, tops: dict[float, int]) -> None:
+    """Rate and factor from the scores of words and segments in clean texts, each with how often it
+    occurs, and the number of words that score the loss."""
+    typical = _typical_gain(model)
     # One more word, of a typical gain, stands for what clean texts might have but did not.
-    values = np.array([*words.keys(), typical])
-    shares = np.array([*words.values(), 1.0]) / n_words
-    mean = float((values * shares).sum())
-    if mean >= -0.01:
-        model.loss -= mean + 0.1
-        values = np.where(values == max(values[values < 0], default=-1.0), model.loss, values)
+    values = np.array([*words.keys(), model.loss, typical])
+    counts = np.array([*words.values(), others, 1], dtype=float)
+    n_words = counts.sum()
+    shares = counts / n_words
 
     def moment(rate: float) -> float:
         return float((shares * np.exp(np.minimum(rate * values, 700))).sum())
@@ -277,21 +301,33 @@ def fit_calibration(model: Model, told: np.ndarray, toxic: np.ndarray) -> None:
     model.slope, model.shift = max(float(weights[0]), 0.0), float(weights[1])
 
 
+def _clean_counts(model: Model, clean: DataFrame) -> tuple[dict[float, int], int, dict[float, int]]:
+    counted = (
+        clean.mapInArrow(_clean_histogram(model), "kind string, score double, n long")
+        .groupBy("kind", "score").agg(F.sum("n").alias("n")).collect()
+    )  # scores are rounded, so few
+    words, tops = ({r["score"]: r["n"] for r in counted if r["kind"] == k} for k in ("word", "segment"))
+    return words, sum(r["n"] for r in counted if r["kind"] == "other"), tops
+
+
 def _calibrate(model: Model, rows: DataFrame) -> None:
     """Over the training rows, of which there are at most ``MAX_TRAINING``."""
 
     @F.arrow_udf("double")
     def told(texts: pa.Array) -> pa.Array:
+        memory.use("toxicity")
         return pa.array([evidence(x.as_py(), model)[0] for x in texts], pa.float64())
 
     model.loss = -LOSS * _typical_gain(model)
     clean = rows.filter("toxic = 0").select("text")
-    counted = (
-        clean.mapInArrow(_clean_histogram(model), "kind string, score double, n long")
-        .groupBy("kind", "score").agg(F.sum("n").alias("n")).collect()
-    )  # scores are rounded, so few
-    by_kind = {k: {r["score"]: r["n"] for r in counted if r["kind"] == k} for k in ("word", "segment")}
-    fit_extreme_values(model, by_kind["word"], by_kind["segment"])
+    words, others, tops = _clean_counts(model, clean)
+    loss = lowered_loss(model, words, others)
+    if loss != model.loss:
+        # Segments are others under another loss.
+        model.loss = loss
+        model.known.clear()
+        words, others, tops = _clean_counts(model, clean)
+    fit_extreme_values(model, words, others, tops)
     found = rows.select(told("text").alias("told"), "toxic").collect()
     fit_calibration(
         model, np.array([r["told"] for r in found]), np.array([float(r["toxic"]) for r in found])
@@ -322,6 +358,7 @@ def score(text: Column, model: Model) -> Column:
 
     @F.pandas_udf(schema)
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        memory.use("toxicity")
         for batch in batches:
             found = [evidence(x, model) for x in batch]
             yield pd.DataFrame(

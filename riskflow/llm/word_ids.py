@@ -17,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from riskflow.llm import memory
 from riskflow.llm.latin import LETTERS, SIGNS, Cache, byte_level, packed
 from riskflow.llm.token_counts import load
 
@@ -82,7 +83,7 @@ class WordIds(Cache):
         super().__init__(MEMORY_WORDS, MEMORY_CHARS)
         self.tokenizer = tokenizer
         self.lowers = _lowers(tokenizer)
-        self.parts = _PartIds(tokenizer)
+        self.parts = memory.remember(_PartIds(tokenizer))
 
     def compute(self, word: str) -> bytes:
         if plain := _PLAIN.fullmatch(word.lower() if self.lowers else word):
@@ -96,7 +97,7 @@ class WordIds(Cache):
 
 @lru_cache(maxsize=4)
 def word_ids(tokenizer_path: str) -> WordIds:
-    return WordIds(load(tokenizer_path))
+    return memory.remember(WordIds(load(tokenizer_path)))
 
 
 def _by_blanks(text: str) -> list[str]:
@@ -117,6 +118,7 @@ def encode(text: Column, tokenizer_path: str) -> Column:
 
     @F.arrow_udf("binary")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        memory.use("word_ids")
         tokenizer = load(tokenizer_path)
         words = word_ids(tokenizer_path) if drops_blanks(tokenizer) else None
         for batch in batches:

@@ -147,3 +147,47 @@ def test_query_by_all_pairs(spark, sf_dir):
     got = QUERIES["op3_minhash_near_dedup"](spark, sf_dir).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == _expected(rows, 4)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_rows_of_a_large_bucket_are_copied_in_proportion(spark, monkeypatch):
+    """Buckets of many blocks: what is handed to tasks grows with the members, and no link is lost."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "SET_BLOCK", 16)
+    dealt, inner = [], near_dedup._dealt
+
+    def counted(met, signed):
+        dealt.append(met.count())
+        return inner(met, signed)
+
+    monkeypatch.setattr(near_dedup, "_dealt", counted)
+    rnd, copied = random.Random(4), {}
+    base = sentence(rnd, 300)
+    for n in (80, 320):
+        rows = [(i, _edited(rnd, base, 4)) for i in range(n)]
+        dealt.clear()
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df).collect()), key=str)
+        assert got == _expected(rows, 5)
+        copied[n] = sum(dealt)
+    # Four times the members, in twenty blocks instead of five; some more buckets, too.
+    assert copied[320] < 8 * copied[80]
+
+
+def test_batches_beyond_32_bit_offsets():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"a": [1, 2], "b": [b"x", None]}) for _ in range(3)]
+    one = near_dedup._one_batch(batches)
+    assert one.num_rows == 6 and one.schema.field("b").type == pa.large_binary()
+    assert one.column("b").to_pylist() == [b"x", None] * 3
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    """Few large sets are split as many small ones are."""
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 4_000)
+    rnd = random.Random(6)
+    base = sentence(rnd, 200)
+    rows = [(i, _edited(rnd, base, 12)) for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df).collect()), key=str)
+    assert got == _expected(rows, 5)

@@ -115,3 +115,28 @@ def test_queries_on_given_tables(spark, sf_dir, encoding, tokenizer_path):
         assert coded[doc_id].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert counted[doc_id].n_bytes == len(text.encode())
         assert counted[doc_id].over_limit == (len(ids) > 512)
+
+
+@pytest.mark.parametrize("blank", ["\n", " ", "\t", " \n"])
+@pytest.mark.parametrize("after", ["", "x", "word and more"])
+def test_very_long_white_space(encoding, blank, after):
+    """Ids as by the rule: all but the last character of a run is one match, all of it at the end."""
+    run = (blank * 2_000_000)[:2_000_000]
+    whole = "before" + run + after
+    own = run if not after else run[:-1]
+    expected = (
+        encoding.encode_ordinary("before")
+        + encoding._encode_single_piece(own.encode())
+        + (encoding.encode_ordinary(run[-1] + after) if after else [])
+    )
+    got = bpe.encode_text(whole, encoding)
+    assert got == struct.pack(f"<{len(expected)}I", *expected)
+    assert bpe.decode_ids(got, encoding) == whole.encode()
+
+
+def test_long_runs_by_the_same_rule_as_short_ones(encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "_LONG_RUN", bpe.re.compile(bpe._LONG_RUN.pattern.replace("100000", "2")))
+    monkeypatch.setattr(bpe, "LONG_RUN", 2)
+    for text in _random_texts(3000, 30):
+        ids = encoding.encode_ordinary(text)
+        assert bpe.encode_text(text, encoding) == struct.pack(f"<{len(ids)}I", *ids), text

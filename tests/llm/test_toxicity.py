@@ -1,7 +1,10 @@
 """Operator 10: segments by brute force, learning on made-up and given labels."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -123,3 +126,90 @@ def test_query_on_held_out_labels(spark):
     clean = [r.predicted for r in rows if not truth[r.doc_id]]
     # 2,600 labelled rows to learn from; ten times as many find nearly all.
     assert len(toxic) > 50 and sum(toxic) >= 0.85 * len(toxic) and sum(clean) <= 0.01 * len(clean)
+
+
+def test_loss_is_lowered_until_clean_texts_lose():
+    """The words that tell nothing lose more; the features' own odds stay as they are."""
+    model = toxicity.Model({"a": (2.0, 9.0), "b": (-0.05, 5.0)}, loss=-0.2)
+    words, others = {2.0: 400, -0.05: 100}, 500
+    model.loss = toxicity.lowered_loss(model, words, others)
+    mean = (2.0 * 400 - 0.05 * 100 + model.loss * others + toxicity._typical_gain(model)) / 1001
+    assert mean == pytest.approx(-0.1)
+    toxicity.fit_extreme_values(model, words, others, {2.0: 3})
+    assert 0.01 < model.rate < 10
+    # Unchanged where they lose anyway.
+    assert toxicity.lowered_loss(toxicity.Model({"a": (2.0, 9.0)}, loss=-1.0), {2.0: 1}, 900) == -1.0
+
+
+def test_places_are_those_of_the_text():
+    model = toxicity.Model({"bad": (5.0, 9.0)}, loss=-0.1, rate=2.0, factor=0.1)
+    for before in ("", "İİİİ ", "ẞΣ "):
+        _, found = toxicity.evidence(f"{before}bad BAD bad bad", model)
+        start, end, *_ = found[0]
+        assert f"{before}bad BAD bad bad"[start:end] == "bad BAD bad bad"
+
+
+def test_repeated_ids_learn_the_same_text(spark):
+    rows = [(i, t) for i in range(40) for t in ("later words", "early words", None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    for n in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        assert {r.text for r in toxicity.training_rows(docs, labels).collect()} == {"early words"}
+
+
+def _word_list(text):
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def test_model_and_scores_recomputed(spark):
+    """Odds, extreme values, calibration and scores of a small table, in plain Python."""
+    docs, labels = _labelled(300, 9)
+    model = toxicity.learn(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+    )
+    known = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 3 != 1}
+    texts = {i: t for i, t in docs if i in known}
+    counts = {0: Counter(), 1: Counter()}
+    for i, text in texts.items():
+        own = Counter(f for w in _word_list(text) for f in toxicity.features_of(w))
+        counts[known[i]].update({f: min(n, toxicity.MOST_PER_TEXT) for f, n in own.items()})
+    both = {f: (counts[0][f], counts[1][f]) for f in counts[0] | counts[1] if counts[0][f] + counts[1][f] > 1}
+    clean, toxic = (sum(n[k] for n in both.values()) for k in (0, 1))
+    weight = toxicity.PRIOR * (clean + toxic)
+    odds = {}
+    for f, (c, t) in both.items():
+        alpha = weight * (c + t) / (clean + toxic)
+        c, t = c + alpha, t + alpha
+        value = math.log(t / (toxic + weight - t)) - math.log(c / (clean + weight - c))
+        z = value / math.sqrt(1 / t + 1 / c)
+        if abs(z) >= toxicity.MIN_Z:
+            odds[f] = (value, abs(z))
+    assert model.odds.keys() == odds.keys() and odds
+    for f, pair in odds.items():
+        assert model.odds[f] == pytest.approx(pair)
+
+    def word_score(word):
+        own = [odds[f] for f in toxicity.features_of(word) if f in odds]
+        return max(own, key=lambda x: x[1])[0] if own else model.loss
+
+    gains = sorted(v for v, _ in odds.values() if v > 0)
+    typical = float(np.median(gains))
+    scores = [word_score(w) for i in texts if not known[i] for w in _word_list(texts[i])]
+    # The rate at which e^(rate * score) has mean one over clean words and one word of typical gain.
+    mean = np.mean(np.exp(model.rate * np.array([*np.round(scores, 2), typical])))
+    assert mean == pytest.approx(1.0, abs=2e-2)
+    told, labels_ = [], []
+    for i, text in texts.items():
+        own = np.array([word_score(w) for w in _word_list(text)])
+        sums = 0.0
+        for _, _, s in _brute(own):
+            expected = math.log(model.factor * len(own)) - model.rate * s
+            sums -= expected if expected < math.log(toxicity.MAX_EXPECTED) else 0.0
+        told.append(sums)
+        labels_.append(known[i])
+        assert toxicity.evidence(text, model)[0] == pytest.approx(sums)
+    # The calibration is where the ridged likelihood stands still.
+    x = np.log1p(np.array(told))
+    p = 1 / (1 + np.exp(-(model.slope * x + model.shift)))
+    assert (x * (np.array(labels_) - p)).sum() - 1e-2 * model.slope == pytest.approx(0, abs=1e-4)
