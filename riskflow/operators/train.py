@@ -67,8 +67,8 @@ def training_set(
 ) -> TrainingSet:
     """Split by key hash, fit the preparation on the train split only and apply it.
 
-    The records are written once, parted by split, so that joins, filters and
-    hashes upstream run once and each later pass reads its own part. A forest
+    The records are written once, as they come, so that joins, filters and hashes
+    upstream run once; a task that writes them holds none, however many it has. A forest
     draws its bags per partition, so the train split is dealt by the key's digest
     to ``partitions`` (the session's shuffle partitions) and sorted in each: the
     input's files and the cluster's cores do not change the model. The vectors are
@@ -85,7 +85,8 @@ def training_set(
         *task.features, task.label, key_digest(key).alias("digest"),
         fold_of(key, FOLDS).alias("fold"), is_train(key).alias("train"),
     )
-    stored = materialize(marked, f"{task.name}_records", ["train"], spark)
+    # One table for both parts: writing them apart would sort all rows of a task by part.
+    stored = materialize(marked, f"{task.name}_records", session=spark)
     train, test = stored.filter("train").drop("train"), stored.filter("NOT train").drop("train")
     if max_training_rows:
         share = max_training_rows / max(1, train.count())

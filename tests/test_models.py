@@ -251,3 +251,16 @@ def test_gate_keeps_models_out(spark, tmp_path, fitted):
 def test_training_reads_keys_of_both_tasks(spark, sf_dir):
     records = jobs.training_records(diabetes_records(spark, sf_dir), DIABETES, DIABETES_KEY)
     assert records.count() == diabetes_records(spark, sf_dir).count()
+
+
+def test_writing_the_records_sorts_nothing(spark):
+    """A task that has all records would otherwise hold them all to sort them by part."""
+    rows = spark.range(60).select(
+        F.col("id").alias("patient_id"), (F.col("id") % 2).alias("heart_attack_risk"), F.col("id").alias("age")
+    )
+    task = jobs.with_features(HEART, rows, HEART_KEY)
+    data = training_set(rows.repartition(1), task, HEART_KEY, partitions=2)
+    assert not [file for file in data.stored.inputFiles() if "/train=" in file]
+    assert data.train.count() + data.test.count() == 60 and data.train.count() > 0 < data.test.count()
+    assert "train" not in data.test.columns
+    data.discard()
