@@ -25,6 +25,8 @@ from riskflow.operators.evaluate import evaluate
 
 _log = logging.getLogger(__name__)
 
+# The parameters that a grid names, all of them.
+PENALTIES = ("regParam", "elasticNetParam")
 MAX_PASSES = 40
 # Largest change of a scaled coefficient at which a problem counts as solved.
 TOLERANCE = 1e-9
@@ -136,7 +138,7 @@ def fit_grid(
     scale = np.where(std > 1e-12, 1.0 / np.where(std > 1e-12, std, 1.0), 0.0)
     scale[:, 0] = 1.0
     scale, n = scale[left_out].T, n[left_out]
-    reg, mix = (np.array([point[name] for point, _ in problems]) for name in ("regParam", "elasticNetParam"))
+    reg, mix = (np.array([point[name] for point, _ in problems]) for name in PENALTIES)
     absolute, square = reg * mix, reg * (1 - mix)
     i, j = _pairs(width)
 

@@ -15,7 +15,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.operators.grid import grid_aucs
+from riskflow.operators.grid import PENALTIES, grid_aucs
 from riskflow.operators.prepare import Preparation, fit_preparation
 from riskflow.operators.split import digest_share, fold_of, is_train, key_digest
 from riskflow.schemas import Task
@@ -150,7 +150,7 @@ def tune(
     for name in values:
         builder = builder.addGrid(base.getParam(name), list(values[name]))
     points = builder.build()
-    if family == LR and not params and set(values) == set(GRIDS[LR]):
+    if family == LR and not params and set(values) == set(PENALTIES):
         by_name = [{param.name: value for param, value in point.items()} for point in points]
         aucs = grid_aucs(data.train, data.label, by_name, folds)
     else:
