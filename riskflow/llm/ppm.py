@@ -28,9 +28,7 @@ other. Without training rows all symbols are alike and no word is known.
 from __future__ import annotations
 
 import math
-from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +43,9 @@ from riskflow.session import materialize
 ORDER = 5
 # Bytes of text in a block.
 BLOCK_BYTES = 1 << 24
-# Bytes of text whose strings are in memory at once, and words.
-_CHUNK_BYTES, _CHUNK_WORDS = 1 << 21, 1 << 18
+# Bytes of text whose strings are in memory at once, where they are counted and where they are looked up;
+# and words.
+_CHUNK_BYTES, _LOOKUP_BYTES, _CHUNK_WORDS = 1 << 21, 1 << 19, 1 << 18
 # Chunks' distinct keys that are held before they are added up.
 _HELD_PARTS = 6
 
@@ -79,21 +78,24 @@ def grams(marked: list[bytes], order: int) -> np.ndarray:
     return codes[raw[order:] != START]
 
 
-def in_chunks(texts: Iterable[bytes], order: int) -> Iterator[tuple[list[int], list[bytes]]]:
+def in_chunks(
+    texts: Iterable[bytes], order: int, limit: int | None = None
+) -> Iterator[tuple[list[int], list[bytes]]]:
     """Marked texts with their numbers, in chunks of bounded size.
 
     A longer text comes in slices, each with the context that its first byte has.
     """
+    limit = limit or _CHUNK_BYTES
     start, end = bytes([START]) * order, bytes([END])
     numbers, held, size = [], [], 0
     for number, text in enumerate(texts):
         marked = start + text + end
-        if held and size + len(marked) > _CHUNK_BYTES:
+        if held and size + len(marked) > limit:
             yield numbers, held
             numbers, held, size = [], [], 0
-        if len(marked) > _CHUNK_BYTES:
-            for at in range(0, len(text) + 1, _CHUNK_BYTES):
-                yield [number], [marked[at : at + _CHUNK_BYTES + order]]
+        if len(marked) > limit:
+            for at in range(0, len(text) + 1, limit):
+                yield [number], [marked[at : at + limit + order]]
             continue
         numbers.append(number)
         held.append(marked)
@@ -102,41 +104,23 @@ def in_chunks(texts: Iterable[bytes], order: int) -> Iterator[tuple[list[int], l
         yield numbers, held
 
 
-@lru_cache(maxsize=1)
-def _known_hashes() -> dict[bytes, int]:
-    return {}
-
-
-def word_codes(text: bytes) -> array:
-    """Hashes of the words, then that of the end, as negative numbers."""
-    known, found = _known_hashes(), array("q")
-    for word in text.split():
-        code = known.get(word)
-        if code is None:
-            code = _word_code(word)
-            if len(word) <= 24:
-                if len(known) >= 50_000:
-                    known.clear()
-                known[word] = code
-        found.append(code)
-    found.append(_END_CODE)
-    return found
-
-
-def _word_code(word: bytes) -> int:
-    return -1 - (xxhash.xxh3_64_intdigest(word) >> 1)
-
-
-# No word is empty.
-_END_CODE = _word_code(b"")
+def word_codes(text: bytes) -> np.ndarray:
+    """Hashes of the words, then that of the end, as negative numbers; no word is empty."""
+    words = [*text.split(), b""]
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return ~(hashes >> np.uint64(1)).view(np.int64)
 
 
 def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Codes with counts, summed up over parts."""
     if not parts:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    codes, places = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    return codes, np.bincount(places, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
+    codes, counts = (np.concatenate(columns) for columns in zip(*parts))
+    # The parts are sorted runs, which a stable sort merges.
+    by_code = np.argsort(codes, kind="stable")
+    codes = codes[by_code]
+    first = np.flatnonzero(np.diff(codes, prepend=codes[:1] - 1))
+    return codes[first], np.add.reduceat(counts[by_code], first)
 
 
 def _emit(order: int):
@@ -160,13 +144,15 @@ def _emit(order: int):
         for learn in (True, False):
             for _, chunk in in_chunks(texts(learn), order):
                 add(grams(chunk, order), learn)
-            codes = array("q")
+            held, size = [], 0
             for text in texts(learn):
-                codes.extend(word_codes(text))
-                if len(codes) > _CHUNK_WORDS:
-                    add(np.frombuffer(codes, np.int64), learn)
-                    codes = array("q")
-            add(np.frombuffer(codes, np.int64), learn)
+                held.append(word_codes(text))
+                size += len(held[-1])
+                if size > _CHUNK_WORDS:
+                    add(np.concatenate(held), learn)
+                    held, size = [], 0
+            if held:
+                add(np.concatenate(held), learn)
         codes, counts = _counted(parts)
         return codes, counts, block
 
@@ -266,8 +252,60 @@ class Trie:
         )
 
 
-def _found(sorted_codes: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    return values[np.searchsorted(sorted_codes, asked)]
+# An odd number whose product with a code has well mixed upper bits, and tables one after the other.
+_MIX, _TABLES = np.uint64(0x9E3779B97F4A7C15), 4
+# No code has this value.
+_SHARED = np.inf
+
+
+def _places(codes: np.ndarray, bits: int) -> np.ndarray:
+    return ((codes.view(np.uint64) * _MIX) >> np.uint64(64 - bits)).view(np.int64)
+
+
+def lookup(codes: np.ndarray, values: np.ndarray):
+    """A function that gives the values of known codes.
+
+    A table has the value of each code that is alone at its place; those that share one go to the next
+    table, with their upper bits mixed anew, and what is left after the last is searched for. That is one
+    access for most codes, where a search needs one for every halving.
+    """
+    tables = []
+    while len(codes) and len(tables) < _TABLES:
+        bits = max(1, (2 * len(codes) - 1).bit_length())
+        places = _places(codes, bits)
+        last = np.zeros(1 << bits, np.int32)
+        last[places] = numbers = np.arange(len(codes), dtype=np.int32)
+        beaten = places[last[places] != numbers]
+        del last, numbers
+        table = np.full(1 << bits, _SHARED)
+        table[places] = values
+        table[beaten] = _SHARED
+        shared = table[places] == _SHARED
+        tables.append((bits, table))
+        codes, values = _mixed(codes[shared]), values[shared]
+    by_code = np.argsort(codes, kind="stable")
+    codes, values = codes[by_code], values[by_code]
+
+    def find(asked: np.ndarray, level: int = 0) -> np.ndarray:
+        if level == len(tables):
+            return values[_search(codes, asked)]
+        bits, table = tables[level]
+        found = table[_places(asked, bits)]
+        missing = np.flatnonzero(found == _SHARED)
+        if len(missing):
+            found[missing] = find(_mixed(asked[missing]), level + 1)
+        return found
+
+    return find
+
+
+_search = np.searchsorted
+
+
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    """Other numbers for the codes, one to one."""
+    mixed = codes.view(np.uint64) * _MIX
+    return (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
 
 
 def _scored(order: int, n_tokens: int, n_distinct: int, common):
@@ -275,25 +313,25 @@ def _scored(order: int, n_tokens: int, n_distinct: int, common):
     by text."""
 
     def prepare(answers: pa.Table):
-        codes, values = (
-            np.concatenate([answers.column(c).to_numpy(), shared])
-            for c, shared in zip(("code", "value"), common.value)
+        find = lookup(
+            *(
+                np.concatenate([answers.column(c).to_numpy(), shared])
+                for c, shared in zip(("code", "value"), common.value)
+            )
         )
-        by_code = np.argsort(codes, kind="stable")
-        known = codes[by_code], values[by_code]
-        del codes, values, by_code, answers
+        del answers
 
         def apply(rows: pa.Table) -> pa.RecordBatch:
             texts = [symbols_of(text.as_py()) for text in rows.column("text")]
             scores = np.zeros(len(texts))
-            for numbers, chunk in in_chunks(texts, order):
+            for numbers, chunk in in_chunks(texts, order, _LOOKUP_BYTES):
                 sizes = np.array([len(marked) - order for marked in chunk])
-                logs = _found(*known, grams(chunk, order))
+                logs = find(grams(chunk, order))
                 scores[numbers] += np.add.reduceat(logs, np.cumsum(sizes) - sizes)
             words = [word_codes(text) for text in texts]
             sizes = np.array([len(own) for own in words], dtype=np.int64)
             starts = np.cumsum(sizes) - sizes
-            c = _found(*known, np.concatenate([np.frombuffer(own, np.int64) for own in words]))
+            c = find(np.concatenate(words))
             logs = np.log10((c + 0.5) / (n_tokens + 0.5 * (n_distinct + 1)))
             return pa.RecordBatch.from_arrays(
                 [

@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +152,25 @@ def test_held_out_texts_are_likelier_than_by_words(spark, sf_dir):
     # Of words that training lacks, the word model does not say which; the trie spells them.
     row = out.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
     assert row["score"] > row["base"]
+
+
+def test_lookup_is_one_access_for_most_codes():
+    """Each code has its own value, and few are left to be searched for; codes of either sign."""
+    rng = np.random.default_rng(1)
+    codes = np.unique(np.concatenate([rng.integers(0, 1 << 48, 50_000), rng.integers(-(1 << 63), 0, 50_000), np.arange(5_000)]))
+    values = np.arange(len(codes), dtype=float) - 7
+    searched = []
+
+    def search(known, asked):
+        searched.append(len(asked))
+        return np.searchsorted(known, asked)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ppm, "_search", search)
+        order = rng.permutation(len(codes))
+        find = ppm.lookup(codes[order], values[order])
+        asked = rng.integers(0, len(codes), 300_000)
+        assert (find(codes[asked]) == values[asked]).all()
+    assert sum(searched) < len(asked) / 20
+    assert (ppm.lookup(codes[:1], values[:1])(codes[:1].repeat(3)) == values[0]).all()
+    assert len(ppm.lookup(codes[:0], values[:0])(codes[:0])) == 0
