@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -171,28 +171,42 @@ def cross_validate(data: TrainingSet, base, points, folds: int, parallelism: int
 
     A plain filter on the fold column keeps the rows in the JVM; MLlib's own fold
     column check passes every row through Python. One fold at a time: its training
-    part is persisted, its grid points are fitted, at most ``parallelism`` at once,
-    and the part is released before the next fold.
+    part is persisted, its grid points are fitted, the largest first and at most ``parallelism``
+    at once, and the part is released before the next fold.
     """
     evaluator = BinaryClassificationEvaluator(labelCol=data.label)
+    largest_first = sorted(range(len(points)), key=lambda i: -_levels(points[i]))
     sums = [0.0] * len(points)
     for fold in range(folds):
         part = data.train.filter(F.col("fold") != fold).persist(StorageLevel.MEMORY_AND_DISK)
         rest = data.train.filter(F.col("fold") == fold)
 
-        def validation_auc(point, part=part, rest=rest) -> float:
-            return evaluator.evaluate(base.fit(part, point).transform(rest))
+        def validation_auc(i: int, part=part, rest=rest) -> float:
+            return evaluator.evaluate(base.fit(part, points[i]).transform(rest))
 
-        work = inheritable_thread_target(data.train.sparkSession)(validation_auc)
         try:
-            with ThreadPool(min(parallelism, len(points))) as pool:
-                aucs = pool.map(work, points, chunksize=1)
+            aucs = together(data.train.sparkSession, validation_auc, largest_first, parallelism)
         finally:
             part.unpersist(blocking=True)
-        sums = [total + auc for total, auc in zip(sums, aucs)]
+        for i, auc in zip(largest_first, aucs):
+            sums[i] += auc
     return [total / folds for total in sums]
 
 
+def _levels(point) -> float:
+    """Levels of all trees of a forest's grid point, which is about its work."""
+    named = {param.name: value for param, value in point.items()}
+    return named.get("numTrees", 1) * named.get("maxDepth", 1)
+
+
+def together(spark: SparkSession, work: Callable, items: Iterable, parallelism: int) -> list:
+    """``work`` of each item, in order; begun in order and at most ``parallelism`` at once, so that
+    their jobs fill the cores that others leave."""
+    items = list(items)
+    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
+
+
 def _fitted(data, family, model, params, started, tried=()) -> Fitted:
     return Fitted(
         family=family,

@@ -20,7 +20,7 @@ from riskflow.operators.prepare import fit_preparation, zero_impute
 from riskflow.operators.quality import drop_columns, drop_nulls, is_complete, numeric_features
 from riskflow.operators.report import with_report
 from riskflow.operators.score import ChosenModel, flat_result, score, with_model_score
-from riskflow.operators.train import LR, RF, Fitted, TrainingSet, training_set, tune
+from riskflow.operators.train import LR, RF, Fitted, TrainingSet, together, training_set, tune
 from riskflow.schemas import TASKS, Task
 from riskflow.session import Counts, counting
 from riskflow.sources import registry
@@ -153,7 +153,9 @@ def train_task(
     if dropped:
         _log.warning("%s: %d records with a missing value are not trained on", task.name, dropped)
     try:
-        models = [tune(data, family, parallelism=parallelism) for family in families]
+        models = together(
+            spark, lambda family: tune(data, family, parallelism=parallelism), families, len(families)
+        )
     finally:
         data.release()
     paths = {m.family: f"{folder}/{run_id}/{task.name}_{m.family}" for m in models}
@@ -191,16 +193,22 @@ def train(
     commit at the end.
 
     ``folder``/best_models names the best model of each task's last run, those of tasks
-    trained before included.
+    trained before included. Tasks and families are trained at the same time, ``parallelism``
+    forests of each task.
     """
-    run_id, fitted = uuid.uuid4().hex, {}
-    for name, (records, key) in tables.items():
-        rows, fitted[name] = train_task(
+    run_id, spark = uuid.uuid4().hex, next(iter(tables.values()))[0].sparkSession
+
+    def trained(name: str) -> tuple[DataFrame, list[Fitted]]:
+        records, key = tables[name]
+        return train_task(
             records, TASKS[name], key, f"{folder}/models", run_id,
             parallelism=parallelism, max_training_rows=max_training_rows,
         )
+
+    outcomes = dict(zip(tables, together(spark, trained, tables, len(tables))))
+    for rows, _ in outcomes.values():
         registry.stage(rows, f"{folder}/registry", run_id)
-        spark = records.sparkSession
+    fitted = {name: models for name, (_, models) in outcomes.items()}
     registry.commit(spark, f"{folder}/registry", run_id)
     registry.publish_lines(spark, f"{folder}/registry", f"{folder}/best_models")
     return fitted

@@ -281,3 +281,52 @@ def test_forests_keep_the_nodes_of_rows(spark):
     found = [forest.fit(rows).toDebugString.split("\n", 1)[1] for forest in (kept, walked)]
     assert found[0] == found[1]
     rows.unpersist()
+
+
+def test_tasks_and_families_are_tuned_together(spark, tmp_path, monkeypatch):
+    """Each tuning waits until all four are under way; in turn, the first would wait in vain."""
+    import threading
+
+    rows = [
+        (i, *(float((i * k) % 17 + 1) for k in range(1, len(DIABETES.features) + 1)), i % 17 > 8)
+        for i in range(300)
+    ]
+    columns = ["id", *DIABETES.features]
+    diabetes = spark.createDataFrame([(*r[:-1], int(r[-1])) for r in rows], [*columns, DIABETES.label])
+    heart = spark.createDataFrame(
+        [(r[0], r[1], r[2], int(r[-1])) for r in rows], ["patient_id", "age", "cholesterol", HEART.label]
+    )
+    monkeypatch.setattr(train, "GRIDS", {LR: {"regParam": [0.1], "elasticNetParam": [0.0]}, RF: {"numTrees": [2]}})
+    under_way, alone = threading.Barrier(4), jobs.tune
+
+    def met(data, family, **options):
+        under_way.wait(timeout=60)
+        return alone(data, family, **options)
+
+    monkeypatch.setattr(jobs, "tune", met)
+    models = jobs.train({"diabetes": (diabetes, ["id"]), "heart": (heart, HEART_KEY)}, str(tmp_path))
+    assert {(t, m.family) for t, fits in models.items() for m in fits} == {
+        (t, f) for t in ("diabetes", "heart") for f in (LR, RF)
+    }
+    assert registry.read(spark, f"{tmp_path}/registry").count() == 4
+
+
+def test_largest_forests_are_fitted_first(spark, sf_dir, monkeypatch):
+    """Each AUC still belongs to its own grid point."""
+    records = jobs.training_records(heart_records(spark, sf_dir), HEART, HEART_KEY)
+    data = training_set(records, HEART, HEART_KEY)
+    grid, begun = {"numTrees": [1, 2], "maxDepth": [1, 3]}, []
+    kind = train.RandomForestClassifier
+    fit_one = kind.fit
+
+    def noted(self, part, params=None):
+        if isinstance(params, dict):
+            begun.append({p.name: v for p, v in params.items()})
+        return fit_one(self, part, params)
+
+    monkeypatch.setattr(kind, "fit", noted)
+    found = tune(data, RF, grid, parallelism=1).grid
+    assert [p["numTrees"] * p["maxDepth"] for p in begun[:4]] == [6, 3, 2, 1]
+    alone = tune(data, RF, {"numTrees": [2], "maxDepth": [1]}, parallelism=1).grid[0]
+    assert [p for p in found if (p["numTrees"], p["maxDepth"]) == (2, 1)] == [alone]
+    data.discard()
