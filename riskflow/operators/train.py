@@ -9,17 +9,22 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    LogisticRegression,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.operators.grid import PENALTIES, grid_aucs
 from riskflow.operators.prepare import Preparation, fit_preparation
 from riskflow.operators.split import digest_share, fold_of, is_train, key_digest
 from riskflow.schemas import Task
-from riskflow.session import discard, materialize
+from riskflow.session import discard, materialize, scratch_path
 
 LR, RF = "logistic_regression", "random_forest"
 # Iterations, seed, folds and the two parameter grids.
@@ -136,13 +141,15 @@ def tune(
     grid: Mapping[str, Sequence[float]] | None = None,
     parallelism: int = 4,
     folds: int = FOLDS,
+    nested: bool = False,
     **params,
 ) -> Fitted:
     """Cross-validated grid search by AUC, refitted on the whole train split.
 
     Folds come from the key hash, so every run compares the same splits. A tie
     goes to the point that comes first in the grid. A regression's penalties are tried all at once
-    (see ``grid``); other parameters and forests are fitted point by point.
+    (see ``grid``); other parameters and forests are fitted point by point, or with ``nested``
+    forests of several depths at once (see ``cross_validate``).
     """
     started = time.monotonic()
     base = estimator(family, data.label, **params)
@@ -155,7 +162,7 @@ def tune(
         by_name = [{param.name: value for param, value in point.items()} for point in points]
         aucs = grid_aucs(data.train, data.label, by_name, folds)
     else:
-        aucs = cross_validate(data, base, points, folds, parallelism)
+        aucs = cross_validate(data, base, points, folds, parallelism, nested and family == RF)
     tried = [
         {param.name: value for param, value in point.items()} | {"mean_auc": auc}
         for point, auc in zip(points, aucs)
@@ -166,33 +173,100 @@ def tune(
     return _fitted(data, family, model, chosen, started, tried)
 
 
-def cross_validate(data: TrainingSet, base, points, folds: int, parallelism: int) -> list[float]:
+def cross_validate(
+    data: TrainingSet, base, points, folds: int, parallelism: int, nested: bool = False
+) -> list[float]:
     """Mean validation AUC of each grid point.
 
     A plain filter on the fold column keeps the rows in the JVM; MLlib's own fold
     column check passes every row through Python. One fold at a time: its training
     part is persisted, its grid points are fitted, the largest first and at most ``parallelism``
     at once, and the part is released before the next fold.
+
+    With ``nested``, forests that differ in depth alone are grown once, to the largest depth. Bags and
+    feature subsets are drawn level by level from the seed, so the upper levels of a deep forest are
+    the shallow one (see ``cut_scores``).
     """
+    spark = data.train.sparkSession
     evaluator = BinaryClassificationEvaluator(labelCol=data.label)
     largest_first = sorted(range(len(points)), key=lambda i: -_levels(points[i]))
+    groups: dict[object, list[int]] = {}  # in order of their largest point, which is each one's first
+    for i in largest_first:
+        others = frozenset((p.name, value) for p, value in points[i].items() if p.name != "maxDepth")
+        groups.setdefault(others if nested else i, []).append(i)
     sums = [0.0] * len(points)
     for fold in range(folds):
         part = data.train.filter(F.col("fold") != fold).persist(StorageLevel.MEMORY_AND_DISK)
         rest = data.train.filter(F.col("fold") == fold)
 
-        def validation_auc(i: int, part=part, rest=rest) -> float:
-            return evaluator.evaluate(base.fit(part, points[i]).transform(rest))
+        def validation_aucs(group: list[int], part=part, rest=rest) -> list[float]:
+            model = base.fit(part, points[group[0]])
+            found = [evaluator.evaluate(model.transform(rest))]
+            if group[1:]:
+                cuts = [points[i].get(base.maxDepth, base.getMaxDepth()) for i in group[1:]]
+                leaves = model.copy({model.leafCol: "leaves"}).transform(rest)
+                for score in cut_scores(spark, model, cuts, "leaves"):
+                    cut = leaves.select(data.label, score.alias("score"))
+                    found.append(evaluator.evaluate(cut, {evaluator.rawPredictionCol: "score"}))
+            return found
 
         try:
-            aucs = together(data.train.sparkSession, validation_auc, largest_first, parallelism)
+            aucs = together(spark, validation_aucs, groups.values(), parallelism)
         finally:
             part.unpersist(blocking=True)
-        for i, auc in zip(largest_first, aucs):
-            sums[i] += auc
+        for group, found in zip(groups.values(), aucs):
+            for i, auc in zip(group, found):
+                sums[i] += auc
     return [total / folds for total in sums]
 
 
+def cut_scores(
+    spark: SparkSession, model: RandomForestClassificationModel, depths: Sequence[int], leaf_column: str
+) -> list[Column]:
+    """The raw prediction of class 1 by the same forest grown to each of smaller ``depths``, from the
+    leaves that a row reaches in ``model``.
+
+    The nodes come from the saved model: at most two to the depth for each tree, whatever the rows.
+    """
+    path = scratch_path(spark, "forest")
+    model.save(path)
+    stored = spark.read.parquet(f"{path}/data")
+    trees: list[dict[int, Row]] = [{} for _ in range(model.getNumTrees)]
+    for tree, node in stored.select("treeID", "nodeData").collect():
+        trees[tree][node.id] = node
+    discard(stored)
+    leaves = vector_to_array(leaf_column)
+    scores = []
+    for depth in depths:
+        score = F.lit(0.0)
+        for t, nodes in enumerate(trees):
+            # As one text per tree, which the planner folds; a literal per leaf would be a call each.
+            text = ",".join(map(repr, _cut_shares(nodes, 0, depth)[0]))
+            shares = F.split(F.lit(text), ",").cast("array<double>")
+            score = score + F.get(shares, F.get(leaves, F.lit(t)).cast("int"))
+        scores.append(score)
+    return scores
+
+
+def _cut_shares(nodes: Mapping[int, Row], at: int, levels: int) -> tuple[list[float], float | None]:
+    """For each leaf below a node, left to right, the share of class 1 where the tree ends when only
+    ``levels`` more are grown; and the node's prediction if the tree ends at the node itself.
+
+    Like MLlib, two leaves that predict the same are one.
+    """
+    node = nodes[at]
+    total = sum(node.impurityStats)
+    own = node.impurityStats[1] / total if total else 0.0
+    if node.leftChild < 0:
+        return [own], node.prediction
+    left, left_end = _cut_shares(nodes, node.leftChild, levels - 1)
+    right, right_end = _cut_shares(nodes, node.rightChild, levels - 1)
+    merged = left_end is not None and left_end == right_end
+    if levels <= 0 or merged:
+        return [own] * (len(left) + len(right)), node.prediction if levels <= 0 else left_end
+    return left + right, None
+
+
 def _levels(point) -> float:
     """Levels of all trees of a forest's grid point, which is about its work."""
     named = {param.name: value for param, value in point.items()}

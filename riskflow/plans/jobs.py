@@ -154,7 +154,8 @@ def train_task(
         _log.warning("%s: %d records with a missing value are not trained on", task.name, dropped)
     try:
         models = together(
-            spark, lambda family: tune(data, family, parallelism=parallelism), families, len(families)
+            spark, lambda family: tune(data, family, parallelism=parallelism, nested=True), families,
+            len(families),
         )
     finally:
         data.release()

@@ -330,3 +330,45 @@ def test_largest_forests_are_fitted_first(spark, sf_dir, monkeypatch):
     alone = tune(data, RF, {"numTrees": [2], "maxDepth": [1]}, parallelism=1).grid[0]
     assert [p for p in found if (p["numTrees"], p["maxDepth"]) == (2, 1)] == [alone]
     data.discard()
+
+
+def test_depths_are_grown_once(spark, monkeypatch):
+    """Forests of one number of trees share a fit, and every point has the AUC of its own fit."""
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    rows = spark.createDataFrame(
+        [
+            (Vectors.dense(i % 7, i % 11, i * 31 % 53, i * 17 % 29), int(i * i % 19 + i % 7 + i % 11 > 17), i % 3)
+            for i in range(900)
+        ],
+        ["features", "label", "fold"],
+    ).repartition(3, "fold").cache()
+    data = train.TrainingSet(rows, rows, None, "label", rows)
+    base = train.estimator(RF, "label")
+    grid = ParamGridBuilder().addGrid(base.numTrees, [3, 7]).addGrid(base.maxDepth, [2, 6, 0, 4])
+    points, kind, fits = grid.build(), train.RandomForestClassifier, []
+    fit_one = kind.fit
+    monkeypatch.setattr(kind, "fit", lambda self, part, params: fits.append(1) or fit_one(self, part, params))
+    alone = train.cross_validate(data, base, points, 3, 2)
+    assert len(fits) == 24
+    assert len(set(alone)) > 4
+    assert train.cross_validate(data, base, points, 3, 2, nested=True) == pytest.approx(alone, abs=1e-12)
+    assert len(fits) == 24 + 6
+    rows.unpersist()
+
+
+def test_a_training_run_grows_depths_once(spark, tmp_path, monkeypatch):
+    rows = [
+        (i, *(float((i * k) % 17 + 1) for k in range(1, len(DIABETES.features) + 1)), int(i % 17 > 8))
+        for i in range(300)
+    ]
+    records = spark.createDataFrame(rows, ["id", *DIABETES.features, DIABETES.label])
+    depths = {"numTrees": [2], "maxDepth": [1, 2]}
+    monkeypatch.setattr(train, "GRIDS", {LR: {"regParam": [0.1], "elasticNetParam": [0.0]}, RF: depths})
+    kind, fits = train.RandomForestClassifier, []
+    fit_one = kind.fit
+    monkeypatch.setattr(kind, "fit", lambda self, part, params: fits.append(1) or fit_one(self, part, params))
+    models = jobs.train({"diabetes": (records, ["id"])}, str(tmp_path))["diabetes"]
+    assert len(fits) == 3 + 1
+    assert [len(m.grid) for m in models if m.family == RF] == [2]
