@@ -84,14 +84,20 @@ def _derivatives(weights: np.ndarray, left_out: np.ndarray):
     i, j = _pairs(len(weights))
 
     def of_batch(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
-        used = fold[:, None] != left_out
-        margin = x @ weights
-        # log(1 + e^m) without overflow
-        loss = (np.maximum(margin, 0) - y[:, None] * margin + np.log1p(np.exp(-np.abs(margin)))) * used
-        p = 1.0 / (1.0 + np.exp(-np.clip(margin, -700, 700)))
-        gradient = x.T @ ((p - y[:, None]) * used)
-        curvature = (x[:, i] * x[:, j]).T @ (p * (1 - p) * used)
-        return np.concatenate([loss.sum(axis=0)[None, :], gradient, curvature])
+        sums = np.zeros((1 + len(weights) + len(i), len(left_out)))
+        for f in np.unique(fold):
+            # A fold's rows meet only the problems that do not leave it out.
+            mine, used = fold == f, np.flatnonzero(left_out != f)
+            own, target = x[mine], y[mine][:, None]
+            margin = own @ weights[:, used]
+            # log(1 + e^m) and 1 / (1 + e^-m) without overflow
+            small = np.exp(-np.abs(margin))
+            loss = np.maximum(margin, 0) - target * margin + np.log1p(small)
+            p = np.where(margin >= 0, 1.0, small) / (1.0 + small)
+            sums[0, used] += loss.sum(axis=0)
+            sums[1 : 1 + len(weights), used] += own.T @ (p - target)
+            sums[1 + len(weights) :, used] += (own[:, i] * own[:, j]).T @ (p * (1 - p))
+        return sums
 
     return of_batch
 

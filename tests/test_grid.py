@@ -99,3 +99,21 @@ def test_tune_uses_it(data, monkeypatch):
     monkeypatch.setattr(train, "cross_validate", None)
     fitted = tune(data, LR)
     assert len(fitted.grid) == 9 and fitted.params["regParam"] in GRIDS[LR]["regParam"]
+
+
+def test_rows_do_not_meet_problems_that_leave_them_out():
+    """Not even as zeros: what is not a number would stay so."""
+    rng = np.random.default_rng(1)
+    x, y = np.column_stack([np.ones(60), rng.normal(size=(60, 2))]), rng.integers(0, 2, 60).astype(float)
+    fold, left_out, weights = np.arange(60) % 3, np.array([0, 1, 2, 0]), rng.normal(size=(3, 4)) * 300
+    got = grid._derivatives(weights, left_out)(x, y, fold)
+    for k, out in enumerate(left_out):
+        own, target = x[fold != out], y[fold != out]
+        margin = own @ weights[:, k]
+        p = 1 / (1 + np.exp(-margin))
+        assert got[0, k] == pytest.approx((np.logaddexp(0, margin) - target * margin).sum())
+        assert got[1:4, k] == pytest.approx(own.T @ (p - target))
+        curvature = own.T @ (own * (p * (1 - p))[:, None])
+        assert got[4:, k] == pytest.approx(curvature[np.triu_indices(3)])
+    x[fold == 1] = np.nan
+    assert np.isfinite(grid._derivatives(weights, left_out)(x, y, fold)).all(axis=0).tolist() == [False, True, False, False]
