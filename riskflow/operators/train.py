@@ -27,6 +27,9 @@ from riskflow.schemas import Task
 from riskflow.session import discard, materialize, scratch_path
 
 LR, RF = "logistic_regression", "random_forest"
+# A forest's task carries the statistics of all nodes of a level, however few its rows: partitions have
+# at least about so many rows, unless that leaves fewer partitions than the second number.
+PARTITION_ROWS, MIN_PARTITIONS = 50_000, 12
 # Iterations, seed, folds and the two parameter grids.
 MAX_ITER, SEED, FOLDS = 10, 42, 3
 GRIDS = {
@@ -76,7 +79,7 @@ def training_set(
     The records are written once, as they come, so that joins, filters and hashes
     upstream run once; a task that writes them holds none, however many it has. A forest
     draws its bags per partition, so the train split is dealt by the key's digest
-    to ``partitions`` (the session's shuffle partitions) and sorted in each: the
+    to ``partitions`` (the session's shuffle partitions, fewer for few rows) and sorted in each: the
     input's files and the cluster's cores do not change the model. The vectors are
     read again by every fit and kept in memory and on disk; lost blocks are
     recomputed from the written table.
@@ -86,7 +89,6 @@ def training_set(
     where the records do.
     """
     spark = session or records.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     marked = records.select(
         *task.features, task.label, key_digest(key).alias("digest"),
         fold_of(key, FOLDS).alias("fold"), is_train(key).alias("train"),
@@ -97,6 +99,7 @@ def training_set(
     if max_training_rows:
         share = max_training_rows / max(1, train.count())
         train = train.filter(digest_share(F.col("digest")) < share)
+    partitions = partitions or _partitions(train)
     order = ["digest", *task.features, task.label]
     train = train.repartition(partitions, "digest").sortWithinPartitions(*order)
     preparation = fit_preparation(train, task.features, task.zero_columns)
@@ -112,6 +115,14 @@ def training_set(
     )
 
 
+def _partitions(train: DataFrame) -> int:
+    """The session's shuffle partitions, or fewer where they would have few rows."""
+    most = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if most <= MIN_PARTITIONS:
+        return most
+    return min(most, max(MIN_PARTITIONS, -(-train.count() // PARTITION_ROWS)))
+
+
 @dataclass(frozen=True)
 class Fitted:
     """One trained model with how it was found."""

@@ -372,3 +372,27 @@ def test_a_training_run_grows_depths_once(spark, tmp_path, monkeypatch):
     models = jobs.train({"diabetes": (records, ["id"])}, str(tmp_path))["diabetes"]
     assert len(fits) == 3 + 1
     assert [len(m.grid) for m in models if m.family == RF] == [2]
+
+
+def test_few_rows_are_dealt_to_few_partitions(spark, monkeypatch):
+    rows = spark.range(600).select(
+        F.col("id").alias("patient_id"), (F.col("id") % 2).alias("heart_attack_risk"), F.col("id").alias("age")
+    )
+    task = jobs.with_features(HEART, rows, HEART_KEY)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+
+    def dealt(partitions):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            data = training_set(rows, task, HEART_KEY)
+            found = data.train.rdd.getNumPartitions(), data.train.count() + data.test.count()
+            data.discard()
+            return found
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+    assert dealt(40) == (train.MIN_PARTITIONS, 600)
+    assert dealt(5) == (5, 600)
+    monkeypatch.setattr(train, "PARTITION_ROWS", 25)
+    assert train.MIN_PARTITIONS < dealt(40)[0] < 30
+    assert dealt(15) == (15, 600)
