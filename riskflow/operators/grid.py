@@ -1,10 +1,11 @@
 """All points of a regularised logistic regression grid, on all folds, in the same passes.
 
 A pass is one aggregate over the train split that carries, for every grid point and fold left out, the
-loss, its gradient and its second derivatives; a task adds them up over its rows in Arrow
-batches, Spark sums the tasks' numbers. Between passes the driver takes a Newton step for
+loss, its gradient and its second derivatives; a task adds them up over blocks of rows, packed
+and persisted once for all passes, Spark sums the tasks' numbers. Between passes the driver takes a Newton step for
 each of these small problems, by coordinate descent where there is an absolute penalty. The number of
-passes is that of the slowest problem to converge, not points times folds times iterations.
+passes is that of the slowest problem to converge, not points times folds times iterations; a pass
+carries only the problems that have not converged.
 
 The objective is MLlib's: mean log loss plus the elastic net penalty on coefficients of features
 scaled by their deviation in the training folds, intercept free. It is minimised until it stands still.
@@ -17,6 +18,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,35 +32,65 @@ PENALTIES = ("regParam", "elasticNetParam")
 MAX_PASSES = 40
 # Largest change of a scaled coefficient at which a problem counts as solved.
 TOLERANCE = 1e-9
+# Rows that are worked on at once, so that what is computed of them stays in a core's cache.
+BLOCK_ROWS = 2048
 _SWEEPS = 1000
 
 
-def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features with a leading one, labels and folds of a batch."""
-    y = batch.column("y").to_numpy().astype(float)
-    x = batch.column("x").flatten().to_numpy().reshape(len(y), -1)
-    return np.column_stack([np.ones(len(y)), x]), y, batch.column("fold").to_numpy()
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows as blocks: up to ``BLOCK_ROWS`` of one fold in a row, numbers as bytes, features with a
+    leading one. A pass then moves few large values instead of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            y = batch.column("y").to_numpy().astype(float)
+            x = batch.column("x").flatten().to_numpy().reshape(len(y), -1)
+            x, fold = np.column_stack([np.ones(len(y)), x]), batch.column("fold").to_numpy()
+            blocks = [
+                (int(f), mine[i : i + BLOCK_ROWS])
+                for f in np.unique(fold)
+                for mine in (np.flatnonzero(fold == f),)
+                for i in range(0, len(mine), BLOCK_ROWS)
+            ]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "fold": pa.array([f for f, _ in blocks], pa.int32()),
+                    "x": pa.array([x[at].tobytes() for _, at in blocks], pa.binary()),
+                    "y": pa.array([y[at].tobytes() for _, at in blocks], pa.binary()),
+                }
+            )
+
+    return rows.mapInArrow(run, "fold int, x binary, y binary")
+
+
+def _arrays(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Features with a leading one, labels and fold of each block."""
+    for f, x, y in zip(batch.column("fold").to_pylist(), batch.column("x"), batch.column("y")):
+        target = np.frombuffer(y.as_buffer())
+        yield np.frombuffer(x.as_buffer()).reshape(len(target), -1), target, f
 
 
 def _pairs(width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(width)
 
 
-def _summed(rows: DataFrame, of_batch) -> dict[int, float]:
-    """Element-wise sum, over all batches, of the array that ``of_batch`` gives."""
+def _summed(blocks: DataFrame, of_block) -> dict[int, float]:
+    """Element-wise sum, over all blocks, of the array that ``of_block`` gives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            if batch.num_rows:
-                values = of_batch(*_arrays(batch))
+            for x, y, fold in _arrays(batch):
+                values = of_block(x, y, np.full(len(y), fold))
                 total = values if total is None else total + values
         if total is not None:
             yield pa.RecordBatch.from_pydict(
                 {"i": np.arange(total.size, dtype=np.int32), "value": total.ravel()}
             )
 
-    sums = rows.mapInArrow(run, "i int, value double").groupBy("i").agg(F.sum("value").alias("value"))
+    sums = blocks.mapInArrow(run, "i int, value double").groupBy("i").agg(F.sum("value").alias("value"))
     return {row["i"]: row["value"] for row in sums.collect()}  # a number per entry, whatever the rows
 
 
@@ -71,11 +103,11 @@ def _filled(sums: Mapping[int, float], shape: tuple[int, ...]) -> np.ndarray:
 def _moments(folds: int):
     """Per fold: rows, and per column the sum and the sum of squares."""
 
-    def of_batch(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    def of_block(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
         own = (fold[:, None] == np.arange(folds)).astype(float)
         return np.concatenate([own.T @ x, own.T @ (x * x)], axis=1)
 
-    return of_batch
+    return of_block
 
 
 def _derivatives(weights: np.ndarray, left_out: np.ndarray):
@@ -83,23 +115,23 @@ def _derivatives(weights: np.ndarray, left_out: np.ndarray):
     over the rows outside its fold."""
     i, j = _pairs(len(weights))
 
-    def of_batch(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    def of_block(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
         sums = np.zeros((1 + len(weights) + len(i), len(left_out)))
         for f in np.unique(fold):
             # A fold's rows meet only the problems that do not leave it out.
             mine, used = fold == f, np.flatnonzero(left_out != f)
-            own, target = x[mine], y[mine][:, None]
+            own, target = (x, y[:, None]) if mine.all() else (x[mine], y[mine][:, None])
             margin = own @ weights[:, used]
             # log(1 + e^m) and 1 / (1 + e^-m) without overflow
             small = np.exp(-np.abs(margin))
-            loss = np.maximum(margin, 0) - target * margin + np.log1p(small)
+            loss = np.maximum(margin, 0) - target * margin + np.log(1.0 + small)
             p = np.where(margin >= 0, 1.0, small) / (1.0 + small)
             sums[0, used] += loss.sum(axis=0)
             sums[1 : 1 + len(weights), used] += own.T @ (p - target)
             sums[1 + len(weights) :, used] += (own[:, i] * own[:, j]).T @ (p * (1 - p))
         return sums
 
-    return of_batch
+    return of_block
 
 
 def _newton(w, gradient, hessian, absolute, square) -> np.ndarray:
@@ -132,10 +164,21 @@ def fit_grid(
 
     ``rows`` have ``x`` (array of doubles), ``y`` (0 or 1) and ``fold``.
     """
+    blocks = _packed(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit_blocks(blocks, points, folds)
+    finally:
+        blocks.unpersist()
+
+
+def _fit_blocks(
+    blocks: DataFrame, points: Sequence[Mapping[str, float]], folds: int
+) -> tuple[np.ndarray, np.ndarray]:
     problems = [(point, fold) for point in points for fold in range(folds)]
     left_out = np.array([fold for _, fold in problems])
-    width = len(rows.first()["x"]) + 1
-    by_fold = _filled(_summed(rows, _moments(folds)), (folds, 2 * width))
+    sizes = blocks.select((F.length("x") / F.length("y")).cast("int").alias("width"))
+    width = sizes.first()["width"]
+    by_fold = _filled(_summed(blocks, _moments(folds)), (folds, 2 * width))
     outside = by_fold.sum(axis=0) - by_fold
     n, mean = outside[:, 0], outside[:, :width] / outside[:, :1]
     variance = (outside[:, width:] / outside[:, :1] - mean**2) * (n / np.maximum(n - 1, 1))[:, None]
@@ -148,30 +191,33 @@ def fit_grid(
     absolute, square = reg * mix, reg * (1 - mix)
     i, j = _pairs(width)
 
-    def penalty(w: np.ndarray) -> np.ndarray:
-        return absolute * np.abs(w[1:]).sum(axis=0) + square / 2 * (w[1:] ** 2).sum(axis=0)
+    def penalty(w: np.ndarray, of: np.ndarray) -> np.ndarray:
+        return absolute[of] * np.abs(w[1:]).sum(axis=0) + square[of] / 2 * (w[1:] ** 2).sum(axis=0)
 
     w = np.zeros((width, len(problems)))
-    best, best_value, step = w, np.full(len(problems), np.inf), np.zeros_like(w)
-    solved = np.zeros(len(problems), dtype=bool)
+    best, best_value, step = w.copy(), np.full(len(problems), np.inf), np.zeros_like(w)
+    now = np.arange(len(problems))  # those that have not converged; a pass is about them alone
     for _ in range(MAX_PASSES):
+        tried, scaled = w[:, now], scale[:, now]
         sums = _filled(
-            _summed(rows, _derivatives(w * scale, left_out)), (1 + width + len(i), len(problems))
+            _summed(blocks, _derivatives(tried * scaled, left_out[now])), (1 + width + len(i), len(now))
         )
-        value = sums[0] / n + penalty(w)
-        worse = value > best_value + 1e-12
+        value = sums[0] / n[now] + penalty(tried, now)
+        worse = value > best_value[now] + 1e-12
         # Where the step went too far, half of it; the others go on from where they are.
-        best_value, best = np.where(worse, best_value, value), np.where(worse, best, w)
-        gradient = sums[1 : 1 + width] / n * scale
-        hessian = np.zeros((len(problems), width, width))
-        hessian[:, i, j] = hessian[:, j, i] = (sums[1 + width :] / n * scale[i] * scale[j]).T
-        step = np.where(worse, step / 2, _newton(w, gradient, hessian, absolute, square) - w)
-        solved = np.abs(step).max(axis=0) < TOLERANCE
-        w = best + step
-        if solved.all():
+        best_value[now] = np.where(worse, best_value[now], value)
+        best[:, now] = np.where(worse, best[:, now], tried)
+        gradient = sums[1 : 1 + width] / n[now] * scaled
+        hessian = np.zeros((len(now), width, width))
+        hessian[:, i, j] = hessian[:, j, i] = (sums[1 + width :] / n[now] * scaled[i] * scaled[j]).T
+        newton = _newton(tried, gradient, hessian, absolute[now], square[now]) - tried
+        step[:, now] = np.where(worse, step[:, now] / 2, newton)
+        w[:, now] = best[:, now] + step[:, now]
+        now = now[np.abs(step[:, now]).max(axis=0) >= TOLERANCE]
+        if not len(now):
             break
     else:
-        _log.warning("%d of %d grid problems have not converged", int((~solved).sum()), len(problems))
+        _log.warning("%d of %d grid problems have not converged", len(now), len(problems))
     return best * scale, left_out
 
 
@@ -181,19 +227,15 @@ def _validated(weights: np.ndarray, left_out: np.ndarray, folds: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y, fold = _arrays(batch)
-            for f, problems in enumerate(own):
-                mine = fold == f
-                margins = x[mine] @ weights[:, problems]
-                count = int(mine.sum())
+            for x, y, fold in _arrays(batch):
+                problems = own[fold]
+                margins = x @ weights[:, problems]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "point": np.tile(np.arange(len(problems), dtype=np.int32), count),
-                        "fold": np.full(margins.size, f, dtype=np.int32),
+                        "point": np.tile(np.arange(len(problems), dtype=np.int32), len(y)),
+                        "fold": np.full(margins.size, fold, dtype=np.int32),
                         "score": margins.ravel(),
-                        "label": np.repeat(y[mine].astype(np.int32), len(problems)),
+                        "label": np.repeat(y.astype(np.int32), len(problems)),
                     }
                 )
 
@@ -211,10 +253,14 @@ def grid_aucs(
     rows = train.select(
         vector_to_array("features").alias("x"), F.col(label).cast("int").alias("y"), F.col("fold").cast("int")
     )
-    weights, left_out = fit_grid(rows, points, folds)
-    scores = rows.mapInArrow(
-        _validated(weights, left_out, folds), "point int, fold int, score double, label int"
-    )
-    report = evaluate(scores, ("point", "fold")).groupBy("point").agg(F.avg("auc").alias("auc"))
-    found = {row["point"]: row["auc"] for row in report.collect()}  # a row per grid point
+    blocks = _packed(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        weights, left_out = _fit_blocks(blocks, points, folds)
+        scores = blocks.mapInArrow(
+            _validated(weights, left_out, folds), "point int, fold int, score double, label int"
+        )
+        report = evaluate(scores, ("point", "fold")).groupBy("point").agg(F.avg("auc").alias("auc"))
+        found = {row["point"]: row["auc"] for row in report.collect()}  # a row per grid point
+    finally:
+        blocks.unpersist()
     return [found.get(i) or 0.0 for i in range(len(points))]

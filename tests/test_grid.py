@@ -117,3 +117,26 @@ def test_rows_do_not_meet_problems_that_leave_them_out():
         assert got[4:, k] == pytest.approx(curvature[np.triu_indices(3)])
     x[fold == 1] = np.nan
     assert np.isfinite(grid._derivatives(weights, left_out)(x, y, fold)).all(axis=0).tolist() == [False, True, False, False]
+
+
+def test_passes_leave_out_what_has_converged(data, monkeypatch):
+    sizes, inner = [], grid._derivatives
+    monkeypatch.setattr(grid, "_derivatives", lambda w, out: sizes.append(len(out)) or inner(w, out))
+    grid.fit_grid(_rows(data), POINTS, 3)
+    assert sizes[0] == 27 > sizes[-1] > 0
+    assert sizes == sorted(sizes, reverse=True)
+
+
+def test_passes_read_blocks_that_hold_every_row(spark):
+    rows = spark.range(7000).selectExpr(
+        "array(CAST(id AS DOUBLE), 0.5D) AS x", "CAST(id % 2 AS INT) AS y", "CAST(id % 3 AS INT) AS fold"
+    ).coalesce(1)
+    found, blocks = [], grid._packed(rows).collect()
+    for block in blocks:
+        x, y = np.frombuffer(block["x"]).reshape(-1, 3), np.frombuffer(block["y"])
+        assert 0 < len(y) == len(x) <= grid.BLOCK_ROWS
+        assert (x[:, 0] == 1).all() and (x[:, 2] == 0.5).all()
+        assert (x[:, 1] % 3 == block["fold"]).all() and (x[:, 1] % 2 == y).all()
+        found += x[:, 1].tolist()
+    assert sorted(found) == list(range(7000))
+    assert len(blocks) < 20
