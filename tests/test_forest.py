@@ -208,6 +208,19 @@ def test_tuning_and_fits_pack_the_rows_once(spark, sf_dir, monkeypatch):
     data.discard()
 
 
+def test_a_single_forest_keeps_a_byte_per_number(spark, sf_dir):
+    """Not vectors, and neither an object nor a node per row and tree."""
+    records = jobs.training_records(heart_records(spark, sf_dir), HEART, HEART_KEY)
+    data = training_set(records, HEART, HEART_KEY)
+    kept = spark._jsc.sc().getRDDStorageInfo
+    before = {info.id() for info in kept()}
+    fit(data, RF, numTrees=2)
+    size = sum(info.memSize() + info.diskSize() for info in kept() if info.id() not in before)
+    numbers = data.packed(numbers=False).rows * len(data.preparation.features)
+    data.discard()
+    assert numbers <= size < 2 * numbers
+
+
 def test_rows_without_keys_still_have_cuts(spark, monkeypatch):
     """Their hashes are all alike, so that a share of hashes is all rows or none."""
     rows = spark.range(400).select(
